@@ -57,8 +57,9 @@ def _typed_publication_columns() -> list[Column]:
     return out
 
 
-def silver_publications(bronze: DataFrame) -> DataFrame:
-    """One row per non-NULL DOI: the most recently deposited (then indexed) version, typed.
+def silver_publications(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per non-NULL DOI (per ``by`` group, e.g. run): the most recently deposited (then
+    indexed) version, typed.
 
     Ties on both timestamps are broken by the record content hash (``record_hash`` when bronze
     carries it) so reruns pick the same row.
@@ -66,8 +67,8 @@ def silver_publications(bronze: DataFrame) -> DataFrame:
     tiebreak = (F.col("record_hash") if "record_hash" in bronze.columns
                 else F.xxhash64(*[F.col(c) for c in bronze.columns]))
     typed = bronze.where(F.col("doi").isNotNull()).select(
-        *_typed_publication_columns(), tiebreak.alias("_tiebreak"))
-    w = Window.partitionBy("doi").orderBy(
+        *_typed_publication_columns(), tiebreak.alias("_tiebreak"), *by)
+    w = Window.partitionBy(*by, "doi").orderBy(
         F.col("deposited_datetime").desc_nulls_last(),
         F.col("indexed_datetime").desc_nulls_last(),
         F.col("_tiebreak").desc(),
@@ -105,14 +106,14 @@ def exploded_authors(bronze: DataFrame, keep: tuple[str, ...] = ("doi",)) -> Dat
     )
 
 
-def silver_authors(bronze: DataFrame) -> DataFrame:
+def silver_authors(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Publication-author rows (from bronze before DOI de-duplication, non-NULL DOI only)."""
-    ex = exploded_authors(bronze.where(F.col("doi").isNotNull()))
+    ex = exploded_authors(bronze.where(F.col("doi").isNotNull()), keep=("doi", *by))
     fields = _author_fields(F.col("_author"))
-    return ex.select("doi", *[v.alias(k) for k, v in fields.items()])
+    return ex.select("doi", *[v.alias(k) for k, v in fields.items()], *by)
 
 
-def silver_identifiers(bronze: DataFrame) -> DataFrame:
+def silver_identifiers(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """ISSN, ISBN and alternative ids as one long table, 1-based position per list.
 
     One scan: the three lists become an array of (type, json, typed) structs, exploded once,
@@ -123,9 +124,9 @@ def silver_identifiers(bronze: DataFrame) -> DataFrame:
         F.struct(F.lit(IDENT_ISBN).alias("t"), F.col("isbn_type_json").alias("j"), F.lit(True).alias("typed")),
         F.struct(F.lit(IDENT_ALT).alias("t"), F.col("alternative_ids_json").alias("j"), F.lit(False).alias("typed")),
     )
-    per_list = bronze.select("doi", F.inline(lists))
+    per_list = bronze.select("doi", *by, F.inline(lists))
     elems = per_list.select(
-        "doi", "t", "typed",
+        "doi", *by, "t", "typed",
         F.posexplode(PF.json_array_elements(F.col("j"))).alias("pos", "e"),
     )
     value = F.when(F.col("typed"), F.try_variant_get("e", "$.value", "string")).otherwise(
@@ -137,6 +138,7 @@ def silver_identifiers(bronze: DataFrame) -> DataFrame:
         value.alias("identifier_value"),
         subtype.alias("identifier_subtype"),
         (F.col("pos") + 1).cast("int").alias("identifier_position"),
+        *by,
     )
     return out.where(F.col("identifier_value").isNotNull() & (F.trim("identifier_value") != ""))
 
@@ -146,7 +148,7 @@ def _issue(cond: Column, issue: tuple[str, str]) -> Column:
                                  F.lit(issue[1]).alias("issue_description")))
 
 
-def record_issues(bronze: DataFrame, as_of=None) -> DataFrame:
+def record_issues(bronze: DataFrame, as_of=None, by: tuple[str, ...] = ()) -> DataFrame:
     """Per-record rules (missing title/authors/DOI, future published date) in a single scan."""
     rules = F.array(
         _issue(F.col("title").isNull(), ISSUE_MISSING_TITLE),
@@ -154,32 +156,34 @@ def record_issues(bronze: DataFrame, as_of=None) -> DataFrame:
         _issue(PF.try_date(F.col("published_date")) > as_of_date(as_of), ISSUE_FUTURE_DATE),
         _issue(F.col("doi").isNull(), ISSUE_MISSING_DOI),
     )
-    hits = bronze.select("doi", F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("i"))
+    hits = bronze.select("doi", *by, F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("i"))
     return hits.select("doi", "i.issue_type", "i.issue_description",
-                       F.lit(1).cast("bigint").alias("affected_row_count"))
+                       F.lit(1).cast("bigint").alias("affected_row_count"), *by)
 
 
-def name_only_author_issues(bronze: DataFrame) -> DataFrame:
+def name_only_author_issues(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per DOI (NULL DOI is a group), the number of authors with a name but no given/family."""
-    ex = exploded_authors(bronze)
+    ex = exploded_authors(bronze, keep=("doi", *by))
     a = F.col("_author")
     cond = (F.try_variant_get(a, "$.name", "string").isNotNull()
             & F.try_variant_get(a, "$.given", "string").isNull()
             & F.try_variant_get(a, "$.family", "string").isNull())
-    return (ex.where(cond).groupBy("doi").agg(F.count(F.lit(1)).alias("affected_row_count"))
+    return (ex.where(cond).groupBy(*by, "doi").agg(F.count(F.lit(1)).alias("affected_row_count"))
             .select("doi", F.lit(ISSUE_NAME_ONLY[0]).alias("issue_type"),
-                    F.lit(ISSUE_NAME_ONLY[1]).alias("issue_description"), "affected_row_count"))
+                    F.lit(ISSUE_NAME_ONLY[1]).alias("issue_description"), "affected_row_count", *by))
 
 
-def silver_quality_issues(bronze: DataFrame, as_of=None) -> DataFrame:
+def silver_quality_issues(bronze: DataFrame, as_of=None, by: tuple[str, ...] = ()) -> DataFrame:
     """All quality issues: two scans of bronze instead of one per rule."""
-    return record_issues(bronze, as_of).unionByName(name_only_author_issues(bronze))
+    return record_issues(bronze, as_of, by).unionByName(name_only_author_issues(bronze, by))
 
 
-def build_silver(bronze: DataFrame, as_of=None) -> dict[str, DataFrame]:
+def build_silver(bronze: DataFrame, as_of=None, by: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The four silver tables. ``by`` (e.g. ``("run",)``) keeps groups apart: de-duplication
+    and per-DOI counts are computed within each group, so many runs are built in one pass."""
     return {
-        "publications": silver_publications(bronze),
-        "publication_authors": silver_authors(bronze),
-        "identifiers": silver_identifiers(bronze),
-        "quality_issues": silver_quality_issues(bronze, as_of),
+        "publications": silver_publications(bronze, by),
+        "publication_authors": silver_authors(bronze, by),
+        "identifiers": silver_identifiers(bronze, by),
+        "quality_issues": silver_quality_issues(bronze, as_of, by),
     }
