@@ -37,7 +37,8 @@ def main() -> None:
         SILVER_TABLES, bronze_schema, run_bronze, run_silver, run_validation, silver_schemas)
     from pubspark.session import build_session
     from pubspark.sources import warehouse as W
-    from pubspark.sources.layers import read_layer, table_path, write_layer
+    from pubspark.sources.layers import read_layer, table_path
+    from pubspark.sources.raw import land_raw
 
     scratch = tempfile.mkdtemp(prefix="pubspark-bench-")
     spark = build_session(
@@ -61,8 +62,8 @@ def main() -> None:
 
     def land():
         for run, fn in sources.items():
-            write_layer(fn(spark, sf_dir).drop("run").withColumn("source_file", F.lit(run)),
-                        raw_root, run)
+            items = fn(spark, sf_dir).withColumn("source_file", F.lit(run))
+            land_raw(items, raw_root, files=cpus)
 
     timed("land_raw", land)
     timed("bronze", lambda: run_bronze(spark, out))

@@ -74,11 +74,19 @@ def date_parts(item: Column, key: str) -> Column:
     month = F.when(n > 1, part(1)).otherwise(F.lit(1).cast("bigint"))
     day = F.when(n > 2, part(2)).otherwise(F.lit(1).cast("bigint"))
     ok = (n >= 1) & year.isNotNull() & month.isNotNull() & day.isNotNull()
-    text = F.when(ok, F.format_string("%04d-%02d-%02d", year, month, day))
+    text = F.when(ok, F.concat_ws("-", _zero_pad(year, 4), _zero_pad(month, 2), _zero_pad(day, 2)))
     precision = F.when(ok, F.when(n == 1, "year").when(n == 2, "month").otherwise("day"))
     return F.struct(text.alias("date"), precision.alias("precision"))
 
 
+def _zero_pad(n: Column, width: int) -> Column:
+    """Integer as text zero-padded to ``width`` digits, like Python's ``f"{n:0{width}d}"``;
+    the fast path (lpad) covers non-negative values of at most ``width`` digits."""
+    fits = (n >= 0) & (n < 10 ** width)
+    return F.when(fits, F.lpad(n.cast("string"), width, "0")).otherwise(
+        F.format_string(f"%0{width}d", n))
+
+
 def date_time(item: Column, key: str) -> Column:
     """``date-time`` text of a date object (NULL if the field is not an object)."""
     return json_text(item, key, "date-time")
@@ -98,11 +106,21 @@ def clean_abstract(value: Column) -> Column:
     return F.when(falsy, F.lit(None).cast("string")).otherwise(F.nullif(collapsed, F.lit("")))
 
 
+def item_as_map(item: Column) -> Column:
+    """A JSON object as ``map<string, variant>`` (NULL for non-objects)."""
+    return F.try_variant_get(item, "$", "map<string,variant>")
+
+
+def extra_metadata_from_map(as_map: Column, known: tuple[str, ...] = KNOWN_FIELDS) -> Column:
+    """JSON object text of the entries whose key is not modelled as a column."""
+    known_arr = F.array(*[F.lit(k) for k in known])
+    return F.when(as_map.isNotNull(),
+                  F.to_json(F.map_filter(as_map, lambda k, v: ~F.array_contains(known_arr, k))))
+
+
 def extra_metadata_json(item: Column, known: tuple[str, ...] = KNOWN_FIELDS) -> Column:
     """JSON object text of every key that is not modelled as a column."""
-    as_map = F.try_variant_get(item, "$", "map<string,variant>")
-    known_arr = F.array(*[F.lit(k) for k in known])
-    return F.to_json(F.map_filter(as_map, lambda k, v: ~F.array_contains(known_arr, k)))
+    return extra_metadata_from_map(item_as_map(item), known)
 
 
 def json_or_default(item: Column, key: str, default: str = "[]") -> Column:
