@@ -33,7 +33,7 @@ def main() -> None:
 
     from pubspark.operators import profiling as P
     from pubspark.plans import analytics as A
-    from pubspark.plans.pipeline import (
+    from pubspark.plans.batch import (
         SILVER_TABLES, bronze_schema, run_bronze, run_silver, run_validation, silver_schemas)
     from pubspark.session import build_session
     from pubspark.sources import warehouse as W
@@ -90,7 +90,7 @@ def main() -> None:
     assert set(SILVER_TABLES) <= set(schemas)
 
     total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "pipeline_wall_time", "value": total, "unit": "sec",
+    print(json.dumps({"metric": "batch_wall_time", "value": total, "unit": "sec",
                       "queries": times, "sf": sf}))
     spark.stop()
 

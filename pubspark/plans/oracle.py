@@ -38,7 +38,7 @@ works AS (
              ELSE 'proceedings-article' END AS publication_type,
         CASE WHEN o_custkey % 31 = 0 THEN NULL
              ELSE 'Publisher ' || CAST(o_custkey % 30 AS VARCHAR) END AS publisher,
-        'Crossref' AS source,
+        'metadata-api' AS source,
         '10.' || CAST(5000 + pair % 40 AS VARCHAR) AS prefix,
         CAST(o_custkey % 100 AS VARCHAR) AS member,
         o_totalprice / 1000 AS score,

@@ -83,11 +83,10 @@ CHECKS = (
     ("quality_issue_count", "Number of quality issue records generated in silver_quality_issues"),
 )
 
-# Staging envelope metadata source label and file-name prefixes of each layer.
-SOURCE_LABEL = "crossref"
-RAW_PREFIX = "crossref_raw_"
-STAGING_PREFIX = "stg_crossref_"
-BRONZE_PREFIX = "bronze_crossref_"
+# Staging metadata source label, and the pattern of the layer prefix in raw file names
+# (``<source>_raw_<run>.json``): the run id is the file stem after it.
+SOURCE_LABEL = "metadata-api"
+RAW_PREFIX_PATTERN = r"^(?:[A-Za-z0-9-]+_)?raw_"
 
 # ---------------------------------------------------------------------------------------------
 # Layer schemas (our own decisions: fixed types instead of per-run inference)

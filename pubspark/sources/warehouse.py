@@ -108,7 +108,7 @@ def order_works(spark: SparkSession, sf_dir: str) -> DataFrame:
       'type', CASE o_orderstatus WHEN 'F' THEN 'journal-article' WHEN 'O' THEN 'book-chapter'
                                  ELSE 'proceedings-article' END,
       'publisher', CASE WHEN o_custkey % 31 = 0 THEN NULL ELSE concat('Publisher ', CAST(o_custkey % 30 AS STRING)) END,
-      'source', 'Crossref',
+      'source', 'metadata-api',
       'prefix', {DOI_PREFIX},
       'member', CAST(o_custkey % 100 AS STRING),
       'score', o_totalprice / 1000,

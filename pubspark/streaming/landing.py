@@ -4,7 +4,7 @@ New raw envelope files dropped into a folder are picked up by a file-source stre
 statelessly, and each micro-batch replaces the bronze partitions of the runs it touched
 (``foreachBatch`` + dynamic partition overwrite), so a replayed batch after a failure writes
 the same result again. Silver tables for those runs can then be rebuilt with
-:func:`pubspark.plans.pipeline.run_silver`.
+:func:`pubspark.plans.batch.run_silver`.
 """
 
 from __future__ import annotations

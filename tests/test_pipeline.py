@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from pubspark.analytics_entry import run_reports
-from pubspark.plans.pipeline import run_pipeline
+from pubspark.plans.batch import run_pipeline
 from pubspark.sources.layers import latest_run, list_runs, read_layer, table_path
 from pubspark.sources.raw import read_raw_envelopes
 from pubspark.streaming.landing import start_bronze_stream
@@ -22,7 +22,7 @@ ITEMS_2 = [{"DOI": "10.1/c", "title": ["y"], "author": [{"given": "Ana", "family
 
 def write_envelope(folder, run, items):
     os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, f"crossref_raw_{run}.json")
+    path = os.path.join(folder, f"metadata_raw_{run}.json")
     with open(path, "w", encoding="utf-8") as f:
         json.dump({"status": "ok", "message": {"items": items}}, f, ensure_ascii=False, indent=2)
     return path
