@@ -46,6 +46,8 @@ def raw_items(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataF
     Landing mirrors the pipeline's raw layer (items are saved, then parsed) and keeps the item
     construction and the parse in separate generated-code stages.
     """
+    # Date-time text carries a 'Z' suffix and is compared as UTC wall clock.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     return _SOURCES[source](spark, sf_dir).checkpoint(eager=True)
 
