@@ -9,6 +9,7 @@ from one bronze DataFrame that is checkpointed (reliable checkpoint in the sessi
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,12 @@ from pubspark.operators.silver import (
 )
 from pubspark.operators.validation import validation_report
 from pubspark.plans import analytics as A
+from pubspark.analytics_entry import run_reports
+from pubspark.plans.batch import run_bronze, run_silver, run_validation
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
+from pubspark.sources.layers import read_layer, table_path
+from pubspark.sources.raw import land_raw
 
 # Fixed reference date for 'future' checks so results do not depend on the day of the run.
 AS_OF = "2025-01-01"
@@ -259,6 +264,32 @@ def q_conversation_author_stats(spark, d):
     return A.author_publication_stats(spark, silver_authors(bronze(spark, d, "conversations")))
 
 
+def layered_build(spark: SparkSession, sf_dir: str) -> str:
+    """Run the layered batch over order works landed as one run per order year: raw landing,
+    bronze, silver (all runs in one pass, keyed by run) and validation are written under a new
+    folder in the session's checkpoint directory. Returns the layer root."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base = ensure_checkpoint_dir(spark)
+    root = f"{base.rstrip('/')}/layers-{uuid.uuid4().hex}"
+    items = W.order_works(spark, sf_dir, run="year(o_orderdate)").withColumn("source_file", F.lit("orders"))
+    land_raw(items, table_path(root, "raw", "items"))
+    run_bronze(spark, root)
+    run_silver(spark, root, as_of=AS_OF)
+    run_validation(spark, root)
+    return root
+
+
+def q_latest_run_validation(spark, d):
+    root = layered_build(spark, d)
+    report = read_layer(spark, table_path(root, "silver", "validation_report"))
+    return report.drop("checked_at", "run")
+
+
+def q_latest_run_author_stats(spark, d):
+    root = layered_build(spark, d)
+    return run_reports(spark, root)["author_publication_stats"]
+
+
 def q_conversation_name_only_issues(spark, d):
     return name_only_author_issues(bronze(spark, d, "conversations"))
 

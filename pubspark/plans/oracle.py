@@ -184,8 +184,18 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
+# The same facts restricted to the orders of the latest order year (the latest run when works
+# are landed one run per order year).
+_LATEST_ORDERS = ("(SELECT * FROM orders WHERE year(o_orderdate) = "
+                  "(SELECT max(year(o_orderdate)) FROM orders))")
+_WORKS_LATEST = _WORKS.replace("FROM orders o LEFT JOIN lines l", f"FROM {_LATEST_ORDERS} o LEFT JOIN lines l")
+assert _WORKS_LATEST != _WORKS
+
+
 ORDERS = _with(_WORKS)
 SILVER = _with(_WORKS, _TYPED, _AUTHORS, _IDENTS, _ISSUES)
+SILVER_LATEST = _with(_WORKS_LATEST, _TYPED, _AUTHORS, _IDENTS, _ISSUES)
+_LATEST_RUN = "(SELECT CAST(max(year(o_orderdate)) AS VARCHAR) FROM orders)"
 
 _BRONZE_SELECT = """
 SELECT doi, title, abstract, publication_type, publisher, source, prefix, member, score,
@@ -417,3 +427,9 @@ SELECT '10.6/conv.' || CAST(conv_id AS VARCHAR) AS doi, 'author_name_only_unpars
        count(*) AS affected_row_count
 FROM conversations WHERE role = 'system' GROUP BY conv_id""",
 }
+
+# Layered build over one run per order year; the reports read the latest run only.
+for _name, _base in (("latest_run_validation", "validation_report"),
+                     ("latest_run_author_stats", "author_publication_stats")):
+    assert ORACLE_SQL[_base].startswith(SILVER)
+    ORACLE_SQL[_name] = SILVER_LATEST + ORACLE_SQL[_base][len(SILVER):]

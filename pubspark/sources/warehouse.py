@@ -66,8 +66,9 @@ def authors_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("transform(array_sort(collect_list(s)), x -> x.a)").alias("authors"))
 
 
-def order_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw work item (JSON text) per order; columns ``raw_item``, ``run``."""
+def order_works(spark: SparkSession, sf_dir: str, run: str = "'orders'") -> DataFrame:
+    """One raw work item (JSON text) per order; columns ``raw_item``, ``run`` (``run`` is a SQL
+    expression over the order columns, e.g. the order year to spread works over several runs)."""
     orders = table(spark, sf_dir, "orders")
     authors = authors_per_order(spark, sf_dir)
     j = orders.join(authors, orders.o_orderkey == authors.l_orderkey, "left")
@@ -154,7 +155,7 @@ def order_works(spark: SparkSession, sf_dir: str) -> DataFrame:
       'author', authors,
       'subject', CASE WHEN o_orderkey % 3 = 0 THEN array(o_orderstatus) END,
       'x-priority', o_orderpriority)"""
-    return j.selectExpr(f"to_json({item}) AS raw_item", "'orders' AS run")
+    return j.selectExpr(f"to_json({item}) AS raw_item", f"CAST({run} AS STRING) AS run")
 
 
 def event_works(spark: SparkSession, sf_dir: str) -> DataFrame:
