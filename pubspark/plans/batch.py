@@ -7,6 +7,8 @@ failed run can restart from the last written layer.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,7 @@ from pubspark.operators.silver import build_silver
 from pubspark.operators.validation import validation_report
 from pubspark.schemas import BRONZE_SCHEMA
 from pubspark.sources.layers import list_runs, read_layer, table_path, write_layer
-from pubspark.sources.raw import land_raw, read_raw_envelopes
+from pubspark.sources.raw import land_raw, read_raw_envelopes, run_id_of
 
 SILVER_TABLES = ("publications", "publication_authors", "identifiers", "quality_issues")
 
@@ -71,7 +73,8 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
     raw = read_raw_envelopes(spark, raw_path, partitions=partitions)
     land_raw(raw, table_path(out_root, "raw", "items"))
     runs = list_runs(spark, table_path(out_root, "raw", "items"))
-    new_runs = sorted(r.run for r in raw.select("run").distinct().collect())  # one per file
+    # run ids from the file index (one per input file): metadata only, no second read of the data
+    new_runs = sorted({run_id_of(os.path.basename(f)) for f in raw.inputFiles()})
     run_bronze(spark, out_root, new_runs)
     run_silver(spark, out_root, new_runs, as_of)
     run_validation(spark, out_root, new_runs)
