@@ -61,9 +61,16 @@ def main() -> None:
     raw_root = table_path(out, "raw", "items")
 
     def land():
+        parts = []
         for run, fn in sources.items():
             items = fn(spark, sf_dir).withColumn("source_file", F.lit(run))
-            land_raw(items, raw_root, files=cpus)
+            if items.rdd.getNumPartitions() < cpus:  # single-file sources: spread for the parse
+                items = items.repartition(cpus)
+            parts.append(items)
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        land_raw(union, raw_root)  # one job for all runs
 
     timed("land_raw", land)
     timed("bronze", lambda: run_bronze(spark, out))
