@@ -70,7 +70,8 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     out = per_col.join(distinct, "position", "left")
     return out.select(
         "column", "dtype", "nulls",
-        F.round(F.col("nulls") / F.col("_height") * 100, 2).alias("null_percent"),
+        # half to even on the shortest decimal form, as Python's round() does on exact ties
+        F.bround(F.col("nulls") / F.col("_height") * 100, 2).alias("null_percent"),
         F.coalesce("unique_values", F.lit(0)).alias("unique_values"), "position",
     ).orderBy("position").drop("position")
 

@@ -340,7 +340,7 @@ prof AS (
     UNION ALL SELECT 'is_referenced_by_count', 'int', count(*) FILTER (WHERE is_referenced_by_count IS NULL),
            count(DISTINCT is_referenced_by_count) + max(CASE WHEN is_referenced_by_count IS NULL THEN 1 ELSE 0 END) FROM pubs
 )
-SELECT "column", dtype, nulls, round(nulls / n * 100, 2) AS null_percent,
+SELECT "column", dtype, nulls, round_even(nulls / n * 100, 2) AS null_percent,
        CAST(unique_values AS BIGINT) AS unique_values
 FROM prof, h""",
     "author_key_frequency": """
