@@ -159,6 +159,7 @@ identifiers AS (
     SELECT doi, 'ISBN', '978-' || CAST(o_orderkey AS VARCHAR), 'print', 1 FROM works WHERE o_orderstatus = 'O'
     UNION ALL
     SELECT doi, 'alternative_id', 'ALT-' || CAST(o_orderkey AS VARCHAR), NULL, 1 FROM works
+    WHERE o_orderkey % 10 <> 3
 )"""
 
 _ISSUES = """
@@ -208,7 +209,8 @@ SELECT doi, title, abstract, publication_type, publisher, source, prefix, member
        indexed_datetime_text AS indexed_datetime, reference_count, references_count,
        is_referenced_by_count, volume, issue, page, url, resource_url,
        '["' || issn1 || '"]' AS issn_json,
-       CASE WHEN o_orderkey % 2 = 0 THEN '["ALT-' || CAST(o_orderkey AS VARCHAR) || '",""]'
+       CASE WHEN o_orderkey % 10 = 3 THEN '[]'
+            WHEN o_orderkey % 2 = 0 THEN '["ALT-' || CAST(o_orderkey AS VARCHAR) || '",""]'
             ELSE '["ALT-' || CAST(o_orderkey AS VARCHAR) || '"]' END AS alternative_ids_json,
        license_json, language, article_number, extra_metadata_json
 FROM works"""

@@ -144,7 +144,8 @@ def order_works(spark: SparkSession, sf_dir: str, run: str = "'orders'") -> Data
       'ISBN', CASE WHEN o_orderstatus = 'O' THEN array(concat('978-', CAST(o_orderkey AS STRING))) END,
       'isbn-type', CASE WHEN o_orderstatus = 'O' THEN
             array(named_struct('value', concat('978-', CAST(o_orderkey AS STRING)), 'type', 'print')) END,
-      'alternative-id', CASE WHEN o_orderkey % 2 = 0 THEN array(concat('ALT-', CAST(o_orderkey AS STRING)), '')
+      'alternative-id', CASE WHEN o_orderkey % 10 = 3 THEN NULL
+                             WHEN o_orderkey % 2 = 0 THEN array(concat('ALT-', CAST(o_orderkey AS STRING)), '')
                              ELSE array(concat('ALT-', CAST(o_orderkey AS STRING))) END,
       'language', CASE WHEN o_orderkey % 2 = 0 THEN 'en' END,
       'article-number', CASE WHEN o_orderkey % 10 = 0 THEN concat('e', CAST(o_orderkey AS STRING)) END,
