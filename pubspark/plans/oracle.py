@@ -359,7 +359,7 @@ SELECT CASE o_orderkey % 5 WHEN 0 THEN 'list' WHEN 1 THEN 'str' WHEN 2 THEN 'lis
        count(*) AS count
 FROM orders GROUP BY 1""",
     "title_length_distribution": """
-SELECT len(string_split(text, chr(10))) AS length, count(*) AS count
+SELECT CAST(len(string_split(text, chr(10))) AS INTEGER) AS length, count(*) AS count
 FROM documents WHERE doc_id % 10 <> 0 GROUP BY 1""",
     "title_missing_vs_empty": """
 SELECT count(*) FILTER (WHERE o_orderkey % 13 = 0) AS missing_count,
@@ -371,7 +371,7 @@ FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1
     "top_author_counts": ORDERS + """
 SELECT raw_doi AS doi,
        CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 19 = 0 THEN NULL ELSE title END AS title,
-       coalesce(n_lines, 0) AS author_count
+       CAST(coalesce(n_lines, 0) AS INTEGER) AS author_count
 FROM works ORDER BY author_count DESC, raw_doi NULLS LAST, title NULLS LAST LIMIT 10""",
     "authors_per_publication": SILVER + """
 SELECT doi, count(*) AS author_count FROM authors GROUP BY doi""",

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import TABLES, canon
+from tools.check_oracle import TABLES, canon, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,9 +27,11 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cur = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
+    otypes = [d[1] for d in cur.description]
     sc, sv = canon(df.columns, [tuple(r) for r in df.collect()])
     oc, ov = canon(ocols, cur.fetchall())
     assert sc == oc
+    assert type_mismatches(df.dtypes, ocols, otypes) == []
     assert sv == ov
 
 
