@@ -3,8 +3,8 @@
 New raw envelope files dropped into a folder are picked up by a file-source stream, parsed
 statelessly, and each micro-batch replaces the bronze partitions of the runs it touched
 (``foreachBatch`` + dynamic partition overwrite), so a replayed batch after a failure writes
-the same result again. Silver tables for those runs can then be rebuilt with
-:func:`pubspark.plans.batch.run_silver`.
+the same result again. With ``refresh_silver=True`` the same
+micro-batch then rebuilds the silver tables and validation report of the touched runs.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubspark.operators.parse import bronze_from_raw
+from pubspark.plans.batch import run_silver, run_validation
 from pubspark.sources.layers import table_path
-from pubspark.sources.raw import ENVELOPE_SCHEMA, run_id
+from pubspark.sources.raw import ENVELOPE_SCHEMA, run_id, run_id_of
 
 
 def raw_item_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
@@ -28,9 +29,13 @@ def raw_item_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger
 
 
 def start_bronze_stream(spark: SparkSession, landing_dir: str, out_root: str,
-                        checkpoint_location: str | None = None, once: bool = True):
+                        checkpoint_location: str | None = None, once: bool = True,
+                        refresh_silver: bool = False, as_of=None):
     """Start the landing stream; returns the ``StreamingQuery``. The checkpoint location must be
-    on shared storage; by default it lives under the session's ``spark.checkpoint.dir``."""
+    on shared storage; by default it lives under the session's ``spark.checkpoint.dir``.
+
+    With ``refresh_silver`` each micro-batch also rebuilds the silver tables and the validation
+    report of the runs it touched (at most ``maxFilesPerTrigger`` runs per batch)."""
     if checkpoint_location is None:
         base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
         checkpoint_location = os.path.join(base, "bronze-landing")
@@ -40,6 +45,15 @@ def start_bronze_stream(spark: SparkSession, landing_dir: str, out_root: str,
         bronze = bronze_from_raw(batch, keep=("source_file", "run"))
         (bronze.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run").parquet(target))
+        if refresh_silver:
+            # run ids of this batch from its file list (metadata only; one run per input file,
+            # so the list is bounded by the trigger size)
+            runs = sorted({run_id_of(os.path.basename(f)) for f in batch.inputFiles()})
+            if not runs:
+                runs = [r.run for r in batch.select("run").distinct().collect()]
+            if runs:
+                run_silver(spark, out_root, runs, as_of)
+                run_validation(spark, out_root, runs)
 
     writer = (raw_item_stream(spark, landing_dir).writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))

@@ -71,3 +71,17 @@ def test_streaming_landing(spark, scratch_dir):
     q.awaitTermination(120)
     bronze = read_layer(spark, table_path(out, "bronze", "works"), run=None)
     assert sorted(r.doi for r in bronze.collect()) == ["10.1/a", "10.1/b", "10.1/c"]
+
+
+def test_streaming_refreshes_silver(spark, scratch_dir):
+    inp, out = f"{scratch_dir}/landing", f"{scratch_dir}/out"
+    write_envelope(inp, "20260101T000000", ITEMS_1)
+    write_envelope(inp, "20260102T000000", ITEMS_2)
+    q = start_bronze_stream(spark, inp, out, checkpoint_location=f"{scratch_dir}/stream-ckpt",
+                            refresh_silver=True, as_of="2025-01-01")
+    q.awaitTermination(180)
+    pubs = read_layer(spark, table_path(out, "silver", "publications"), run=None)
+    assert sorted((r.run, r.doi) for r in pubs.collect()) == [
+        ("20260101T000000", "10.1/a"), ("20260101T000000", "10.1/b"), ("20260102T000000", "10.1/c")]
+    rep = read_layer(spark, table_path(out, "silver", "validation_report"), run=None)
+    assert rep.count() == 20
