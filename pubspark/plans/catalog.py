@@ -88,7 +88,9 @@ BRONZE_COMPARED = (
     "created_date", "created_datetime", "deposited_date", "deposited_datetime",
     "indexed_date", "indexed_datetime", "reference_count", "references_count",
     "is_referenced_by_count", "volume", "issue", "page", "url", "resource_url", "issn_json",
-    "alternative_ids_json", "license_json", "language", "article_number", "extra_metadata_json",
+    "issn_type_json", "authors_json", "license_json", "links_json", "content_domain_json",
+    "journal_issue_json", "alternative_ids_json", "isbn_json", "isbn_type_json", "language",
+    "article_number", "extra_metadata_json",
 )
 
 

@@ -4,6 +4,10 @@ Each statement computes the expected answer straight from the warehouse tables (
 views ``orders``, ``lineitem``, ``events``, ...), without JSON: the item derivation rules of
 :mod:`pubspark.sources.warehouse` are restated as plain column arithmetic, and the pipeline's
 semantics (normalisation, date-parts, casts, de-duplication, explode, rules) as ordinary SQL.
+
+Key-arithmetic conditions (``o_orderkey % 23 = 0`` ...) restate the rules by which the item
+builders dirty individual fields; they never sample rows. Every statement, like every Spark
+query, covers the whole tables.
 """
 
 from __future__ import annotations
@@ -198,6 +202,28 @@ SILVER = _with(_WORKS, _TYPED, _AUTHORS, _IDENTS, _ISSUES)
 SILVER_LATEST = _with(_WORKS_LATEST, _TYPED, _AUTHORS, _IDENTS, _ISSUES)
 _LATEST_RUN = "(SELECT CAST(max(year(o_orderdate)) AS VARCHAR) FROM orders)"
 
+_AUTHOR_JSON = """,
+author_json AS (
+    SELECT l_orderkey, '[' || string_agg(
+        '{' || concat_ws(',',
+            CASE WHEN NOT (named OR empty) AND l_partkey % 3 = 0 THEN '"ORCID":"' ||
+                 (CASE WHEN l_partkey % 2 = 0 THEN 'https://orcid.org/' ELSE 'http://orcid.org/' END) ||
+                 printf('0000-0002-%04d-%04d', l_partkey, l_suppkey) || '"' END,
+            CASE WHEN named OR empty THEN NULL
+                 WHEN l_suppkey % 2 = 0 THEN '"affiliation":[{"name":"Institute ' || CAST(l_suppkey % 7 AS VARCHAR) || '"}]'
+                 ELSE '"affiliation":[]' END,
+            CASE WHEN NOT (named OR empty) THEN '"family":"Family' || CAST(l_suppkey % 25 AS VARCHAR) || '"' END,
+            CASE WHEN named OR empty THEN NULL WHEN l_tax = 0 THEN '"given":""' WHEN l_discount = 0 THEN NULL
+                 ELSE '"given":"Given' || CAST(l_partkey % 60 AS VARCHAR) || '"' END,
+            CASE WHEN named THEN '"name":"Consortium ' || CAST(l_suppkey % 9 AS VARCHAR) || '"' END,
+            '"sequence":"' || CASE WHEN l_linenumber = 1 AND NOT (named OR empty) THEN 'first' ELSE 'additional' END || '"'
+        ) || '}', ','
+        ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) || ']'
+        AS authors_json
+    FROM (SELECT *, (l_returnflag = 'R' AND l_linestatus = 'F') AS named, (l_quantity < 3) AS empty FROM lineitem)
+    GROUP BY l_orderkey
+)"""
+
 _BRONZE_SELECT = """
 SELECT doi, title, abstract, publication_type, publisher, source, prefix, member, score,
        container_title, short_container_title,
@@ -209,16 +235,26 @@ SELECT doi, title, abstract, publication_type, publisher, source, prefix, member
        indexed_datetime_text AS indexed_datetime, reference_count, references_count,
        is_referenced_by_count, volume, issue, page, url, resource_url,
        '["' || issn1 || '"]' AS issn_json,
+       CASE WHEN o_orderkey % 10 = 3 THEN '[]'
+            ELSE '[{"type":"print","value":"' || issn1 || '"},{"type":"electronic","value":"' || issn2 || '"}]'
+       END AS issn_type_json,
+       coalesce(aj.authors_json, '[]') AS authors_json,
+       '[]' AS links_json,
+       CAST(NULL AS VARCHAR) AS content_domain_json,
+       CAST(NULL AS VARCHAR) AS journal_issue_json,
+       CASE WHEN o_orderstatus = 'O' THEN '["978-' || CAST(o_orderkey AS VARCHAR) || '"]' ELSE '[]' END AS isbn_json,
+       CASE WHEN o_orderstatus = 'O'
+            THEN '[{"type":"print","value":"978-' || CAST(o_orderkey AS VARCHAR) || '"}]' ELSE '[]' END AS isbn_type_json,
        CASE WHEN o_orderkey % 10 = 3 THEN '[]'
             WHEN o_orderkey % 2 = 0 THEN '["ALT-' || CAST(o_orderkey AS VARCHAR) || '",""]'
             ELSE '["ALT-' || CAST(o_orderkey AS VARCHAR) || '"]' END AS alternative_ids_json,
        license_json, language, article_number, extra_metadata_json
-FROM works"""
+FROM works LEFT JOIN author_json aj ON aj.l_orderkey = works.o_orderkey"""
 
 _PY_WS = r"[\t\n\x0b\f\r \x{1c}-\x{1f}\x{85}\p{Z}]"
 
 ORACLE_SQL: dict[str, str] = {
-    "bronze_works": ORDERS + _BRONZE_SELECT,
+    "bronze_works": ORDERS + _AUTHOR_JSON + _BRONZE_SELECT,
     "silver_publications": SILVER + " SELECT * FROM pubs",
     "silver_authors": SILVER + " SELECT * FROM authors",
     "silver_identifiers": SILVER + " SELECT * FROM identifiers",
