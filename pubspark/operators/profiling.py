@@ -157,7 +157,10 @@ def rows_per_key(df: DataFrame, key: str = "doi", name: str = "author_count",
 
 # J2
 def publications_without_authors(publications: DataFrame, authors: DataFrame) -> DataFrame:
-    return (publications.join(authors.select("doi"), on="doi", how="left_anti")
+    """Publications whose DOI has no author row. The author side is reduced to distinct DOIs
+    (map-side) first: a DOI with a huge share of author rows would otherwise sit, unsplittable,
+    on the build side of the anti join."""
+    return (publications.join(authors.select("doi").distinct(), on="doi", how="left_anti")
             .select("doi", "title", "publisher", "publication_type"))
 
 
@@ -200,5 +203,9 @@ def doi_hygiene_totals(hygiene: DataFrame) -> DataFrame:
 
 # U2
 def value_difference(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
-    """Distinct values of ``column`` in ``a`` that are not in ``b`` (set difference)."""
-    return a.select(column).subtract(b.select(column))
+    """Distinct values of ``column`` in ``a`` that are not in ``b`` (set difference; NULL equals
+    NULL as in EXCEPT). Both sides are de-duplicated map-side before the anti join, so a hot
+    value costs one row per map task on either side."""
+    left = a.select(column).distinct()
+    right = b.select(F.col(column).alias("_v")).distinct()
+    return left.join(right, left[column].eqNullSafe(right["_v"]), "left_anti")
