@@ -8,8 +8,6 @@ from pubspark.functions.json_fields import (
     extra_metadata_json,
     first_from_list,
     json_array_elements,
-    json_or_default,
-    json_or_null,
     json_text,
     normalize_doi,
     py_strip,
@@ -19,7 +17,7 @@ from pubspark.functions.json_fields import (
 
 __all__ = [
     "clean_abstract", "date_parts", "date_time", "extra_metadata_json", "first_from_list",
-    "json_array_elements", "json_or_default", "json_or_null", "json_text", "normalize_doi",
+    "json_array_elements", "json_text", "normalize_doi",
     "py_strip", "resource_url", "strip_orcid", "try_date", "try_int_rounded", "try_long_rounded",
     "try_timestamp",
 ]

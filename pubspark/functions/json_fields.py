@@ -115,20 +115,6 @@ def extra_metadata_json(item: Column, known: tuple[str, ...] = KNOWN_FIELDS) ->
     return extra_metadata_from_map(item_as_map(item), known)
 
 
-def json_or_default(item: Column, key: str, default: str = "[]") -> Column:
-    """JSON text of a field; ``default`` when absent, SQL NULL when present as JSON null."""
-    v = get(item, key)
-    return (F.when(v.isNull(), F.lit(default))
-            .when(F.is_variant_null(v), F.lit(None).cast("string"))
-            .otherwise(F.to_json(v)))
-
-
-def json_or_null(item: Column, key: str) -> Column:
-    """JSON text of a field; SQL NULL when absent or JSON null."""
-    v = get(item, key)
-    return F.when(v.isNotNull() & ~F.is_variant_null(v), F.to_json(v))
-
-
 def json_array_elements(json_col: Column) -> Column:
     """Elements of a JSON array held as text, as ``array<variant>``.
 

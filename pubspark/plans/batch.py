@@ -18,7 +18,7 @@ from pubspark.operators.silver import build_silver
 from pubspark.operators.validation import validation_report
 from pubspark.schemas import BRONZE_SCHEMA
 from pubspark.sources.layers import list_runs, read_layer, table_path, write_layer
-from pubspark.sources.raw import land_raw, read_raw_envelopes, run_id_of
+from pubspark.sources.raw import land_raw, read_landed_raw, read_raw_envelopes, run_id_of
 
 SILVER_TABLES = ("publications", "publication_authors", "identifiers", "quality_issues")
 
@@ -29,7 +29,7 @@ def _runs_filter(df, runs):
 
 def run_bronze(spark: SparkSession, out_root: str, runs=None) -> str:
     """Parse landed raw items of ``runs`` (all when None) into bronze, one narrow stage."""
-    raw = _runs_filter(spark.read.parquet(table_path(out_root, "raw", "items")), runs)
+    raw = _runs_filter(read_landed_raw(spark, table_path(out_root, "raw", "items")), runs)
     bronze = bronze_from_raw(raw, keep=("source_file", "run"))
     return write_layer(bronze, table_path(out_root, "bronze", "works"))
 
