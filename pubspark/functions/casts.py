@@ -25,6 +25,6 @@ def try_long_rounded(value: Column) -> Column:
     return F.bround(exact, 0).try_cast("bigint")
 
 
-def try_int_rounded(value: Column) -> Column:
-    """BIGINT/number -> INT, NULL when out of range."""
+def try_int(value: Column) -> Column:
+    """BIGINT -> INT, NULL when out of range (fractions were already rounded in bronze)."""
     return value.try_cast("int")

@@ -51,7 +51,7 @@ def _typed_publication_columns() -> list[Column]:
         elif c in _TS_COLS:
             out.append(PF.try_timestamp(F.col(c)).alias(c))
         elif c in _INT_COLS:
-            out.append(PF.try_int_rounded(F.col(c)).alias(c))
+            out.append(PF.try_int(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return out

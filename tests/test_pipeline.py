@@ -85,3 +85,14 @@ def test_streaming_refreshes_silver(spark, scratch_dir):
         ("20260101T000000", "10.1/a"), ("20260101T000000", "10.1/b"), ("20260102T000000", "10.1/c")]
     rep = read_layer(spark, table_path(out, "silver", "validation_report"), run=None)
     assert rep.count() == 20
+
+
+def test_read_envelopes_json_lines(spark, scratch_dir):
+    folder = f"{scratch_dir}/lines"
+    os.makedirs(folder)
+    with open(f"{folder}/metadata_raw_20260105T000000.jsonl", "w", encoding="utf-8") as f:
+        for items in (ITEMS_1, ITEMS_2):
+            f.write(json.dumps({"message": {"items": items}}, ensure_ascii=False) + "\n")
+    raw = read_raw_envelopes(spark, folder, multi_line=False)
+    assert raw.count() == 3
+    assert {r.run for r in raw.collect()} == {"20260105T000000"}
