@@ -82,3 +82,24 @@ def test_hot_doi_is_correct(spark):
     got = {r.check_name: r.metric_value for r in rep.collect()}
     assert got["unique_publication_doi"] == "rows=601, distinct_dois=601"
     assert got["authors_have_matching_publication"] == "0"
+
+
+def test_hot_author_name_and_anti_join(spark):
+    """A name carried by a third of all author rows: distinct counts stay exact, and the anti
+    join's build side is reduced to distinct DOIs before the shuffle."""
+    from pubspark.operators.profiling import publications_without_authors
+    from pubspark.plans import analytics as A
+
+    items = ([{"DOI": f"10.1/h{i % 50}", "title": ["t"],
+               "author": [{"given": "Hot", "family": "Name", "sequence": "first" if i % 2 else "additional"}]}
+              for i in range(400)]
+             + [{"DOI": f"10.1/c{i}", "title": ["t"], "author": [{"given": f"G{i}", "family": "F"}]}
+                for i in range(800)]
+             + [{"DOI": "10.1/none", "title": ["t"]}])
+    s = build_silver(bronze_of(spark, items).repartition(6), "2025-01-01")
+    top = A.author_publication_stats(spark, s["publication_authors"]).first()
+    assert (top.author_name, top.publication_count, top.first_author_count) == ("Hot Name", 50, 200)
+    orphans = publications_without_authors(s["publications"], s["publication_authors"])
+    assert [r.doi for r in orphans.collect()] == ["10.1/none"]
+    phys = plan_text(orphans)
+    assert "LeftAnti" in phys and phys.count("HashAggregate(keys=[doi") >= 2
