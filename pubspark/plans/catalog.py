@@ -31,7 +31,7 @@ from pubspark.plans.batch import run_bronze, run_silver, run_validation
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
 from pubspark.sources.layers import read_layer, table_path
-from pubspark.sources.raw import land_raw
+from pubspark.sources.raw import land_raw, read_raw_envelopes
 
 # Fixed reference date for 'future' checks so results do not depend on the day of the run.
 AS_OF = "2025-01-01"
@@ -281,6 +281,22 @@ def layered_build(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def q_envelope_latest_run_validation(spark, d):
+    """Envelope files (JSON lines, one folder per run) -> read -> land -> bronze -> silver ->
+    validation; the report of the latest run."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base = ensure_checkpoint_dir(spark)
+    root = f"{base.rstrip('/')}/envelopes-{uuid.uuid4().hex}"
+    W.order_envelopes(spark, d).write.partitionBy("run").text(f"{root}/in")
+    raw = read_raw_envelopes(spark, f"{root}/in", multi_line=False, run_from_partition=True)
+    land_raw(raw, table_path(root, "raw", "items"))
+    run_bronze(spark, root)
+    run_silver(spark, root, as_of=AS_OF)
+    run_validation(spark, root)
+    report = read_layer(spark, table_path(root, "silver", "validation_report"))
+    return report.drop("checked_at", "run")
+
+
 def q_latest_run_validation(spark, d):
     root = layered_build(spark, d)
     report = read_layer(spark, table_path(root, "silver", "validation_report"))

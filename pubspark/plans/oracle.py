@@ -468,6 +468,7 @@ FROM conversations WHERE role = 'system' GROUP BY conv_id""",
 
 # Layered build over one run per order year; the reports read the latest run only.
 for _name, _base in (("latest_run_validation", "validation_report"),
+                     ("envelope_latest_run_validation", "validation_report"),
                      ("latest_run_author_stats", "author_publication_stats")):
     assert ORACLE_SQL[_base].startswith(SILVER)
     ORACLE_SQL[_name] = SILVER_LATEST + ORACLE_SQL[_base][len(SILVER):]

@@ -66,7 +66,8 @@ def authors_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("transform(array_sort(collect_list(s)), x -> x.a)").alias("authors"))
 
 
-def order_works(spark: SparkSession, sf_dir: str, run: str = "'orders'") -> DataFrame:
+def order_works(spark: SparkSession, sf_dir: str, run: str = "'orders'",
+                extra: tuple[str, ...] = ()) -> DataFrame:
     """One raw work item (JSON text) per order; columns ``raw_item``, ``run`` (``run`` is a SQL
     expression over the order columns, e.g. the order year to spread works over several runs)."""
     orders = table(spark, sf_dir, "orders")
@@ -156,7 +157,26 @@ def order_works(spark: SparkSession, sf_dir: str, run: str = "'orders'") -> Data
       'author', authors,
       'subject', CASE WHEN o_orderkey % 3 = 0 THEN array(o_orderstatus) END,
       'x-priority', o_orderpriority)"""
-    return j.selectExpr(f"to_json({item}) AS raw_item", f"CAST({run} AS STRING) AS run")
+    return j.selectExpr(f"to_json({item}) AS raw_item", f"CAST({run} AS STRING) AS run", *extra)
+
+
+# Works per envelope: the page size of one metadata API response.
+PAGE_SIZE = 200
+
+
+def order_envelopes(spark: SparkSession, sf_dir: str, run: str = "year(o_orderdate)") -> DataFrame:
+    """API-style envelopes ``{"message": {"items": [...]}}`` of at most ``PAGE_SIZE`` order works
+    each (consecutive order keys, one page per run and key range), one JSON document per row
+    with its ``run``. A page holds a fixed, bounded number of works, so assembling it never
+    gathers an unbounded group."""
+    works = order_works(spark, sf_dir, run=run,
+                        extra=(f"CAST(floor(o_orderkey / {PAGE_SIZE}) AS BIGINT) AS page",
+                               "o_orderkey"))
+    pages = works.groupBy("run", "page").agg(
+        F.expr("concat('{\"message\":{\"items\":[', "
+               "array_join(transform(array_sort(collect_list(struct(o_orderkey, raw_item))), "
+               "x -> x.raw_item), ','), ']}}')").alias("envelope"))
+    return pages.select("envelope", "run")
 
 
 def event_works(spark: SparkSession, sf_dir: str) -> DataFrame:
