@@ -20,9 +20,13 @@ def try_timestamp(text: Column) -> Column:
 
 
 def try_long_rounded(value: Column) -> Column:
-    """Numeric or numeric-text value -> BIGINT, fractions rounded half to even; else NULL."""
+    """Numeric or numeric-text value (VARIANT) -> BIGINT; else NULL.
+
+    Fractions round the way the silver integer cast treats its input type: JSON numbers (read
+    as DOUBLE) half to even, numeric text half away from zero."""
     exact = F.try_variant_get(value, "$", "decimal(38,9)")
-    return F.bround(exact, 0).try_cast("bigint")
+    is_text = F.to_json(value).startswith('"')
+    return F.when(is_text, F.round(exact, 0)).otherwise(F.bround(exact, 0)).try_cast("bigint")
 
 
 def try_int(value: Column) -> Column:

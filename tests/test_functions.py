@@ -89,9 +89,11 @@ def test_lists_absent_vs_null(spark):
 
 def test_counts_rounding(spark):
     b = bronze_of(spark, [{"DOI": "a", "is-referenced-by-count": 2.5, "reference-count": "1.6",
-                           "references-count": 3.5}])
-    r = b.first()
-    assert (r.is_referenced_by_count, r.reference_count, r.references_count) == (2, 2, 4)
+                           "references-count": 3.5},
+                          {"DOI": "b", "is-referenced-by-count": "2.5", "reference-count": -2.5,
+                           "references-count": "x"}])
+    got = {r.doi: (r.is_referenced_by_count, r.reference_count, r.references_count) for r in b.collect()}
+    assert got == {"a": (2, 2, 4), "b": (3, -2, None)}
 
 
 def test_malformed_item_dropped(spark):
