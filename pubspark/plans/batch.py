@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pubspark.operators.parse import bronze_from_raw
-from pubspark.operators.silver import build_silver
+from pubspark.operators.silver import build_silver, silver_publications
 from pubspark.operators.validation import validation_report
 from pubspark.schemas import BRONZE_SCHEMA
 from pubspark.sources.layers import list_runs, read_layer, table_path, write_layer
@@ -54,6 +54,14 @@ def run_silver(spark: SparkSession, out_root: str, runs=None, as_of=None) -> dic
             for name in SILVER_TABLES}
 
 
+def current_publications(spark: SparkSession, out_root: str) -> DataFrame:
+    """Publications de-duplicated across all runs: bronze of every run (multi-run scan), latest
+    deposited/indexed version per DOI, whichever run it came from."""
+    bronze = read_layer(spark, table_path(out_root, "bronze", "works"), None,
+                        schema=bronze_schema()).drop("run")
+    return silver_publications(bronze)
+
+
 def run_validation(spark: SparkSession, out_root: str, runs=None) -> str:
     """One report per run (ten rows each), all runs in one job."""
     schemas = silver_schemas(spark)

@@ -27,7 +27,7 @@ from pubspark.operators.silver import (
 from pubspark.operators.validation import validation_report
 from pubspark.plans import analytics as A
 from pubspark.analytics_entry import run_reports
-from pubspark.plans.batch import run_bronze, run_silver, run_validation
+from pubspark.plans.batch import current_publications, run_bronze, run_silver, run_validation
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
 from pubspark.sources.layers import read_layer, table_path
@@ -297,6 +297,11 @@ def q_envelope_latest_run_validation(spark, d):
     return report.drop("checked_at", "run")
 
 
+def q_publications_across_runs(spark, d):
+    """Layered build with one run per order year, then de-duplication across all runs."""
+    return current_publications(spark, layered_build(spark, d))
+
+
 def q_latest_run_validation(spark, d):
     root = layered_build(spark, d)
     report = read_layer(spark, table_path(root, "silver", "validation_report"))

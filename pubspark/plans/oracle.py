@@ -466,6 +466,9 @@ SELECT '10.6/conv.' || CAST(conv_id AS VARCHAR) AS doi, 'author_name_only_unpars
 FROM conversations WHERE role = 'system' GROUP BY conv_id""",
 }
 
+# De-duplication across every run equals de-duplication of the whole table.
+ORACLE_SQL["publications_across_runs"] = ORACLE_SQL["silver_publications"]
+
 # Layered build over one run per order year; the reports read the latest run only.
 for _name, _base in (("latest_run_validation", "validation_report"),
                      ("envelope_latest_run_validation", "validation_report"),
