@@ -75,10 +75,10 @@ def run_validation(spark: SparkSession, out_root: str, runs=None) -> str:
 
 def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
                  raise_on_fail: bool = False, partitions: int | None = None,
-                 max_failures_reported: int = 1000) -> dict:
+                 max_failures_reported: int = 1000, multi_line: bool = True) -> dict:
     """Process every raw envelope file under ``raw_path`` (one run per file) in one pass per
     layer. Returns the run ids and the failed checks (bounded)."""
-    raw = read_raw_envelopes(spark, raw_path, partitions=partitions)
+    raw = read_raw_envelopes(spark, raw_path, partitions=partitions, multi_line=multi_line)
     land_raw(raw, table_path(out_root, "raw", "items"))
     runs = list_runs(spark, table_path(out_root, "raw", "items"))
     # run ids from the file index (one per input file): metadata only, no second read of the data
