@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubspark.operators import profiling as P
-from pubspark.operators.parse import bronze_from_raw, parse_items
+from pubspark.operators.parse import bronze_from_raw, parse_items, parse_works, to_bronze
 from pubspark.operators.silver import (
     name_only_author_issues,
     silver_authors,
@@ -32,6 +32,7 @@ from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
 from pubspark.sources.layers import read_layer, table_path
 from pubspark.sources.raw import land_raw, read_raw_envelopes
+from pubspark.sources.staging import read_staging, staging_metadata, write_staging
 
 # Fixed reference date for 'future' checks so results do not depend on the day of the run.
 AS_OF = "2025-01-01"
@@ -302,6 +303,27 @@ def q_publications_across_runs(spark, d):
     return current_publications(spark, layered_build(spark, d))
 
 
+def _staged_orders(spark, d):
+    raw = raw_items(spark, d).withColumn("source_file", F.lit("orders"))
+    keep = ("record_hash", "source_file", "run")
+    return parse_works(parse_items(raw, keep=("source_file", "run")), keep=keep)
+
+
+def q_staging_roundtrip_bronze(spark, d):
+    """Staged works written as JSON lines (nested values as JSON) in the checkpoint folder, read
+    back with the staged schema and flattened to bronze."""
+    staged = _staged_orders(spark, d)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging-{uuid.uuid4().hex}"
+    write_staging(staged, root)
+    back = read_staging(spark, root, staged.schema)
+    return to_bronze(back).select(*BRONZE_COMPARED)
+
+
+def q_staging_metadata(spark, d):
+    """Per raw file: source label and number of staged works."""
+    return staging_metadata(_staged_orders(spark, d)).select("source", "raw_file", "work_count")
+
+
 def q_latest_run_validation(spark, d):
     root = layered_build(spark, d)
     report = read_layer(spark, table_path(root, "silver", "validation_report"))

@@ -466,6 +466,11 @@ SELECT '10.6/conv.' || CAST(conv_id AS VARCHAR) AS doi, 'author_name_only_unpars
 FROM conversations WHERE role = 'system' GROUP BY conv_id""",
 }
 
+# The staged layer round trip (JSON lines with nested JSON values) gives bronze unchanged.
+ORACLE_SQL["staging_roundtrip_bronze"] = ORACLE_SQL["bronze_works"]
+ORACLE_SQL["staging_metadata"] = """
+SELECT 'metadata-api' AS source, 'orders' AS raw_file, count(*) AS work_count FROM orders"""
+
 # De-duplication across every run equals de-duplication of the whole table.
 ORACLE_SQL["publications_across_runs"] = ORACLE_SQL["silver_publications"]
 
