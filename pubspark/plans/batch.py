@@ -27,11 +27,17 @@ def _runs_filter(df, runs):
     return df if runs is None else df.where(F.col("run").isin(list(runs)))
 
 
+def _replace(runs) -> dict:
+    """Rebuilding given runs replaces exactly their partitions (also when a table has no rows
+    left for a run); rebuilding all runs replaces the whole table."""
+    return {"replace_all": True} if runs is None else {"replace_runs": list(runs)}
+
+
 def run_bronze(spark: SparkSession, out_root: str, runs=None) -> str:
     """Parse landed raw items of ``runs`` (all when None) into bronze, one narrow stage."""
     raw = _runs_filter(read_landed_raw(spark, table_path(out_root, "raw", "items")), runs)
     bronze = bronze_from_raw(raw, keep=("source_file", "run"))
-    return write_layer(bronze, table_path(out_root, "bronze", "works"))
+    return write_layer(bronze, table_path(out_root, "bronze", "works"), **_replace(runs))
 
 
 def bronze_schema() -> T.StructType:
@@ -50,7 +56,7 @@ def run_silver(spark: SparkSession, out_root: str, runs=None, as_of=None) -> dic
     bronze = _runs_filter(read_layer(spark, table_path(out_root, "bronze", "works"), None,
                                      schema=bronze_schema()), runs)
     tables = build_silver(bronze, as_of, by=("run",))
-    return {name: write_layer(tables[name], table_path(out_root, "silver", name))
+    return {name: write_layer(tables[name], table_path(out_root, "silver", name), **_replace(runs))
             for name in SILVER_TABLES}
 
 
@@ -70,7 +76,7 @@ def run_validation(spark: SparkSession, out_root: str, runs=None) -> str:
          for name in SILVER_TABLES}
     report = validation_report(t["publications"], t["publication_authors"], t["identifiers"],
                                t["quality_issues"], by=("run",))
-    return write_layer(report, table_path(out_root, "silver", "validation_report"))
+    return write_layer(report, table_path(out_root, "silver", "validation_report"), **_replace(runs))
 
 
 def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
@@ -79,10 +85,10 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
     """Process every raw envelope file under ``raw_path`` (one run per file) in one pass per
     layer. Returns the run ids and the failed checks (bounded)."""
     raw = read_raw_envelopes(spark, raw_path, partitions=partitions, multi_line=multi_line)
-    land_raw(raw, table_path(out_root, "raw", "items"))
-    runs = list_runs(spark, table_path(out_root, "raw", "items"))
     # run ids from the file index (one per input file): metadata only, no second read of the data
     new_runs = sorted({run_id_of(os.path.basename(f)) for f in raw.inputFiles()})
+    land_raw(raw, table_path(out_root, "raw", "items"), replace_runs=new_runs)
+    runs = list_runs(spark, table_path(out_root, "raw", "items"))
     run_bronze(spark, out_root, new_runs)
     run_silver(spark, out_root, new_runs, as_of)
     run_validation(spark, out_root, new_runs)

@@ -18,20 +18,47 @@ def table_path(root: str, layer: str, name: str) -> str:
     return os.path.join(root, layer, name)
 
 
-def write_layer(df: DataFrame, path: str, run: str | None = None) -> str:
-    """Write ``df`` under ``path`` partitioned by run (adds ``run`` when given)."""
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def drop_runs(spark: SparkSession, path: str, runs) -> None:
+    """Remove the partitions of ``runs`` under a layer path (metadata operations only)."""
+    fs, base = _fs_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    for r in runs:
+        p = jvm.org.apache.hadoop.fs.Path(base, f"run={r}")
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
+def write_layer(df: DataFrame, path: str, run: str | None = None, replace_runs=None,
+                replace_all: bool = False) -> str:
+    """Write ``df`` under ``path`` partitioned by run (adds ``run`` when given).
+
+    Default: dynamic partition overwrite (partitions present in ``df`` are replaced).
+    ``replace_runs``: these runs are rebuilt — their partitions are removed first and ``df`` is
+    appended, so a run that now has no rows for this table is left empty instead of keeping
+    stale rows. ``replace_all``: the whole table is replaced.
+    """
     if run is not None:
         df = df.withColumn("run", F.lit(run))
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run").parquet(path))
+    writer = df.write.partitionBy("run")
+    if replace_all:
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    elif replace_runs is not None:
+        drop_runs(df.sparkSession, path, replace_runs)
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return path
 
 
 def list_runs(spark: SparkSession, path: str) -> list[str]:
     """Run ids present under a layer path, from ``run=...`` directory names."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs_path(spark, path)
     if not fs.exists(hpath):
         return []
     runs = []

@@ -96,3 +96,17 @@ def test_read_envelopes_json_lines(spark, scratch_dir):
     raw = read_raw_envelopes(spark, folder, multi_line=False)
     assert raw.count() == 3
     assert {r.run for r in raw.collect()} == {"20260105T000000"}
+
+
+def test_rerun_replaces_runs_that_become_empty(spark, scratch_dir):
+    inp, out = f"{scratch_dir}/in", f"{scratch_dir}/out"
+    with_ids = [{"DOI": "10.1/z", "title": ["t"], "ISSN": ["1"], "issn-type": [{"value": "1", "type": "print"}]}]
+    write_envelope(inp, "20260101T000000", with_ids)
+    run_pipeline(spark, inp, out, as_of="2025-01-01")
+    ids = table_path(out, "silver", "identifiers")
+    assert read_layer(spark, ids, run=None).count() == 1
+    # the same run re-landed without identifiers: its identifier rows must disappear
+    write_envelope(inp, "20260101T000000", [{"DOI": "10.1/z", "title": ["t"]}])
+    run_pipeline(spark, inp, out, as_of="2025-01-01")
+    assert list_runs(spark, ids) == []
+    assert read_layer(spark, table_path(out, "silver", "publications"), run=None).count() == 1
