@@ -206,6 +206,9 @@ def value_difference(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """Distinct values of ``column`` in ``a`` that are not in ``b`` (set difference; NULL equals
     NULL as in EXCEPT). Both sides are de-duplicated map-side before the anti join, so a hot
     value costs one row per map task on either side."""
-    left = a.select(column).distinct()
+    left = a.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     right = b.select(F.col(column).alias("_v")).distinct()
-    return left.join(right, left[column].eqNullSafe(right["_v"]), "left_anti")
+    # ``_n > 0`` always holds; referencing the aggregate keeps the anti join above the left
+    # de-duplication (otherwise the optimizer pushes the join below it).
+    cond = left[column].eqNullSafe(right["_v"]) & (left["_n"] > 0)
+    return left.join(right, cond, "left_anti").select(column)

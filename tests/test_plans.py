@@ -103,3 +103,13 @@ def test_hot_author_name_and_anti_join(spark):
     assert [r.doi for r in orphans.collect()] == ["10.1/none"]
     phys = plan_text(orphans)
     assert "LeftAnti" in phys and phys.count("HashAggregate(keys=[doi") >= 2
+
+
+def test_orphan_check_aggregates_before_anti_join(spark, scratch_dir):
+    from pubspark.operators.validation import orphan_count
+
+    b = written_bronze(spark, scratch_dir, ITEMS)
+    s = build_silver(b, "2025-01-01")
+    phys = plan_text(orphan_count(s["publication_authors"], s["publications"]))
+    anti = phys.index("LeftAnti")
+    assert "HashAggregate(keys=[doi" in phys[anti:]  # the per-DOI count feeds the join
