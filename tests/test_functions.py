@@ -99,3 +99,23 @@ def test_counts_rounding(spark):
 def test_malformed_item_dropped(spark):
     b = bronze_of(spark, ['{"DOI": "a"}', "{bad json"])
     assert [r.doi for r in b.collect()] == ["a"]
+
+
+@pytest.mark.parametrize("doi,expected", [(12, "12"), (0, None), (True, "true"), (False, None), ([], None)])
+def test_normalize_doi_non_string(spark, doi, expected):
+    assert one(spark, {"DOI": doi}, "doi") == expected
+
+
+@pytest.mark.parametrize("title,expected", [([{"a": 1}], '{"a":1}'), ([True], "true"), ([1.5], "1.5")])
+def test_first_from_list_nested_and_scalars(spark, title, expected):
+    assert one(spark, {"DOI": "x", "title": title}, "title") == expected
+
+
+def test_raw_author_rows_skip_non_objects(spark):
+    from pubspark.operators.parse import parse_items
+    from pubspark.plans.analytics import raw_author_rows
+    from tests.helpers import raw_df
+
+    items = [{"DOI": "D", "author": [{"given": "a", "affiliation": [{"name": "x"}]}, "just text", None, 3]}]
+    got = [tuple(r) for r in raw_author_rows(parse_items(raw_df(spark, items))).collect()]
+    assert got == [("D", "a", None, None, '[{"name":"x"}]')]
