@@ -106,15 +106,17 @@ def json_type_distribution(items: DataFrame, field: str) -> DataFrame:
 
 # A15
 def list_length_distribution(items: DataFrame, field: str) -> DataFrame:
-    n = F.size(get(F.col("item"), field, as_type="array<variant>"))
-    return (items.where(n >= 0).groupBy(n.alias("length"))
+    arr = get(F.col("item"), field, as_type="array<variant>")
+    n = F.size(arr)
+    return (items.where(arr.isNotNull()).groupBy(n.alias("length"))
             .agg(F.count(F.lit(1)).alias("count")))
 
 
 # A16
 def missing_vs_empty(items: DataFrame, field: str) -> DataFrame:
     v = get(F.col("item"), field)
-    empty = F.size(get(F.col("item"), field, as_type="array<variant>")) == 0
+    arr = get(F.col("item"), field, as_type="array<variant>")
+    empty = arr.isNotNull() & (F.size(arr) == 0)
     return items.agg(F.count_if(v.isNull()).alias("missing_count"),
                      F.count_if(empty).alias("empty_list_count"))
 
@@ -136,7 +138,8 @@ def with_without(items: DataFrame, field: str = "author") -> DataFrame:
 def list_size_per_record(items: DataFrame, field: str = "author", k: int | None = 10) -> DataFrame:
     """doi, first title and the size of a list field per raw record; top-k by size."""
     item = F.col("item")
-    n = F.coalesce(F.size(get(item, field, as_type="array<variant>")), F.lit(0))
+    arr = get(item, field, as_type="array<variant>")
+    n = F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))  # also right without ANSI mode
     out = items.select(get(item, "DOI", as_type="string").alias("doi"),
                        get(item, "title", 0, as_type="string").alias("title"),
                        n.alias(f"{field}_count"))
