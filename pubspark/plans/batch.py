@@ -7,6 +7,7 @@ failed run can restart from the last written layer.
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from pubspark.schemas import BRONZE_SCHEMA
 from pubspark.sources.layers import list_runs, read_layer, table_path, write_layer
 from pubspark.sources.raw import land_raw, read_landed_raw, read_raw_envelopes, run_id_of
 
+_log = logging.getLogger(__name__)
+
 SILVER_TABLES = ("publications", "publication_authors", "identifiers", "quality_issues")
 
 
@@ -96,6 +99,8 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
                                      None), new_runs)
     failed = [r.asDict() for r in report.where(F.col("status") == "fail")
               .select("run", "check_name", "metric_value").limit(max_failures_reported).collect()]
-    if failed and raise_on_fail:
-        raise AssertionError(f"silver validation failed: {failed}")
+    if failed:
+        if raise_on_fail:
+            raise AssertionError(f"silver validation failed: {failed}")
+        _log.warning("silver validation completed with failed checks: %s", failed)
     return {"runs": new_runs, "all_runs": runs, "failed_checks": failed}
