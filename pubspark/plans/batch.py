@@ -59,7 +59,11 @@ def run_silver(spark: SparkSession, out_root: str, runs=None, as_of=None) -> dic
     bronze = _runs_filter(read_layer(spark, table_path(out_root, "bronze", "works"), None,
                                      schema=bronze_schema()), runs)
     tables = build_silver(bronze, as_of, by=("run",))
-    return {name: write_layer(tables[name], table_path(out_root, "silver", name), **_replace(runs))
+    # publications and quality issues come out of a (run, doi) shuffle; authors and identifiers
+    # are narrow from bronze and keep its per-run file layout
+    shuffled = {"publications", "quality_issues"}
+    return {name: write_layer(tables[name], table_path(out_root, "silver", name),
+                              rebalance=name in shuffled, **_replace(runs))
             for name in SILVER_TABLES}
 
 
@@ -79,7 +83,8 @@ def run_validation(spark: SparkSession, out_root: str, runs=None) -> str:
          for name in SILVER_TABLES}
     report = validation_report(t["publications"], t["publication_authors"], t["identifiers"],
                                t["quality_issues"], by=("run",))
-    return write_layer(report, table_path(out_root, "silver", "validation_report"), **_replace(runs))
+    return write_layer(report, table_path(out_root, "silver", "validation_report"),
+                       rebalance=True, **_replace(runs))
 
 
 def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,

@@ -35,16 +35,22 @@ def drop_runs(spark: SparkSession, path: str, runs) -> None:
 
 
 def write_layer(df: DataFrame, path: str, run: str | None = None, replace_runs=None,
-                replace_all: bool = False) -> str:
+                replace_all: bool = False, rebalance: bool = False) -> str:
     """Write ``df`` under ``path`` partitioned by run (adds ``run`` when given).
 
     Default: dynamic partition overwrite (partitions present in ``df`` are replaced).
     ``replace_runs``: these runs are rebuilt — their partitions are removed first and ``df`` is
     appended, so a run that now has no rows for this table is left empty instead of keeping
     stale rows. ``replace_all``: the whole table is replaced.
+
+    ``rebalance``: for output that was just shuffled on other keys (every task then holds rows
+    of many runs and would write one file per run): a REBALANCE on ``run`` lets adaptive
+    execution group each run's rows into few files, merging small runs and splitting a large one.
     """
     if run is not None:
         df = df.withColumn("run", F.lit(run))
+    if rebalance:
+        df = df.hint("rebalance", "run")
     writer = df.write.partitionBy("run")
     if replace_all:
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
