@@ -42,11 +42,21 @@ def main() -> None:
     from pubspark.sources.raw import land_raw
 
     scratch = tempfile.mkdtemp(prefix="pubspark-bench-")
-    spark = build_session(
-        master=f"local[{cpus}]", app_name="pubspark-bench", shuffle_partitions=cpus * 2,
-        extra={"spark.driver.memory": "16g",
-               "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-               "spark.sql.warehouse.dir": os.path.join(scratch, "wh")})
+    extra = {"spark.driver.memory": "16g",
+             # the record parse is CPU-bound and uneven per byte: ask for several input splits
+             # per core so the scheduler can balance it (inert at large data sizes, where
+             # bytes per core exceed the 128 MB split size anyway)
+             "spark.sql.files.minPartitionNum": str(cpus * 4),
+             "spark.sql.files.openCostInBytes": str(1 << 20),
+             "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+             "spark.sql.warehouse.dir": os.path.join(scratch, "wh")}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for tools/stage_times.py
+        os.makedirs(os.path.join(scratch, "events"))
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": "file://" + os.path.join(scratch, "events")})
+        print(f"event log: {scratch}/events", file=sys.stderr)
+    spark = build_session(master=f"local[{cpus}]", app_name="pubspark-bench",
+                          shuffle_partitions=cpus * 2, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     out = os.path.join(scratch, "out")
     times: dict[str, float] = {}
