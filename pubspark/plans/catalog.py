@@ -5,6 +5,9 @@ Inputs are raw JSON work items derived from the warehouse tables (see
 bronze -> silver -> report/analytics. Queries that need several silver tables derive them
 from one bronze DataFrame that is checkpointed (reliable checkpoint in the session's
 ``spark.checkpoint.dir``) so the raw items are built and parsed once, and lineage is cut.
+The layered queries (``latest_run_*``, ``envelope_*``, ``staging_*``,
+``publications_across_runs``) write their layers under a new folder in that same checkpoint
+directory and read them back, exercising the storage code as well.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pubspark.analytics_entry import run_reports
 from pubspark.operators import profiling as P
 from pubspark.operators.parse import bronze_from_raw, parse_items, parse_works, to_bronze
 from pubspark.operators.silver import (
@@ -26,7 +30,6 @@ from pubspark.operators.silver import (
 )
 from pubspark.operators.validation import validation_report
 from pubspark.plans import analytics as A
-from pubspark.analytics_entry import run_reports
 from pubspark.plans.batch import current_publications, run_bronze, run_silver, run_validation
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
