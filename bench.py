@@ -62,6 +62,8 @@ def main() -> None:
     times: dict[str, float] = {}
 
     def timed(name, fn):
+        # stage names in the event log then carry the bench step (tools/stage_times.py)
+        spark.sparkContext.setLocalProperty("callSite.short", name)
         t0 = time.perf_counter()
         r = fn()
         times[name] = round(time.perf_counter() - t0, 3)
