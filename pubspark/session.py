@@ -46,14 +46,15 @@ def build_session(master: str | None = None, app_name: str = "pubspark",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to a shared filesystem and we use it as is. Only when it
-    is unset (local tests) do we fall back to a scratch folder.
+    On a cluster the operator sets it to a shared filesystem and we use it as is. It may be
+    unset only on a local master (tests, one machine), where a scratch folder serves; any other
+    master raises, because a machine-local folder is invisible to the other executors.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        current = sc.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="pubspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        current = tempfile.mkdtemp(prefix="pubspark-ckpt-")
     sc.setCheckpointDir(current)
     return current
