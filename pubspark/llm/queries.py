@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pubspark.llm import byte_pair, quality_rules
+from pubspark.llm import (
+    byte_pair, personal_data, quality_rules, record_files, sequence_packing)
 from pubspark.llm.common import read_table
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"))
 
@@ -19,6 +24,17 @@ def op7_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op5_quality_rules, op7_byte_pair)}
+def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence_packing.pack_documents(read_table(spark, sf_dir, "documents"),
+                                           public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_files.round_trip(read_table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+LLM_QUERIES = {f.__name__: f for f in (
+    op3_personal_data, op5_quality_rules, op7_byte_pair, op9_sequence_packing, op10_record_files)}
 
 LLM_ORACLE_SQL = {"op5_quality_rules": quality_rules.report_sql()}
