@@ -6,18 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pubspark.llm import (
-    byte_pair, personal_data, quality_rules, record_files, sequence_packing)
+    byte_pair, license_diagonals, personal_data, quality_rules, record_files, sequence_packing, tag_paths,
+    toxic_passages)
 from pubspark.llm.common import read_table
 
 
+def op2_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_diagonals.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data_report(read_table(spark, sf_dir, "documents"))
 
 
+def op4_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxic_passages.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxic_passages.toxicity_report(docs, model)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op7_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pair.round_trip(read_table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -35,6 +50,8 @@ def op10_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op3_personal_data, op5_quality_rules, op7_byte_pair, op9_sequence_packing, op10_record_files)}
+    op2_license_diagonals, op3_personal_data, op4_toxic_passages, op5_quality_rules, op6_tag_paths,
+    op7_byte_pair, op9_sequence_packing, op10_record_files)}
 
-LLM_ORACLE_SQL = {"op5_quality_rules": quality_rules.report_sql()}
+LLM_ORACLE_SQL = {"op2_license_diagonals": license_diagonals.scan_sql(),
+                  "op5_quality_rules": quality_rules.report_sql()}
