@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pubspark.llm import (
-    byte_pair, license_diagonals, personal_data, quality_rules, record_files, sequence_packing, tag_paths,
+    byte_pair, chosen_paths, license_diagonals, personal_data, quality_rules, record_files, sequence_packing, tag_paths,
     toxic_passages)
 from pubspark.llm.common import read_table
 
@@ -39,6 +39,10 @@ def op7_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+def op8_chosen_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_paths.near_duplicates(read_table(spark, sf_dir, "documents")).drop("own")
+
+
 def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_packing.pack_documents(read_table(spark, sf_dir, "documents"),
                                            public_tokenizers.path("word_bpe_49k.json"))
@@ -51,7 +55,7 @@ def op10_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {f.__name__: f for f in (
     op2_license_diagonals, op3_personal_data, op4_toxic_passages, op5_quality_rules, op6_tag_paths,
-    op7_byte_pair, op9_sequence_packing, op10_record_files)}
+    op7_byte_pair, op8_chosen_paths, op9_sequence_packing, op10_record_files)}
 
 LLM_ORACLE_SQL = {"op2_license_diagonals": license_diagonals.scan_sql(),
                   "op5_quality_rules": quality_rules.report_sql()}
