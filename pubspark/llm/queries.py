@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pubspark.llm import (
-    byte_pair, chosen_paths, license_diagonals, personal_data, quality_rules, record_files, sequence_packing, tag_paths,
-    toxic_passages)
+    byte_pair, chosen_paths, license_diagonals, personal_data, quality_rules, record_files, sequence_packing,
+    subspace_join, tag_paths, toxic_passages)
 from pubspark.llm.common import read_table
 
 
+def op1_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_diagonals.scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_license_diagonals, op3_personal_data, op4_toxic_passages, op5_quality_rules, op6_tag_paths,
+    op1_subspace_join, op2_license_diagonals, op3_personal_data, op4_toxic_passages, op5_quality_rules, op6_tag_paths,
     op7_byte_pair, op8_chosen_paths, op9_sequence_packing, op10_record_files)}
 
 LLM_ORACLE_SQL = {"op2_license_diagonals": license_diagonals.scan_sql(),
