@@ -35,7 +35,7 @@ def main() -> None:
     from pubspark.operators import profiling as P
     from pubspark.plans import analytics as A
     from pubspark.plans.batch import (
-        SILVER_TABLES, bronze_schema, run_bronze, run_silver, run_validation, silver_schemas)
+        SILVER_TABLES, read_bronze, run_bronze, run_silver, run_validation, silver_schemas)
     from pubspark.session import build_session
     from pubspark.sources import warehouse as W
     from pubspark.sources.layers import read_layer, table_path
@@ -76,10 +76,8 @@ def main() -> None:
     def land():
         parts = []
         for run, fn in sources.items():
-            items = fn(spark, sf_dir).withColumn("source_file", F.lit(run))
-            if items.rdd.getNumPartitions() < cpus:  # single-file sources: spread for the parse
-                items = items.repartition(cpus)
-            parts.append(items)
+            # spread single-file sources for the parse
+            parts.append(fn(spark, sf_dir).withColumn("source_file", F.lit(run)).repartition(cpus))
         union = parts[0]
         for p in parts[1:]:
             union = union.unionByName(p)
@@ -92,10 +90,10 @@ def main() -> None:
 
     schemas = silver_schemas(spark)
 
-    def silver(name, run="orders"):
-        return read_layer(spark, table_path(out, "silver", name), run, schema=schemas[name]).drop("run")
+    def silver(name):  # all runs
+        return read_layer(spark, table_path(out, "silver", name), None, schema=schemas[name]).drop("run")
 
-    bronze = read_layer(spark, table_path(out, "bronze", "works"), "orders", schema=bronze_schema())
+    bronze = read_bronze(spark, out)
     timed("q1_author_publication_stats",
           lambda: A.author_publication_stats(spark, silver("publication_authors")).collect())
     timed("q2_publisher_type_summary",

@@ -21,6 +21,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--as-of", default=None, help="reference date for future-date checks")
     run.add_argument("--json-lines", action="store_true", help="one envelope per line")
     run.add_argument("--raise-on-fail", action="store_true")
+    run.add_argument("--raise-on-broken", action="store_true", help="stop at broken envelopes")
+    run.add_argument("--rows", type=int, default=20, help="failed checks shown")
     rep = sub.add_parser("reports", help="print the report queries of one run")
     rep.add_argument("out_root")
     rep.add_argument("--run", default="latest")
@@ -34,8 +36,11 @@ def main(argv: list[str] | None = None) -> int:
         from pubspark.plans.batch import run_pipeline
 
         res = run_pipeline(spark, args.raw_path, args.out_root, as_of=args.as_of,
-                           raise_on_fail=args.raise_on_fail, multi_line=not args.json_lines)
-        print(json.dumps(res, default=str))
+                           raise_on_fail=args.raise_on_fail,
+                           raise_on_broken=args.raise_on_broken, multi_line=not args.json_lines)
+        print(json.dumps({k: v for k, v in res.items() if k != "failed_checks"}))
+        if res["failed_count"]:
+            res["failed_checks"].show(args.rows, truncate=False)
     else:
         from pubspark.analytics_entry import run_reports
 

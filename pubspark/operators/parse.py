@@ -33,17 +33,11 @@ _COUNT_FIELDS = (
 
 
 def parse_items(raw: DataFrame, text_col: str = "raw_item", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Raw item text -> ``item`` VARIANT column plus ``record_hash`` (64-bit hash of the exact
-    item text, used to tell record versions apart). Malformed items are dropped (see
-    :func:`malformed_items` to count them)."""
-    cols = [F.try_parse_json(F.col(text_col)).alias("item"),
-            F.xxhash64(F.col(text_col)).alias("record_hash")] + [F.col(c) for c in keep]
-    return raw.select(*cols).where(F.col("item").isNotNull())
-
-
-def malformed_items(raw: DataFrame, text_col: str = "raw_item") -> DataFrame:
-    """Rows whose item text is not valid JSON."""
-    return raw.where(F.col(text_col).isNotNull() & F.try_parse_json(F.col(text_col)).isNull())
+    """Raw item text -> ``item`` VARIANT column (NULL for text that is not JSON) plus
+    ``record_hash`` (64-bit hash of the exact item text, used to tell record versions apart).
+    There is no filter here: pushed below the projection it would parse every record twice."""
+    return raw.select(F.try_parse_json(F.col(text_col)).alias("item"),
+                      F.xxhash64(F.col(text_col)).alias("record_hash"), *[F.col(c) for c in keep])
 
 
 def _staged_columns(item: Column) -> list[Column]:
@@ -115,7 +109,19 @@ def to_bronze(staged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return staged.select(*out, *[F.col(k) for k in keep])
 
 
+def bronze_with_status(raw: DataFrame, text_col: str = "raw_item", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw item text -> bronze in one narrow stage that parses each record once. Every input row
+    gives a row; ``parse_ok`` tells whether its text was JSON, and ``bad_item`` keeps the text
+    that was not (the quarantine)."""
+    keep = (*keep, "record_hash")
+    items = parse_items(raw, text_col, (*keep[:-1], text_col))
+    ok = F.col("item").isNotNull()
+    marked = items.select("item", *keep, ok.alias("parse_ok"), F.when(~ok, F.col(text_col)).alias("bad_item"))
+    keep = (*keep, "parse_ok", "bad_item")
+    return to_bronze(parse_works(marked, keep=keep), keep=keep)
+
+
 def bronze_from_raw(raw: DataFrame, text_col: str = "raw_item", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Convenience: raw item text -> bronze in one narrow stage."""
-    keep = ("record_hash",) + tuple(keep)
-    return to_bronze(parse_works(parse_items(raw, text_col, keep[1:]), keep=keep), keep=keep)
+    """Bronze rows of the items that parse; over a written table of :func:`bronze_with_status`
+    the same choice is a pushed-down filter and the parse runs once."""
+    return bronze_with_status(raw, text_col, keep).where("parse_ok").drop("parse_ok", "bad_item")

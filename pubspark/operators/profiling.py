@@ -46,8 +46,9 @@ def date_consistency(publications: DataFrame) -> DataFrame:
 # A12
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: type, NULL count, NULL percent (2 decimals), distinct values (NULL counts as
-    a value). Exact distinct counts unpivot to (column, value) pairs that are de-duplicated with
-    map-side combine; ``approx=True`` uses HyperLogLog sketches in a single pass instead."""
+    a value). Exact distinct counts unpivot to (column, digest of the value) pairs that are
+    de-duplicated with map-side combine, so texts of any length shuffle as 32 bytes;
+    ``approx=True`` uses HyperLogLog sketches in a single pass instead."""
     cols = df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     nulls = df.agg(F.count(F.lit(1)).alias("_height"),
@@ -63,7 +64,7 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
             for i in range(len(cols))])))
     else:
         pairs = df.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("position"), F.col(c).cast("string").alias("value"))
+            F.struct(F.lit(i).alias("position"), F.unhex(F.sha2(F.col(c).cast("string"), 256)).alias("value"))
             for i, c in enumerate(cols)])))
         distinct = (pairs.distinct()
                     .groupBy("position").agg(F.count(F.lit(1)).alias("unique_values")))
@@ -112,6 +113,23 @@ def list_length_distribution(items: DataFrame, field: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")))
 
 
+# P8
+def non_empty_lists(df: DataFrame, column: str) -> DataFrame:
+    """Values of a JSON-list text column with at least one element."""
+    return df.where(F.json_array_length(column) > 0).select(column)
+
+
+# P12
+def columns_missing_in(df: DataFrame, other: DataFrame) -> DataFrame:
+    """Columns of ``df`` that ``other`` lacks, with their types and non-NULL rows."""
+    missing = sorted(set(df.columns) - set(other.columns))
+    types = dict(df.dtypes)
+    counts = df.agg(*[F.count(c).alias(c) for c in missing])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(c).alias("non_null_rows"))
+        for c in missing])))
+
+
 # A16
 def missing_vs_empty(items: DataFrame, field: str) -> DataFrame:
     v = get(F.col("item"), field)

@@ -8,18 +8,17 @@ failed run can restart from the last written layer.
 from __future__ import annotations
 
 import logging
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pubspark.operators.parse import bronze_from_raw
+from pubspark.operators.parse import bronze_with_status
 from pubspark.operators.silver import build_silver, silver_publications
-from pubspark.operators.validation import validation_report
+from pubspark.operators.validation import failed_checks, validation_report
 from pubspark.schemas import BRONZE_SCHEMA
-from pubspark.sources.layers import list_runs, read_layer, table_path, write_layer
-from pubspark.sources.raw import land_raw, read_landed_raw, read_raw_envelopes, run_id_of
+from pubspark.sources.layers import drop_runs, list_runs, read_layer, table_path, write_layer
+from pubspark.sources.raw import broken_envelopes, items_of, land_raw, read_envelopes, read_landed_raw
 
 _log = logging.getLogger(__name__)
 
@@ -37,15 +36,47 @@ def _replace(runs) -> dict:
 
 
 def run_bronze(spark: SparkSession, out_root: str, runs=None) -> str:
-    """Parse landed raw items of ``runs`` (all when None) into bronze, one narrow stage."""
+    """Parse landed raw items of ``runs`` (all when None) into bronze, one narrow stage. Items
+    that do not parse are rows too (``parse_ok`` false, their text in ``bad_item``)."""
     raw = _runs_filter(read_landed_raw(spark, table_path(out_root, "raw", "items")), runs)
-    bronze = bronze_from_raw(raw, keep=("source_file", "run"))
+    bronze = bronze_with_status(raw, keep=("source_file", "run"))
     return write_layer(bronze, table_path(out_root, "bronze", "works"), **_replace(runs))
 
 
+def read_bronze(spark: SparkSession, out_root: str) -> DataFrame:
+    """Bronze works of all runs (the items that parsed), with ``run``."""
+    written = read_layer(spark, table_path(out_root, "bronze", "works"), None, schema=bronze_schema())
+    return written.where("parse_ok").drop("parse_ok", "bad_item")
+
+
+def quarantine(spark: SparkSession, out_root: str) -> DataFrame:
+    """What was not processed: ``run, source_file, kind`` (``item`` or ``envelope``) and ``content``."""
+    written = read_layer(spark, table_path(out_root, "bronze", "works"), None, schema=bronze_schema())
+    items = written.where(~F.col("parse_ok")).select(
+        "run", "source_file", F.lit("item").alias("kind"), F.col("bad_item").alias("content"))
+    path = table_path(out_root, "quarantine", "envelopes")
+    if not list_runs(spark, path):
+        return items
+    broken = read_layer(spark, path, None, schema=_BROKEN_SCHEMA)
+    return items.unionByName(broken.select("run", "source_file", F.lit("envelope").alias("kind"),
+                                           F.col("broken").alias("content")))
+
+
 def bronze_schema() -> T.StructType:
     return T.StructType(BRONZE_SCHEMA.fields + [T.StructField("record_hash", T.LongType()),
-                                                T.StructField("source_file", T.StringType())])
+                                                T.StructField("source_file", T.StringType()),
+                                                T.StructField("parse_ok", T.BooleanType()),
+                                                T.StructField("bad_item", T.StringType())])
+
+
+_BROKEN_SCHEMA = T.StructType([T.StructField("broken", T.StringType()), T.StructField("source_file", T.StringType())])
+_REPORT_SCHEMA = T.StructType([T.StructField("checked_at", T.TimestampType()), *(
+    T.StructField(c, T.StringType()) for c in ("check_name", "status", "metric_value", "details"))])
+
+
+def read_report(spark: SparkSession, out_root: str, run: str | None = None) -> DataFrame:
+    """Validation reports of all runs (or one, or ``latest``)."""
+    return read_layer(spark, table_path(out_root, "silver", "validation_report"), run, schema=_REPORT_SCHEMA)
 
 
 def silver_schemas(spark: SparkSession) -> dict[str, T.StructType]:
@@ -56,8 +87,7 @@ def silver_schemas(spark: SparkSession) -> dict[str, T.StructType]:
 
 def run_silver(spark: SparkSession, out_root: str, runs=None, as_of=None) -> dict[str, str]:
     """Build the four silver tables for ``runs`` in one pass, keyed by run."""
-    bronze = _runs_filter(read_layer(spark, table_path(out_root, "bronze", "works"), None,
-                                     schema=bronze_schema()), runs)
+    bronze = _runs_filter(read_bronze(spark, out_root), runs)
     tables = build_silver(bronze, as_of, by=("run",))
     # publications and quality issues come out of a (run, doi) shuffle; authors and identifiers
     # are narrow from bronze and keep its per-run file layout
@@ -70,9 +100,7 @@ def run_silver(spark: SparkSession, out_root: str, runs=None, as_of=None) -> dic
 def current_publications(spark: SparkSession, out_root: str) -> DataFrame:
     """Publications de-duplicated across all runs: bronze of every run (multi-run scan), latest
     deposited/indexed version per DOI, whichever run it came from."""
-    bronze = read_layer(spark, table_path(out_root, "bronze", "works"), None,
-                        schema=bronze_schema()).drop("run")
-    return silver_publications(bronze)
+    return silver_publications(read_bronze(spark, out_root).drop("run"))
 
 
 def run_validation(spark: SparkSession, out_root: str, runs=None) -> str:
@@ -88,24 +116,48 @@ def run_validation(spark: SparkSession, out_root: str, runs=None) -> str:
 
 
 def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
-                 raise_on_fail: bool = False, partitions: int | None = None,
-                 max_failures_reported: int = 1000, multi_line: bool = True) -> dict:
-    """Process every raw envelope file under ``raw_path`` (one run per file) in one pass per
-    layer. Returns the run ids and the failed checks (bounded)."""
-    raw = read_raw_envelopes(spark, raw_path, partitions=partitions, multi_line=multi_line)
-    # run ids from the file index (one per input file): metadata only, no second read of the data
-    new_runs = sorted({run_id_of(os.path.basename(f)) for f in raw.inputFiles()})
-    land_raw(raw, table_path(out_root, "raw", "items"), replace_runs=new_runs)
-    runs = list_runs(spark, table_path(out_root, "raw", "items"))
-    run_bronze(spark, out_root, new_runs)
-    run_silver(spark, out_root, new_runs, as_of)
-    run_validation(spark, out_root, new_runs)
-    report = _runs_filter(read_layer(spark, table_path(out_root, "silver", "validation_report"),
-                                     None), new_runs)
-    failed = [r.asDict() for r in report.where(F.col("status") == "fail")
-              .select("run", "check_name", "metric_value").limit(max_failures_reported).collect()]
-    if failed:
+                 raise_on_fail: bool = False, raise_on_broken: bool = False,
+                 partitions: int | None = None, multi_line: bool = True) -> dict:
+    """Process every raw envelope file under ``raw_path`` (one run per file) in one pass per layer.
+
+    A run with a broken envelope keeps its earlier data in all layers; the broken text goes to
+    the quarantine (``raise_on_broken``: raises after writing it). Returns the processed runs, the
+    runs kept back, all runs, and the failed checks of the processed runs: all of them as a
+    DataFrame over the written report, and their number.
+    """
+    envelopes = read_envelopes(spark, raw_path, multi_line=multi_line)
+    state = (envelopes.groupBy("run").agg(F.max(F.col("broken").isNotNull()).alias("is_broken"))
+             .orderBy("run").collect())  # one row per run of this batch
+    kept_back = [r["run"] for r in state if r["is_broken"]]
+    new_runs = [r["run"] for r in state if not r["is_broken"]]
+    _write_broken(spark, envelopes, out_root, kept_back, new_runs)
+    if kept_back:
+        if raise_on_broken:
+            raise ValueError(f"broken envelopes in {len(kept_back)} runs, see the quarantine: {kept_back[:10]}")
+        _log.warning("broken envelopes, runs kept back (see the quarantine): %s", kept_back)
+    items = items_of(_runs_filter(envelopes, new_runs))
+    land_raw(items, table_path(out_root, "raw", "items"), files=partitions, replace_runs=new_runs)
+    if new_runs:
+        run_bronze(spark, out_root, new_runs)
+        run_silver(spark, out_root, new_runs, as_of)
+        run_validation(spark, out_root, new_runs)
+    failed, n = None, 0
+    if new_runs:
+        failed = failed_checks(_runs_filter(read_report(spark, out_root), new_runs)).select(
+            "run", "check_name", "metric_value")
+        n = failed.count()
+    if n:
         if raise_on_fail:
-            raise AssertionError(f"silver validation failed: {failed}")
-        _log.warning("silver validation completed with failed checks: %s", failed)
-    return {"runs": new_runs, "all_runs": runs, "failed_checks": failed}
+            raise AssertionError(f"silver validation failed: {n} checks, see the validation report")
+        _log.warning("silver validation completed with %d failed checks, see the validation report", n)
+    return {"runs": new_runs, "kept_back": kept_back, "failed_checks": failed, "failed_count": n,
+            "all_runs": list_runs(spark, table_path(out_root, "raw", "items"))}
+
+
+def _write_broken(spark: SparkSession, envelopes: DataFrame, out_root: str, kept_back, new_runs) -> None:
+    """Replace the quarantined envelopes of these runs; a run that is sound again leaves none."""
+    path = table_path(out_root, "quarantine", "envelopes")
+    if kept_back:
+        land_raw(broken_envelopes(_runs_filter(envelopes, kept_back)), path, replace_runs=kept_back)
+    if new_runs and list_runs(spark, path):
+        drop_runs(spark, path, new_runs)

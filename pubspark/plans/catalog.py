@@ -3,8 +3,8 @@
 Inputs are raw JSON work items derived from the warehouse tables (see
 :mod:`pubspark.sources.warehouse`); every query then runs the real layer code: parse ->
 bronze -> silver -> report/analytics. Queries that need several silver tables derive them
-from one bronze DataFrame that is checkpointed (reliable checkpoint in the session's
-``spark.checkpoint.dir``) so the raw items are built and parsed once, and lineage is cut.
+from one bronze DataFrame that is written as Parquet to the session's ``spark.checkpoint.dir``
+and read back, so the raw items are built and parsed once, and lineage is cut.
 The layered queries (``latest_run_*``, ``envelope_*``, ``staging_*``,
 ``publications_across_runs``) write their layers under a new folder in that same checkpoint
 directory and read them back, exercising the storage code as well.
@@ -18,9 +18,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pubspark import functions as PF
 from pubspark.analytics_entry import run_reports
 from pubspark.operators import profiling as P
-from pubspark.operators.parse import bronze_from_raw, parse_items, parse_works, to_bronze
+from pubspark.operators.parse import bronze_with_status, parse_items, parse_works, to_bronze
 from pubspark.operators.silver import (
     name_only_author_issues,
     silver_authors,
@@ -28,13 +29,22 @@ from pubspark.operators.silver import (
     silver_publications,
     silver_quality_issues,
 )
-from pubspark.operators.validation import validation_report
+from pubspark.operators.validation import failed_checks, validation_report
 from pubspark.plans import analytics as A
-from pubspark.plans.batch import current_publications, run_bronze, run_silver, run_validation
+from pubspark.plans.batch import (
+    current_publications,
+    quarantine,
+    read_bronze,
+    read_report,
+    run_bronze,
+    run_silver,
+    run_validation,
+)
+from pubspark.schemas import BRONZE_COLUMNS
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
-from pubspark.sources.layers import read_layer, table_path
-from pubspark.sources.raw import land_raw, read_raw_envelopes
+from pubspark.sources.layers import land, query_file, table_path
+from pubspark.sources.raw import broken_envelopes, items_of, land_raw, read_envelopes, read_raw_envelopes
 from pubspark.sources.staging import read_staging, staging_metadata, write_staging
 
 # Fixed reference date for 'future' checks so results do not depend on the day of the run.
@@ -57,23 +67,21 @@ def raw_items(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataF
     """
     # Date-time text carries a 'Z' suffix and is compared as UTC wall clock.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
-    return _SOURCES[source](spark, sf_dir).checkpoint(eager=True)
+    return land(_SOURCES[source](spark, sf_dir), "raw-items")
 
 
 def items(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
-    return parse_items(raw_items(spark, sf_dir, source))
+    return parse_items(raw_items(spark, sf_dir, source)).where(F.col("item").isNotNull())
 
 
-def bronze(spark: SparkSession, sf_dir: str, source: str = "orders", materialize: bool = False) -> DataFrame:
-    b = bronze_from_raw(raw_items(spark, sf_dir, source))
-    if materialize:
-        b = b.checkpoint(eager=True)
-    return b
+def bronze(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
+    """Bronze works, parsed once and landed; the reader's filter leaves the items that parsed."""
+    b = land(bronze_with_status(raw_items(spark, sf_dir, source)), "bronze")
+    return b.where("parse_ok").drop("parse_ok", "bad_item")
 
 
 def silver(spark: SparkSession, sf_dir: str, source: str = "orders") -> dict[str, DataFrame]:
-    b = bronze(spark, sf_dir, source, materialize=True)
+    b = bronze(spark, sf_dir, source)
     return {
         "bronze": b,
         "publications": silver_publications(b),
@@ -83,19 +91,7 @@ def silver(spark: SparkSession, sf_dir: str, source: str = "orders") -> dict[str
     }
 
 
-BRONZE_COMPARED = (
-    "doi", "title", "abstract", "publication_type", "publisher", "source", "prefix", "member",
-    "score", "container_title", "short_container_title",
-    "published_date", "published_print_date", "published_online_date", "issued_date",
-    "published_date_precision", "published_print_date_precision",
-    "published_online_date_precision", "issued_date_precision",
-    "created_date", "created_datetime", "deposited_date", "deposited_datetime",
-    "indexed_date", "indexed_datetime", "reference_count", "references_count",
-    "is_referenced_by_count", "volume", "issue", "page", "url", "resource_url", "issn_json",
-    "issn_type_json", "authors_json", "license_json", "links_json", "content_domain_json",
-    "journal_issue_json", "alternative_ids_json", "isbn_json", "isbn_type_json", "language",
-    "article_number", "extra_metadata_json",
-)
+BRONZE_COMPARED = BRONZE_COLUMNS
 
 
 def q_bronze_works(spark, d):
@@ -175,7 +171,7 @@ def q_duplicate_dois(spark, d):
 
 
 def q_conflicting_versions(spark, d):
-    return P.conflicting_versions(bronze(spark, d).where(F.col("doi").isNotNull()))
+    return P.conflicting_versions(bronze(spark, d))
 
 
 def q_publication_coverage(spark, d):
@@ -197,9 +193,7 @@ def q_date_consistency(spark, d):
 
 
 def q_column_profile(spark, d):
-    p = silver_publications(bronze(spark, d))
-    return P.column_profile(p.select("doi", "title", "publisher", "published_date",
-                                     "is_referenced_by_count"))
+    return P.column_profile(silver_publications(bronze(spark, d)))
 
 
 def q_author_key_frequency(spark, d):
@@ -297,8 +291,96 @@ def q_envelope_latest_run_validation(spark, d):
     run_bronze(spark, root)
     run_silver(spark, root, as_of=AS_OF)
     run_validation(spark, root)
-    report = read_layer(spark, table_path(root, "silver", "validation_report"))
-    return report.drop("checked_at", "run")
+    return read_report(spark, root, "latest").drop("checked_at", "run")
+
+
+def q_envelope_quarantine(spark, d):
+    """Envelopes of which some are cut off and some hold items that are no JSON objects: works,
+    quarantined items and quarantined envelopes per run."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/damaged-{uuid.uuid4().hex}"
+    W.damaged_envelopes(spark, d).write.partitionBy("run").text(f"{root}/in")
+    envelopes = read_envelopes(spark, f"{root}/in", multi_line=False, run_from_partition=True)
+    land_raw(items_of(envelopes), table_path(root, "raw", "items"))
+    land_raw(broken_envelopes(envelopes), table_path(root, "quarantine", "envelopes"))
+    run_bronze(spark, root)
+    rows = (read_bronze(spark, root).select("run", F.lit("work").alias("kind"))
+            .unionByName(quarantine(spark, root).select("run", "kind")))
+    return rows.groupBy("run").agg(*[F.count_if(F.col("kind") == k).alias(n) for k, n in (
+        ("work", "works"), ("item", "quarantined_items"), ("envelope", "quarantined_envelopes"))])
+
+
+def q_envelope_fields(spark, d):
+    """Fields of the envelopes beside their items."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fields-{uuid.uuid4().hex}"
+    W.damaged_envelopes(spark, d).write.partitionBy("run").text(f"{root}/in")
+    envelopes = read_envelopes(spark, f"{root}/in", multi_line=False, run_from_partition=True)
+    return (envelopes.where(F.col("broken").isNull()).groupBy("run", "status")
+            .agg(F.count(F.lit(1)).alias("envelopes"), F.sum("total_results").alias("total_results"),
+                 F.sum(F.size("items").cast("bigint")).alias("items")))
+
+
+def q_cast_values(spark, d):
+    """Date-time and count casts on complete, partial and impossible values."""
+    v = W.cast_values(spark, d)
+    number, text = F.parse_json("number_text"), F.parse_json(F.concat(F.lit('"'), "number_text", F.lit('"')))
+    return v.select("o_orderkey", PF.try_timestamp(F.col("date_time_text")).alias("date_time"),
+                    PF.try_long_rounded(number).alias("from_number"), PF.try_long_rounded(text).alias("from_text"))
+
+
+def q_failed_checks(spark, d):
+    """Failed checks of every run of the layered build."""
+    return failed_checks(read_report(spark, layered_build(spark, d))).select("run", "check_name", "metric_value")
+
+
+def q_bronze_by_path(spark, d):
+    """A written bronze table queried by its path."""
+    root = layered_build(spark, d)
+    return query_file(spark, table_path(root, "bronze", "works")).select(
+        "doi", "title", "publisher", "published_date")
+
+
+def q_bronze_only_columns(spark, d):
+    b = bronze(spark, d)
+    return P.columns_missing_in(b.select(*BRONZE_COLUMNS), silver_publications(b))
+
+
+def q_author_coverage(spark, d):
+    c = F.col
+    return P.coverage(silver_authors(bronze(spark, d)), {
+        "missing_doi": c("doi").isNull(), "missing_given_name": c("given_name").isNull(),
+        "missing_family_name": c("family_name").isNull(), "authors_with_orcid": c("orcid").isNotNull(),
+    }, total="total_author_rows")
+
+
+def q_publication_date_coverage(spark, d):
+    return P.coverage(silver_publications(bronze(spark, d)), {
+        f"has_{c}": F.col(c).isNotNull() for c in
+        ("published_date", "issued_date", "published_print_date", "published_online_date")
+    }, total="total_publications")
+
+
+def q_raw_author_orcid(spark, d):
+    o = F.col("orcid")
+    return P.coverage(A.raw_author_rows(items(spark, d)), {
+        "authors_with_orcid": o.isNotNull(), "authors_without_orcid": o.isNull()}, total="total_author_rows")
+
+
+def q_author_affiliations(spark, d):
+    return P.non_empty_lists(A.raw_author_rows(items(spark, d)), "affiliation")
+
+
+def q_item_key_frequency(spark, d):
+    return P.key_frequency(items(spark, d))
+
+
+def q_top_dois_by_authors(spark, d):
+    return P.rows_per_key(silver_authors(bronze(spark, d)), "doi", "author_count", k=20)
+
+
+def q_identifiers_without_publication(spark, d):
+    b = bronze(spark, d)
+    return P.value_difference(silver_identifiers(b), silver_publications(b), "doi")
 
 
 def q_publications_across_runs(spark, d):
@@ -329,8 +411,7 @@ def q_staging_metadata(spark, d):
 
 def q_latest_run_validation(spark, d):
     root = layered_build(spark, d)
-    report = read_layer(spark, table_path(root, "silver", "validation_report"))
-    return report.drop("checked_at", "run")
+    return read_report(spark, root, "latest").drop("checked_at", "run")
 
 
 def q_latest_run_author_stats(spark, d):
@@ -338,6 +419,10 @@ def q_latest_run_author_stats(spark, d):
     return run_reports(spark, root)["author_publication_stats"]
 
 
+def q_conversation_abstracts(spark, d):
+    return bronze(spark, d, "conversations").select("doi", "abstract")
+
+
 def q_conversation_name_only_issues(spark, d):
     return name_only_author_issues(bronze(spark, d, "conversations"))
 

@@ -12,6 +12,8 @@ query, covers the whole tables.
 
 from __future__ import annotations
 
+from pubspark.schemas import BRONZE_COLUMNS, REQUIRED_PUBLICATION_COLUMNS
+
 # --- per-order facts (one row per order) -------------------------------------------------------
 _WORKS = """
 lines AS (
@@ -344,7 +346,7 @@ JOIN works w ON w.o_orderkey = li.l_orderkey""",
     "duplicate_dois": ORDERS + """
 SELECT doi, count(*) AS row_count FROM works WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1""",
     "conflicting_versions": ORDERS + """
-SELECT doi, count(*) AS version_count FROM works WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1""",
+SELECT doi, count(*) AS version_count FROM works GROUP BY doi HAVING count(*) > 1""",
     "publication_coverage": SILVER + """
 SELECT count(*) AS total_publications,
        count(*) FILTER (WHERE doi IS NULL) AS missing_doi,
@@ -364,23 +366,6 @@ SELECT count(*) AS total_publications,
        count(*) FILTER (WHERE issued_date = published_date) AS same_issued_and_published,
        count(*) FILTER (WHERE issued_date <> published_date) AS different_issued_and_published
 FROM pubs""",
-    "column_profile": SILVER + """,
-h AS (SELECT count(*) AS n FROM pubs),
-prof AS (
-    SELECT 'doi' AS "column", 'string' AS dtype, count(*) FILTER (WHERE doi IS NULL) AS nulls,
-           count(DISTINCT doi) + max(CASE WHEN doi IS NULL THEN 1 ELSE 0 END) AS unique_values FROM pubs
-    UNION ALL SELECT 'title', 'string', count(*) FILTER (WHERE title IS NULL),
-           count(DISTINCT title) + max(CASE WHEN title IS NULL THEN 1 ELSE 0 END) FROM pubs
-    UNION ALL SELECT 'publisher', 'string', count(*) FILTER (WHERE publisher IS NULL),
-           count(DISTINCT publisher) + max(CASE WHEN publisher IS NULL THEN 1 ELSE 0 END) FROM pubs
-    UNION ALL SELECT 'published_date', 'date', count(*) FILTER (WHERE published_date IS NULL),
-           count(DISTINCT published_date) + max(CASE WHEN published_date IS NULL THEN 1 ELSE 0 END) FROM pubs
-    UNION ALL SELECT 'is_referenced_by_count', 'int', count(*) FILTER (WHERE is_referenced_by_count IS NULL),
-           count(DISTINCT is_referenced_by_count) + max(CASE WHEN is_referenced_by_count IS NULL THEN 1 ELSE 0 END) FROM pubs
-)
-SELECT "column", dtype, nulls, round_even(nulls / n * 100, 2) AS null_percent,
-       CAST(unique_values AS BIGINT) AS unique_values
-FROM prof, h""",
     "author_key_frequency": """
 WITH a AS (SELECT (l_returnflag = 'R' AND l_linestatus = 'F') AS named, (l_quantity < 3) AS empty,
                   l_tax, l_discount, l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
@@ -396,7 +381,7 @@ SELECT CASE o_orderkey % 5 WHEN 0 THEN 'list' WHEN 1 THEN 'str' WHEN 2 THEN 'lis
 FROM orders GROUP BY 1""",
     "title_length_distribution": """
 SELECT CAST(len(string_split(text, chr(10))) AS INTEGER) AS length, count(*) AS count
-FROM documents WHERE doc_id % 10 <> 0 GROUP BY 1""",
+FROM documents WHERE text IS NOT NULL GROUP BY 1""",
     "title_missing_vs_empty": """
 SELECT count(*) FILTER (WHERE o_orderkey % 13 = 0) AS missing_count,
        count(*) FILTER (WHERE o_orderkey % 13 <> 0 AND o_orderkey % 19 = 0) AS empty_list_count
@@ -480,3 +465,96 @@ for _name, _base in (("latest_run_validation", "validation_report"),
                      ("latest_run_author_stats", "author_publication_stats")):
     assert ORACLE_SQL[_base].startswith(SILVER)
     ORACLE_SQL[_name] = SILVER_LATEST + ORACLE_SQL[_base][len(SILVER):]
+
+# Profile of every column of the publications: the statement is put together from the schema's
+# column names, in the tables' order.
+_PROFILED = {c: "string" for c in REQUIRED_PUBLICATION_COLUMNS} | {
+    c: "date" for c in REQUIRED_PUBLICATION_COLUMNS if c.endswith("_date")} | {
+    c: "timestamp" for c in REQUIRED_PUBLICATION_COLUMNS if c.endswith("_datetime")} | dict.fromkeys(
+    ("reference_count", "references_count", "is_referenced_by_count"), "int")
+ORACLE_SQL["column_profile"] = SILVER + ", h AS (SELECT count(*) AS n FROM pubs), prof AS (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+        count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS unique_values FROM pubs"""
+    for c, t in _PROFILED.items()) + """)
+SELECT "column", dtype, nulls, round_even(nulls / n * 100, 2) AS null_percent,
+       CAST(unique_values AS BIGINT) AS unique_values
+FROM prof, h"""
+
+_PAGES = """WITH pages AS (
+    SELECT CAST(year(o_orderdate) AS VARCHAR) AS run, o_orderkey // 200 AS page, count(*) AS n,
+           count(*) FILTER (WHERE o_orderkey % 97 = 0) AS bad
+    FROM orders GROUP BY ALL)"""
+ORACLE_SQL["envelope_quarantine"] = _PAGES + """
+SELECT run, coalesce(sum(n - bad) FILTER (WHERE page % 7 <> 3), 0)::BIGINT AS works,
+       coalesce(sum(bad) FILTER (WHERE page % 7 <> 3), 0)::BIGINT AS quarantined_items,
+       count(*) FILTER (WHERE page % 7 = 3) AS quarantined_envelopes
+FROM pages GROUP BY run"""
+ORACLE_SQL["envelope_fields"] = _PAGES + """
+SELECT run, 'ok' AS status, count(*) AS envelopes, sum(n)::BIGINT AS total_results, sum(n)::BIGINT AS items
+FROM pages WHERE page % 7 <> 3 GROUP BY run"""
+ORACLE_SQL["cast_values"] = """
+WITH v AS (
+    SELECT o_orderkey,
+        CASE o_orderkey % 9 WHEN 0 THEN strftime(o_orderdate, '%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m')
+            WHEN 2 THEN 'T12:00:00' WHEN 3 THEN '12:00:00' WHEN 4 THEN strftime(o_orderdate, '%Y-%m-%d')
+            WHEN 5 THEN strftime(o_orderdate, '%Y-13-01T00:00:00Z') WHEN 6 THEN 'no date'
+            WHEN 7 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.25Z')
+            ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS t,
+        CAST(o_custkey AS VARCHAR) || CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '.5'
+            WHEN 2 THEN '.49999999999' WHEN 3 THEN '.25' ELSE '.50000000001' END AS n
+    FROM orders)
+SELECT o_orderkey, TRY_CAST(t AS TIMESTAMP) AS date_time,
+       CAST(round_even(CAST(n AS DOUBLE), 0) AS BIGINT) AS from_number, TRY_CAST(n AS BIGINT) AS from_text
+FROM v"""
+ORACLE_SQL["failed_checks"] = SILVER + """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS run, 'identifiers_have_matching_publication' AS check_name,
+       CAST(sum(CASE WHEN o_orderkey % 10 <> 3 THEN 2 + (trim(issn2) <> '')::INT ELSE 0 END
+                + (w.o_orderstatus = 'O')::INT) AS VARCHAR) AS metric_value
+FROM works w JOIN orders USING (o_orderkey) WHERE doi IS NULL
+GROUP BY 1
+HAVING sum(CASE WHEN o_orderkey % 10 <> 3 THEN 2 + (trim(issn2) <> '')::INT ELSE 0 END
+           + (w.o_orderstatus = 'O')::INT) > 0"""
+ORACLE_SQL["bronze_by_path"] = ORDERS + " SELECT doi, title, publisher, published_text AS published_date FROM works"
+_BRONZE_ONLY = sorted(set(BRONZE_COLUMNS) - set(REQUIRED_PUBLICATION_COLUMNS))
+ORACLE_SQL["bronze_only_columns"] = ORDERS + _AUTHOR_JSON + ", bronze AS (" + _BRONZE_SELECT + ") " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{'double' if c == 'score' else 'string'}' AS dtype, count({c}) AS non_null_rows FROM bronze"""
+    for c in _BRONZE_ONLY)
+ORACLE_SQL["author_coverage"] = SILVER + """
+SELECT count(*) AS total_author_rows, count(*) FILTER (WHERE doi IS NULL) AS missing_doi,
+       count(*) FILTER (WHERE given_name IS NULL) AS missing_given_name,
+       count(*) FILTER (WHERE family_name IS NULL) AS missing_family_name, count(orcid) AS authors_with_orcid
+FROM authors"""
+ORACLE_SQL["publication_date_coverage"] = SILVER + """
+SELECT count(*) AS total_publications, count(published_date) AS has_published_date,
+       count(issued_date) AS has_issued_date, count(published_print_date) AS has_published_print_date,
+       count(published_online_date) AS has_published_online_date
+FROM pubs"""
+ORACLE_SQL["raw_author_orcid"] = f"""
+SELECT count(*) AS total_author_rows, count(orcid) AS authors_with_orcid,
+       count(*) - count(orcid) AS authors_without_orcid
+FROM ({ORACLE_SQL["raw_author_rows"]})"""
+ORACLE_SQL["author_affiliations"] = f"""
+SELECT affiliation FROM ({ORACLE_SQL["raw_author_rows"]}) WHERE affiliation <> '[]'"""
+_ALWAYS = ("container-title", "short-container-title", "type", "source", "prefix", "member", "score",
+           "is-referenced-by-count", "issued", "created", "indexed", "volume", "issue", "page", "URL", "resource",
+           "ISSN", "x-priority")
+_SOMETIMES = {
+    "DOI": "o_orderkey % 23 <> 0", "title": "o_orderkey % 13 <> 0", "original-title": "o_orderkey % 5 < 3",
+    "publisher": "publisher IS NOT NULL", "reference-count": "n_lines IS NOT NULL",
+    "references-count": "o_orderkey % 3 = 0 AND n_lines IS NOT NULL", "published": "o_orderkey % 17 <> 0",
+    "published-print": "o_orderkey % 3 = 0", "published-online": "o_orderkey % 5 = 0",
+    "deposited": "o_orderkey % 11 <> 0", "issn-type": "o_orderkey % 10 <> 3", "ISBN": "o_orderstatus = 'O'",
+    "isbn-type": "o_orderstatus = 'O'", "alternative-id": "o_orderkey % 10 <> 3", "language": "o_orderkey % 2 = 0",
+    "article-number": "o_orderkey % 10 = 0", "abstract": "o_orderkey % 4 = 0", "license": "o_orderkey % 8 = 0",
+    "author": "n_lines IS NOT NULL", "subject": "o_orderkey % 3 = 0"}
+ORACLE_SQL["item_key_frequency"] = ORDERS + " SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{k}' AS key, count(*) FILTER (WHERE {cond}) AS count FROM works"
+    for k, cond in (dict.fromkeys(_ALWAYS, "true") | _SOMETIMES).items()) + ") WHERE count > 0"
+ORACLE_SQL["top_dois_by_authors"] = SILVER + """
+SELECT doi, count(*) AS author_count FROM authors GROUP BY doi ORDER BY author_count DESC, doi LIMIT 20"""
+ORACLE_SQL["identifiers_without_publication"] = SILVER + " SELECT doi FROM identifiers EXCEPT SELECT doi FROM pubs"
+ORACLE_SQL["conversation_abstracts"] = f"""
+SELECT '10.6/conv.' || CAST(conv_id AS VARCHAR) AS doi,
+       nullif(regexp_replace(regexp_replace(regexp_replace(string_agg(text, ' ' ORDER BY turn, role, text),
+              '<[^>]+>', ' ', 'g'), '{_PY_WS}+', ' ', 'g'), '^{_PY_WS}+|{_PY_WS}+$', '', 'g'), '') AS abstract
+FROM conversations GROUP BY conv_id"""

@@ -8,11 +8,15 @@ so reading it is a partition-pruned scan rather than a data-dependent filter.
 from __future__ import annotations
 
 import os
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pubspark.session import ensure_checkpoint_dir
+
 
 def table_path(root: str, layer: str, name: str) -> str:
     return os.path.join(root, layer, name)
@@ -24,24 +28,59 @@ def _fs_path(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+# Characters that Spark's partition writer escapes in folder names, as two hexadecimal digits.
+_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
+
+
+def run_folder(run: str) -> str:
+    """The partition folder of a run, named as Spark's partition writer names it."""
+    return "run=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in run)
+
+
 def drop_runs(spark: SparkSession, path: str, runs) -> None:
     """Remove the partitions of ``runs`` under a layer path (metadata operations only)."""
     fs, base = _fs_path(spark, path)
     jvm = spark.sparkContext._jvm
     for r in runs:
-        p = jvm.org.apache.hadoop.fs.Path(base, f"run={r}")
+        p = jvm.org.apache.hadoop.fs.Path(base, jvm.org.apache.hadoop.fs.Path(None, None, run_folder(r)))
         if fs.exists(p):
             fs.delete(p, True)
 
 
+def _run_files(spark: SparkSession, path: str, runs) -> list[str]:
+    """Data files of the runs, by name (metadata operations only)."""
+    fs, base = _fs_path(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for r in runs:
+        folder = hadoop(base, hadoop(None, None, run_folder(r)))
+        if fs.exists(folder):
+            found = fs.listFiles(folder, True)
+            while found.hasNext():
+                out.append(found.next().getPath())
+    return out
+
+
+def _delete_files(spark: SparkSession, path: str, files) -> None:
+    """Delete the files that are still there, and folders that this leaves empty."""
+    fs, base = _fs_path(spark, path)
+    for f in files:
+        if fs.exists(f):
+            fs.delete(f, False)
+        folder = f.getParent()
+        while folder.getName() != base.getName() and fs.exists(folder) and len(fs.listStatus(folder)) == 0:
+            fs.delete(folder, False)
+            folder = folder.getParent()
+
+
 def write_layer(df: DataFrame, path: str, run: str | None = None, replace_runs=None,
-                replace_all: bool = False, rebalance: bool = False) -> str:
-    """Write ``df`` under ``path`` partitioned by run (adds ``run`` when given).
+                replace_all: bool = False, rebalance: bool = False, keys: tuple[str, ...] = ("run",)) -> str:
+    """Write ``df`` under ``path`` partitioned by ``keys``, run first (adds ``run`` when given).
 
     Default: dynamic partition overwrite (partitions present in ``df`` are replaced).
-    ``replace_runs``: these runs are rebuilt — their partitions are removed first and ``df`` is
-    appended, so a run that now has no rows for this table is left empty instead of keeping
-    stale rows. ``replace_all``: the whole table is replaced.
+    ``replace_runs``: these runs are rebuilt. The new partitions replace the old ones first, then
+    files of these runs that were there before and were not replaced go, so a run that now has no
+    rows for this table is left empty, and a failed write leaves the earlier rows in place. ``replace_all``: the whole table is replaced.
 
     ``rebalance``: for output that was just shuffled on other keys (every task then holds rows
     of many runs and would write one file per run): a REBALANCE on ``run`` lets adaptive
@@ -51,12 +90,13 @@ def write_layer(df: DataFrame, path: str, run: str | None = None, replace_runs=N
         df = df.withColumn("run", F.lit(run))
     if rebalance:
         df = df.hint("rebalance", "run")
-    writer = df.write.partitionBy("run")
+    writer = df.write.partitionBy(*keys)
     if replace_all:
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     elif replace_runs is not None:
-        drop_runs(df.sparkSession, path, replace_runs)
-        writer.mode("append").parquet(path)
+        old = _run_files(df.sparkSession, path, replace_runs)
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        _delete_files(df.sparkSession, path, old)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return path
@@ -71,7 +111,7 @@ def list_runs(spark: SparkSession, path: str) -> list[str]:
     for st in fs.listStatus(hpath):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("run="):
-            runs.append(name[len("run="):])
+            runs.append(unquote(name[len("run="):]))
     return sorted(runs)
 
 
@@ -102,9 +142,19 @@ def query_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
 
 
-def fetch_bounded(df: DataFrame, max_rows: int = 10_000):
-    """Bring a small result to the driver as pandas; refuses results above ``max_rows``."""
+def fetch_bounded(df: DataFrame, max_rows: int):
+    """Bring a result to the driver as pandas. The caller states the bound; a result beyond it
+    raises and nothing is cut."""
     head = df.limit(max_rows + 1).toPandas()
     if len(head) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; write it instead of fetching")
     return head
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the session's shared checkpoint folder and read it back:
+    cuts the lineage like a checkpoint, and later reads prune columns and push filters down."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

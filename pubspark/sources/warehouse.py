@@ -179,6 +179,38 @@ def order_envelopes(spark: SparkSession, sf_dir: str, run: str = "year(o_orderda
     return pages.select("envelope", "run")
 
 
+def damaged_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`order_envelopes` as a faulty source would send them: every seventh page is cut off,
+    and in the others every 97th order's item is a bare string instead of an object."""
+    works = order_works(spark, sf_dir, run="year(o_orderdate)",
+                        extra=(f"CAST(floor(o_orderkey / {PAGE_SIZE}) AS BIGINT) AS page", "o_orderkey"))
+    works = works.withColumn("raw_item", F.expr(
+        "CASE WHEN o_orderkey % 97 = 0 THEN concat('\"not an item ', o_orderkey, '\"') ELSE raw_item END"))
+    pages = works.groupBy("run", "page").agg(F.expr(
+        "concat('{\"status\":\"ok\",\"message\":{\"total-results\":', count(*), ',\"items\":[', "
+        "array_join(transform(array_sort(collect_list(struct(o_orderkey, raw_item))), x -> x.raw_item), ','), "
+        "']}}')").alias("envelope"))
+    cut = F.expr("CASE WHEN page % 7 = 3 THEN left(envelope, length(envelope) - 20) ELSE envelope END")
+    return pages.select(cut.alias("envelope"), "run")
+
+
+def cast_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: date-time text of many degrees of completeness, and counts as JSON numbers and
+    as text with short and long fractions."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        """CASE o_orderkey % 9 WHEN 0 THEN CAST(year(o_orderdate) AS STRING)
+                WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM')
+                WHEN 2 THEN 'T12:00:00' WHEN 3 THEN '12:00:00'
+                WHEN 4 THEN date_format(o_orderdate, 'yyyy-MM-dd')
+                WHEN 5 THEN concat(year(o_orderdate), '-13-01T00:00:00Z')
+                WHEN 6 THEN 'no date'
+                WHEN 7 THEN date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss'.25Z'")
+                ELSE date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss'Z'") END AS date_time_text""",
+        """concat(o_custkey, CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '.5' WHEN 2 THEN '.49999999999'
+                  WHEN 3 THEN '.25' ELSE '.50000000001' END) AS number_text""")
+
+
 def event_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw work per event: the DOI is the user, deposited time is the event time and the
     event's JSON properties plus its type are unmodelled keys (extra metadata)."""
@@ -210,7 +242,7 @@ def document_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     dc = table(spark, sf_dir, "documents")
     item = """to_json(named_struct(
         'DOI', concat('10.8/DOC.', CAST(doc_id AS STRING)),
-        'title', CASE WHEN doc_id % 10 = 0 THEN NULL ELSE split(text, '\\n') END,
+        'title', split(text, '\\n'),
         'original-title', CASE WHEN doc_id % 3 = 0 THEN parse_json(to_json(named_struct('v', lang)))
                                ELSE parse_json(to_json(array(lang, source))) END,
         'language', lang,
@@ -229,10 +261,15 @@ def conversation_works(spark: SparkSession, sf_dir: str) -> DataFrame:
         'ORCID', CASE WHEN role = 'user' THEN concat('https://orcid.org/0000-0001-0000-',
                       format_string('%04d', turn)) END,
         'sequence', CASE WHEN turn = 0 THEN 'first' ELSE 'additional' END)"""
+    # One conversation is one record: its turns are gathered, as the source would deliver them.
     per_conv = cv.groupBy("conv_id").agg(
-        F.expr(f"transform(array_sort(collect_list(struct(turn, {author} AS a))), x -> x.a)").alias("authors"))
+        F.expr(f"transform(array_sort(collect_list(struct(turn, role, text, {author} AS a))), x -> x.a)")
+        .alias("authors"),
+        F.expr("array_join(transform(array_sort(collect_list(struct(turn, role, text))), x -> x.text), ' ')")
+        .alias("abstract"))
     item = """to_json(named_struct(
         'DOI', concat('10.6/CONV.', CAST(conv_id AS STRING)),
         'title', array(concat('Conversation ', CAST(conv_id AS STRING))),
+        'abstract', abstract,
         'author', authors))"""
     return per_conv.selectExpr(f"{item} AS raw_item", "'conversations' AS run")

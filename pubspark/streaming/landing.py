@@ -1,10 +1,11 @@
 """Incremental landing with Structured Streaming.
 
-New raw envelope files dropped into a folder are picked up by a file-source stream, parsed
-statelessly, and each micro-batch replaces the bronze partitions of the runs it touched
-(``foreachBatch`` + dynamic partition overwrite), so a replayed batch after a failure writes
-the same result again. With ``refresh_silver=True`` the same
-micro-batch then rebuilds the silver tables and validation report of the touched runs.
+New raw envelope files dropped into a folder are picked up by a file-source stream. Each micro-batch
+lands the raw items of its files beside those of other files of the same run (one folder per
+run and file, replaced on replay), sends broken envelopes to the quarantine, and rebuilds bronze
+of the touched runs from all their landed items. So the result does not depend on how files are
+split into batches, equals the batch run's, and a later rebuild from raw keeps it. With
+``refresh_silver=True`` the silver tables and validation report of those runs follow.
 """
 
 from __future__ import annotations
@@ -14,48 +15,46 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubspark.operators.parse import bronze_from_raw
-from pubspark.plans.batch import run_silver, run_validation
+from pubspark.plans.batch import run_bronze, run_silver, run_validation
 from pubspark.sources.layers import table_path
-from pubspark.sources.raw import ENVELOPE_SCHEMA, run_id, run_id_of
+from pubspark.sources.raw import BROKEN_COLUMN, ENVELOPE_SCHEMA, broken_envelopes, envelope_fields, items_of, land_raw, run_id
 
 
-def raw_item_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
+def envelope_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
     env = (spark.readStream.schema(ENVELOPE_SCHEMA).option("multiLine", True)
+           .option("columnNameOfCorruptRecord", BROKEN_COLUMN)
            .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_dir))
-    return env.select(F.explode("message.items").alias("raw_item"),
-                      F.col("_metadata.file_path").alias("source_file"),
+    return env.select(*envelope_fields(), F.col("_metadata.file_path").alias("source_file"),
                       run_id(F.col("_metadata.file_name")).alias("run"))
 
 
 def start_bronze_stream(spark: SparkSession, landing_dir: str, out_root: str,
                         checkpoint_location: str | None = None, once: bool = True,
-                        refresh_silver: bool = False, as_of=None):
+                        refresh_silver: bool = False, as_of=None, max_files_per_trigger: int = 100):
     """Start the landing stream; returns the ``StreamingQuery``. The checkpoint location must be
     on shared storage; by default it lives under the session's ``spark.checkpoint.dir``.
-
-    With ``refresh_silver`` each micro-batch also rebuilds the silver tables and the validation
-    report of the runs it touched (at most ``maxFilesPerTrigger`` runs per batch)."""
+    ``max_files_per_trigger`` bounds a micro-batch and thereby the runs it touches; it does not
+    change the result."""
     if checkpoint_location is None:
         base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
         checkpoint_location = os.path.join(base, "bronze-landing")
-    target = table_path(out_root, "bronze", "works")
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
-        bronze = bronze_from_raw(batch, keep=("source_file", "run"))
-        (bronze.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run").parquet(target))
-        if refresh_silver:
-            # run ids of this batch from its file list (metadata only; one run per input file,
-            # so the list is bounded by the trigger size)
-            runs = sorted({run_id_of(os.path.basename(f)) for f in batch.inputFiles()})
-            if not runs:
-                runs = [r.run for r in batch.select("run").distinct().collect()]
-            if runs:
+        batch.persist()
+        try:
+            # one row per run of the batch's files
+            runs = [r["run"] for r in batch.select("run").distinct().orderBy("run").collect()]
+            land_raw(items_of(batch), table_path(out_root, "raw", "items"))
+            land_raw(broken_envelopes(batch), table_path(out_root, "quarantine", "envelopes"))
+        finally:
+            batch.unpersist()
+        if runs:
+            run_bronze(spark, out_root, runs)
+            if refresh_silver:
                 run_silver(spark, out_root, runs, as_of)
                 run_validation(spark, out_root, runs)
 
-    writer = (raw_item_stream(spark, landing_dir).writeStream.foreachBatch(write_batch)
+    writer = (envelope_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
     return writer.start()

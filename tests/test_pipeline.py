@@ -3,11 +3,12 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pubspark.analytics_entry import run_reports
-from pubspark.plans.batch import run_pipeline
-from pubspark.sources.layers import latest_run, list_runs, read_layer, table_path
+from pubspark.plans.batch import quarantine, read_bronze, run_bronze, run_pipeline
+from pubspark.sources.layers import drop_runs, latest_run, list_runs, read_layer, table_path, write_layer
 from pubspark.sources.raw import read_raw_envelopes
 from pubspark.streaming.landing import start_bronze_stream
 
@@ -110,3 +111,68 @@ def test_rerun_replaces_runs_that_become_empty(spark, scratch_dir):
     run_pipeline(spark, inp, out, as_of="2025-01-01")
     assert list_runs(spark, ids) == []
     assert read_layer(spark, table_path(out, "silver", "publications"), run=None).count() == 1
+
+
+def test_broken_envelope_is_quarantined_and_keeps_earlier_rows(spark, scratch_dir):
+    inp, out = f"{scratch_dir}/in", f"{scratch_dir}/out"
+    write_envelope(inp, "20260101T000000", ITEMS_1)
+    write_envelope(inp, "20260102T000000", ITEMS_2)
+    run_pipeline(spark, inp, out, as_of="2025-01-01")
+    pubs = table_path(out, "silver", "publications")
+    before = read_layer(spark, pubs, run=None).count()
+    cut = [f for f in os.listdir(inp) if "20260101" in f][0]
+    with open(f"{inp}/{cut}", encoding="utf-8") as f:
+        text = f.read()
+    with open(f"{inp}/{cut}", "w", encoding="utf-8") as f:
+        f.write(text[:-15])
+    res = run_pipeline(spark, inp, out, as_of="2025-01-01")
+    assert (res["runs"], res["kept_back"]) == (["20260102T000000"], ["20260101T000000"])
+    assert read_layer(spark, pubs, run=None).count() == before
+    assert [(r.run, r.kind) for r in quarantine(spark, out).collect()] == [("20260101T000000", "envelope")]
+    with pytest.raises(ValueError):
+        run_pipeline(spark, inp, out, as_of="2025-01-01", raise_on_broken=True)
+    with open(f"{inp}/{cut}", "w", encoding="utf-8") as f:
+        f.write(text)
+    assert run_pipeline(spark, inp, out, as_of="2025-01-01")["kept_back"] == []
+    assert quarantine(spark, out).count() == 0
+
+
+def test_broken_item_is_quarantined(spark, scratch_dir):
+    inp, out = f"{scratch_dir}/in", f"{scratch_dir}/out"
+    write_envelope(inp, "20260101T000000", [*ITEMS_1, "no object"])
+    run_pipeline(spark, inp, out, as_of="2025-01-01")
+    assert [(r.kind, r.content) for r in quarantine(spark, out).collect()] == [("item", "no object")]
+    assert read_layer(spark, table_path(out, "silver", "publications"), run=None).count() == 2
+
+
+@pytest.mark.parametrize("name", ["run 1", "a%b", "x#y", "p+q"])
+def test_file_names_with_special_characters(spark, scratch_dir, name):
+    inp, out = f"{scratch_dir}/in", f"{scratch_dir}/out"
+    write_envelope(inp, name, ITEMS_1)
+    for _ in range(2):
+        assert run_pipeline(spark, inp, out, as_of="2025-01-01")["all_runs"] == [name]
+    assert read_layer(spark, table_path(out, "silver", "publications"), name).count() == 2
+
+
+def test_run_values_are_escaped_in_folders(spark, scratch_dir):
+    path = f"{scratch_dir}/t"
+    for value in ("10:30", "a/b=c"):
+        write_layer(spark.range(3).toDF("n"), path, run=value)
+    assert list_runs(spark, path) == ["10:30", "a/b=c"]
+    drop_runs(spark, path, ["10:30"])
+    assert [r.run for r in read_layer(spark, path, None).collect()] == ["a/b=c"] * 3
+
+
+def test_two_files_of_a_run_in_two_batches_equal_the_batch_run(spark, scratch_dir):
+    inp, out, batch = (f"{scratch_dir}/{n}" for n in ("landing", "out", "batch"))
+    for prefix, items in (("one_raw_", ITEMS_1), ("two_raw_", ITEMS_2)):
+        os.makedirs(inp, exist_ok=True)
+        with open(f"{inp}/{prefix}20260101T000000.json", "w", encoding="utf-8") as f:
+            json.dump({"message": {"items": items}}, f)
+    q = start_bronze_stream(spark, inp, out, checkpoint_location=f"{scratch_dir}/c", max_files_per_trigger=1)
+    q.awaitTermination(180)
+    run_pipeline(spark, inp, batch, as_of="2025-01-01")
+    dois = sorted(r.doi for r in read_bronze(spark, out).collect())
+    assert dois == sorted(r.doi for r in read_bronze(spark, batch).collect()) == ["10.1/a", "10.1/b", "10.1/c"]
+    run_bronze(spark, out)
+    assert sorted(r.doi for r in read_bronze(spark, out).collect()) == dois

@@ -60,8 +60,7 @@ def test_quality_issues_two_scans(spark, scratch_dir):
 
 
 def test_no_python_udfs_anywhere(spark):
-    for name in ("silver_publications", "validation_report", "author_publication_stats",
-                 "column_profile", "clean_page_abstracts"):
+    for name in catalog.QUERIES:
         phys = plan_text(catalog.QUERIES[name](spark, SF))
         assert "PythonUDF" not in phys and "BatchEvalPython" not in phys and "ArrowEvalPython" not in phys
 
@@ -114,3 +113,11 @@ def test_orphan_check_aggregates_before_anti_join(spark, scratch_dir):
     phys = plan_text(orphan_count(s["publication_authors"], s["publications"]))
     anti = phys.index("LeftAnti")
     assert "HashAggregate(keys=[doi" in phys[anti:]  # the per-DOI count feeds the join
+
+
+def test_bronze_parses_each_record_once(spark):
+    from pubspark.operators.parse import bronze_with_status
+    from tests.helpers import raw_df
+
+    phys = plan_text(bronze_with_status(raw_df(spark, ITEMS)))
+    assert phys.count("parseJson") + phys.count("try_parse_json") <= 1 + phys.count("parse_json([]")
