@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pubspark.operators.parse import bronze_with_status
-from pubspark.operators.silver import build_silver, silver_publications
+from pubspark.operators.silver import build_silver, silver_publications, silver_quality_issues
 from pubspark.operators.validation import failed_checks, validation_report
 from pubspark.schemas import BRONZE_SCHEMA
 from pubspark.sources.layers import drop_runs, list_runs, read_layer, table_path, write_layer
@@ -92,9 +92,14 @@ def run_silver(spark: SparkSession, out_root: str, runs=None, as_of=None) -> dic
     # publications and quality issues come out of a (run, doi) shuffle; authors and identifiers
     # are narrow from bronze and keep its per-run file layout
     shuffled = {"publications", "quality_issues"}
-    return {name: write_layer(tables[name], table_path(out_root, "silver", name),
-                              rebalance=name in shuffled, **_replace(runs))
-            for name in SILVER_TABLES}
+    paths = {}
+    for name in SILVER_TABLES:  # quality issues last: they read the written authors
+        if name == "quality_issues":
+            authors = read_layer(spark, paths["publication_authors"], None, schema=tables["publication_authors"].schema)
+            tables[name] = silver_quality_issues(bronze, as_of, ("run",), _runs_filter(authors, runs))
+        paths[name] = write_layer(tables[name], table_path(out_root, "silver", name),
+                                  rebalance=name in shuffled, **_replace(runs))
+    return paths
 
 
 def current_publications(spark: SparkSession, out_root: str) -> DataFrame:

@@ -23,6 +23,7 @@ from pubspark.analytics_entry import run_reports
 from pubspark.operators import profiling as P
 from pubspark.operators.parse import bronze_with_status, parse_items, parse_works, to_bronze
 from pubspark.operators.silver import (
+    as_of_date,
     name_only_author_issues,
     silver_authors,
     silver_identifiers,
@@ -45,7 +46,14 @@ from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
 from pubspark.sources.layers import land, query_file, table_path
 from pubspark.sources.raw import broken_envelopes, items_of, land_raw, read_envelopes, read_raw_envelopes
-from pubspark.sources.staging import read_staging, staging_metadata, write_staging
+from pubspark.sources.staging import (
+    read_staging,
+    read_staging_envelopes,
+    run_stamp,
+    staging_metadata,
+    utc_iso,
+    write_staging,
+)
 
 # Fixed reference date for 'future' checks so results do not depend on the day of the run.
 AS_OF = "2025-01-01"
@@ -404,6 +412,29 @@ def q_staging_roundtrip_bronze(spark, d):
     return to_bronze(back).select(*BRONZE_COMPARED)
 
 
+def q_staging_envelopes(spark, d):
+    """Staging documents (a page of at most 200 works with its metadata each), read back."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    page = f"CAST(floor(o_orderkey / {W.PAGE_SIZE}) AS BIGINT) AS document"
+    raw = land(W.order_works(spark, d, extra=(page,)), "raw-items")
+    staged = parse_works(parse_items(raw, keep=("run", "document")), keep=("run", "document"))
+    fields = ("doi", "title", "publisher", "reference_count")
+    works = F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct(*fields)))), ",")
+    pages = staged.groupBy("run", "document").agg(works.alias("works"))
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-pages-{uuid.uuid4().hex}"
+    pages.select(F.concat(F.lit('{"metadata": {"raw_file": "'), "run", F.lit('"}, "works": ['), "works",
+                          F.lit("]}"))).write.text(root)
+    return read_staging_envelopes(spark, root, staged.select(*fields).schema, multi_line=False)
+
+
+def q_run_stamps(spark, d):
+    """Staging and run stamps of the order times, and the default clock's future check."""
+    o = W.table(spark, d, "orders")
+    ts = F.col("o_orderdate").cast("timestamp")
+    return o.select("o_orderkey", utc_iso(ts).alias("utc_iso"), run_stamp(ts).alias("run_stamp"),
+                    (ts.cast("date") > as_of_date(None)).alias("in_future"))
+
+
 def q_staging_metadata(spark, d):
     """Per raw file: source label and number of staged works."""
     return staging_metadata(_staged_orders(spark, d)).select("source", "raw_file", "work_count")

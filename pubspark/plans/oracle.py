@@ -558,3 +558,10 @@ SELECT '10.6/conv.' || CAST(conv_id AS VARCHAR) AS doi,
        nullif(regexp_replace(regexp_replace(regexp_replace(string_agg(text, ' ' ORDER BY turn, role, text),
               '<[^>]+>', ' ', 'g'), '{_PY_WS}+', ' ', 'g'), '^{_PY_WS}+|{_PY_WS}+$', '', 'g'), '') AS abstract
 FROM conversations GROUP BY conv_id"""
+ORACLE_SQL["staging_envelopes"] = ORDERS + """
+SELECT doi, title, publisher, reference_count, 'orders' AS staged_from FROM works"""
+ORACLE_SQL["run_stamps"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS utc_iso,
+       strftime(o_orderdate, '%Y%m%dT%H%M%S') AS run_stamp,
+       CAST(o_orderdate AS DATE) > current_date AS in_future
+FROM orders"""
