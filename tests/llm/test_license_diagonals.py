@@ -27,7 +27,7 @@ ROWS = [(1, "Released UNDER the MIT-license; under the mit license. CC BY-NC! cc
 
 def test_planted_texts_equal_the_sql(spark):
     got = {r[0]: r[1:] for r in check(edge_docs(spark, ROWS))}
-    assert got[1][1:6] == (5, 1, 14, "cc-by-nc,mit", "cc-by-nc,mit") and got[1][6] == 1.0
+    assert got[1][1:6] == (5, 1, 15, "cc-by-nc,mit", "cc-by-nc,mit") and got[1][6] == 1.0
     assert got[2][4] == "apache-2"
     assert got[3][4:6] == ("", "mit") and 0.6 <= got[3][6] < 1
     assert [got[k][5] for k in (4, 5, 6, 7, 8)] == ["", "gpl-3", "", "", ""]

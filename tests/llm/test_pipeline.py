@@ -33,7 +33,7 @@ def test_run_gives_the_last_stages_rows(spark):
 
 
 def test_edge_documents_pass_all_stages(spark):
-    good = "\n".join(f"This is one of the usual sentences of a text, number {i} of nine." for i in range(9))
+    good = "\n".join(" ".join(f"Word{chr(97 + i)}{chr(97 + j)}" for j in range(10)) + "." for i in range(9))
     for rows in ([], [(1, None), (2, ""), (3, good), (3, good), (4, good + " More."), (None, good)]):
         docs = edge_docs(spark, rows)
         for _, stage in P.STAGES[:-1]:

@@ -45,8 +45,8 @@ def test_edges(spark):
 
 
 def test_line_rules():
-    good = "This is one of the usual sentences of a text, number {}."
-    text = "\n".join(good.format(i) for i in range(8))
+    lines = [" ".join(f"Word{chr(97 + i)}{chr(97 + j)}" for j in range(10)) + "." for i in range(8)]
+    text = "\n".join(lines)
     assert Q.judge(text).kept
     menu = "Home | News | About | Contact | Help"
     assert Q.judge(text + "\n" + menu).clean_text == text
@@ -54,5 +54,5 @@ def test_line_rules():
     assert not Q.judge("\n".join(f"word{i}### of$$$ this*** text&&& here%%% now" for i in range(20))).kept
     assert Q.judge(text + "\nCopyright, all rights reserved.").clean_text == text
     assert Q.judge(text + "\nNext page").clean_text == text
-    assert Q.judge("\n".join([text, good.format(3)])).n_dup_lines == 1
+    assert Q.judge("\n".join([text, lines[3]])).n_dup_lines == 1
     assert Q.judge("Слово другое третье, и ещё одно.\n" * 1 + text).kept
