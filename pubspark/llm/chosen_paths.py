@@ -9,10 +9,12 @@ than ``node_size`` classes branches: one or two coordinates, picked by the node'
 each class to the child named by its minwise value there. Similar sets stay together with the
 probability of their similarity per chosen coordinate, unrelated ones part. Nodes of one class
 are dropped, small ones become leaves; a node still large after ``depth`` levels is dealt into
-leaves by hash, each together with the node's first class, so that no node meets in one task.
+leaves by hash, each together with the node's most copied class, so that no node meets in one task.
 
-*Leaves* are compared exhaustively: size bound and minwise estimate first, then full sets, where
-pairs already connected inside the leaf are passed over. A leaf yields a spanning set of its
+*Leaves* are compared exhaustively: size bound and minwise estimate (from half the values, then all)
+first, then full sets, where pairs already connected inside the leaf are passed over. Between
+these steps a leaf is cut into the parts that candidate pairs connect, and equal parts of different
+leaves become one. A leaf yields a spanning set of its
 links, at most one less than its classes. The first ``FIRST_TREES`` trees' links are made into
 components; in the other trees, nodes inside one component are dropped too, and leaves only test
 pairs across components, so a dense group is not compared over and over. Sets are made anew from
@@ -38,16 +40,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubspark.llm.common import as_batch, fresh_name, materialize, texts
+from pubspark.llm.chunk_cache import slices
+from pubspark.llm.common import as_batch, fresh_name, materialize, small_batches, texts
 from pubspark.llm.components import connected_components
 
 SHINGLE = 5
-COORDINATES = 96
+#: Minwise values of a signature, and those of them that the trees branch by.
+COORDINATES, PATH = 96, 48
 FIRST_TREES, FIRST_DEPTH = 2, 6
 #: Chance of a second child by level; deeper levels hold groups of similar sets and need less.
 SECOND_CHILD = (0.43, 0.43, 0.3)
-#: Parts of a node left large that are all compared with each other.
-MOST_PARTS = 8
 #: Sets of candidate documents are fetched by a broadcast list of ids up to this many.
 MOST_BROADCAST = 1_000_000
 
@@ -115,31 +117,32 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, "doc_id long, own long, n long, set_id long, sig binary")
 
 
-def branch(rows: DataFrame, level: int) -> DataFrame:
-    """``node, set_id, component`` of the nodes' children; rows have ``node, set_id, component,
-    sig``."""
+def branch(rows: DataFrame, level: int, keep: tuple[str, ...]) -> DataFrame:
+    """``node`` and ``keep`` of the nodes' children; rows have ``node``, ``path`` and ``keep``."""
     second = int(1000 * SECOND_CHILD[min(level, len(SECOND_CHILD) - 1)])
     node = F.col("node")
 
     def child(at: Column) -> Column:
-        return F.xxhash64(node, at, F.substr(F.col("sig"), 2 * at + 1, F.lit(2)))
+        return F.xxhash64(node, at, F.substr(F.col("path"), 2 * at + 1, F.lit(2)))
 
-    first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES)).cast("int")
-    other = F.pmod(first + 1 + F.pmod(F.xxhash64(node, F.lit(2)), F.lit(COORDINATES - 1)).cast("int"),
-                   F.lit(COORDINATES)).cast("int")
+    first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(PATH)).cast("int")
+    other = F.pmod(first + 1 + F.pmod(F.xxhash64(node, F.lit(2)), F.lit(PATH - 1)).cast("int"),
+                   F.lit(PATH)).cast("int")
     two = F.pmod(F.xxhash64(node, F.lit(3)), F.lit(1000)) < second
     children = F.when(two, F.array(child(first), child(other))).otherwise(F.array(child(first)))
-    return rows.select(F.explode(children).alias("node"), "set_id", "component")
+    return rows.select(F.explode(children).alias("node"), *keep)
 
 
-def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> DataFrame:
+def leaves(classes: DataFrame, trees: range, node_size: int, depth: int, most_parts: int) -> DataFrame:
     """``leaf, set_id`` of the trees' leaves that hold classes of two components or more;
-    ``classes`` has ``set_id, component, sig``."""
+    ``classes`` has ``set_id, component, copies, path``. Most classes are alone after one level, so
+    only those of nodes that branch again carry their path along."""
     rows = (classes.withColumn("tree", F.explode(F.lit(list(trees))))
             .withColumn("node", F.xxhash64("tree", F.lit("root"))))
+    keep: tuple[str, ...] = ("set_id", "component")
     done = None
     for level in range(depth):
-        kids = branch(rows, level)
+        kids = branch(rows, level, keep)
         sizes = (kids.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"),
                                           F.max("component").alias("high"))
                  .filter("low <> high").select("node", "size"))
@@ -149,27 +152,29 @@ def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> Data
         large = kids.filter(F.col("size") > node_size)
         if large.isEmpty():
             return done
-        rows = large.join(classes.select("set_id", "sig"), "set_id")
-    return done.unionByName(deal(large, node_size))
-
-
-def deal(nodes: DataFrame, node_size: int) -> DataFrame:
-    """Leaves of nodes that stayed large. A node is dealt into parts by hash; up to
-    ``MOST_PARTS`` parts, every two parts make a leaf, so all pairs meet. Beyond, each part makes
-    leaves with as many others, picked by hash. The node's first class joins every leaf."""
-    own = nodes.withColumn("parts", F.ceil(F.col("size") / (node_size // 2)))
+        rows = large if level else large.join(classes.select("set_id", "path"), "set_id")
+        keep = ("set_id", "component", "path")
+    large = large.select("node", "size", "set_id").join(classes.select("set_id", "copies"), "set_id")
+    return done.unionByName(deal(large, node_size, most_parts))
+
+
+def deal(nodes: DataFrame, node_size: int, most_parts: int) -> DataFrame:
+    """Leaves of nodes that stayed large. A node is dealt into parts by hash; up to ``most_parts``
+    parts, every two parts make a leaf, so all pairs meet. Beyond, each part makes one leaf with
+    one other, picked by hash. The node's most copied class, likely the others' source, joins every
+    leaf."""
+    own = nodes.select("node", "set_id", F.ceil(F.col("size") / (node_size // 2)).alias("parts"))
     own = own.withColumn("part", F.pmod(F.xxhash64("set_id", "node"), F.col("parts")))
-    near = F.explode(F.sequence(F.lit(0), F.least("parts", F.lit(MOST_PARTS)) - 1)).alias("step")
-    dealt = own.select("node", "set_id", "parts", "part", near)
-    # the step's offset is the step itself where all parts are met, else a hash of node and step
-    far = F.when(F.col("parts") <= MOST_PARTS, F.col("step")).otherwise(
-        F.pmod(F.xxhash64("node", "step"), F.col("parts")))
-    other = F.pmod(far - F.col("part") + F.col("parts"), F.col("parts"))
+    # with steps 0 to parts - 1, parts p and q meet in the step (p + q) mod parts
+    steps = F.when(F.col("parts") <= most_parts, F.col("parts")).otherwise(F.lit(1))
+    dealt = own.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), steps.cast("long") - 1)))
+    at = F.when(F.col("parts") <= most_parts, F.col("step")).otherwise(F.pmod(F.xxhash64("node"), F.col("parts")))
+    other = F.pmod(at - F.col("part") + F.col("parts"), F.col("parts"))
     pair = F.xxhash64("node", F.least("part", other), F.greatest("part", other))
     dealt = dealt.select("node", pair.alias("leaf"), "set_id")
-    first = nodes.groupBy("node").agg(F.min("set_id").alias("first"))
+    first = nodes.groupBy("node").agg(F.max(F.struct("copies", "set_id")).alias("first"))
     heads = dealt.select("node", "leaf").distinct().join(first, "node")
-    return dealt.select("leaf", "set_id").unionByName(heads.select("leaf", F.col("first").alias("set_id"))).distinct()
+    return dealt.select("leaf", "set_id").unionByName(heads.select("leaf", F.col("first.set_id").alias("set_id"))).distinct()
 
 
 def candidate_pairs(n: np.ndarray, sig: np.ndarray, group: np.ndarray, percent: int, slack: float) -> tuple[np.ndarray, ...]:
@@ -184,25 +189,37 @@ def candidate_pairs(n: np.ndarray, sig: np.ndarray, group: np.ndarray, percent:
 
 
 def involved(leaf_rows: DataFrame, classes: DataFrame, percent: int, slack: float) -> DataFrame:
-    """The ``leaf, set_id`` rows of classes that are in a candidate pair of the leaf; ``classes``
-    has ``set_id, n, sig, component``."""
+    """``leaf, set_id``: the leaves' classes that candidate pairs connect, each connected part as a
+    leaf of its own, named by its classes. So a part that several trees' leaves hold, as most
+    small ones do, is one leaf. ``classes`` has ``set_id, n, sig, component``."""
     schema = pa.schema([("leaf", pa.int64()), ("set_id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple[int, int]] = []
-            for leaf, rows in zip(b.column("leaf").to_pylist(), b.column("rows").to_pylist(), strict=True):
-                sig = np.frombuffer(b"".join(r["sig"] for r in rows), "<u2").reshape(len(rows), -1)
-                n, group = (np.array([r[c] for r in rows]) for c in ("n", "component"))
-                i, j = candidate_pairs(n, sig, group, percent, slack)
-                out += [(leaf, rows[k]["set_id"]) for k in np.union1d(i, j)]
+            for rows in b.column("rows"):
+                for part in connected_parts(rows.as_py(), percent, slack):
+                    name = xxhash.xxh64_intdigest(np.array(part, np.int64).tobytes()) - (1 << 63)
+                    out += [(name, x) for x in part]
             if out:
                 yield as_batch(zip(*out, strict=True), schema)
 
     grouped = (leaf_rows.join(classes, "set_id").groupBy("leaf")  # leaves are small by construction
                .agg(F.collect_list(F.struct("set_id", "n", "sig", "component")).alias("rows"))
                .filter(F.size("rows") > 1))
-    return grouped.mapInArrow(run, "leaf long, set_id long")
+    return grouped.mapInArrow(run, "leaf long, set_id long").distinct()
+
+
+def connected_parts(rows: list[dict], percent: int, slack: float) -> list[list[int]]:
+    """Sorted ids of each part of two classes or more that the candidate pairs connect."""
+    sig = np.frombuffer(b"".join(r["sig"] for r in rows), "<u2").reshape(len(rows), -1)
+    n, component = (np.array([r[c] for r in rows]) for c in ("n", "component"))
+    group = np.arange(len(rows))
+    for i, j in zip(*candidate_pairs(n, sig, component, percent, slack), strict=True):
+        if group[i] != group[j]:
+            group[group == group[j]] = group[i]
+    ids = np.array([r["set_id"] for r in rows])
+    return [sorted(ids[group == g].tolist()) for g in np.unique(group) if (group == g).sum() > 1]
 
 
 def full_sets(docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -215,10 +232,11 @@ def full_sets(docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t) for t in texts(b)]
-            raw = [s.tobytes() for s in sets]
-            ids = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw]
-            yield as_batch([ids, raw, list(map(signature, sets))], schema)
+            for some in slices(texts(b)):
+                sets = [shingle_set(t) for t in some]
+                raw = [s.tobytes() for s in sets]
+                ids = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw]
+                yield as_batch([ids, raw, list(map(signature, sets))], schema)
 
     made = docs.join(keys, "doc_id", "left_semi").mapInArrow(run, "set_id long, shingles binary, sig binary")
     return materialize(made.dropDuplicates(["set_id"]), "sets")
@@ -259,22 +277,34 @@ def near_duplicates(docs: DataFrame, percent: int = 85, trees: int = 10, node_si
                     slack: float = 0.12) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``, and ``own``, a hash of
     the text."""
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, percent, trees, node_size, depth, slack)
+
+
+def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int, depth: int, slack: float) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sigs = materialize(signatures(docs), "signatures")
     # one row a class; the minimum is found per task before the shuffle
     classes = materialize(
         sigs.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("set_id")
-        .agg(F.min(F.struct("doc_id", "n", "sig")).alias("x")).select("set_id", "x.*"), "classes")
-    links, parts = None, None
-    for own_trees, most in ((range(FIRST_TREES), FIRST_DEPTH), (range(FIRST_TREES, trees), depth)):
-        known = classes.select("set_id", "n", "sig")
+        .agg(F.min(F.struct("doc_id", "n", "sig")).alias("x"), F.count(F.lit(1)).alias("copies"))
+        .select("set_id", "copies", "x.*"), "classes")
+    links, parts, seen = None, None, None
+    for own_trees, most, most_parts in ((range(FIRST_TREES), FIRST_DEPTH, 1), (range(FIRST_TREES, trees), depth, 8)):
+        known = classes.select("set_id", "n", "copies", "sig", F.substr("sig", F.lit(1), F.lit(2 * PATH)).alias("path"))
         if parts is None:
             known = known.withColumn("component", F.col("set_id"))
         else:
             known = materialize(known.join(parts.withColumnRenamed("id", "set_id"), "set_id", "left")
                                 .withColumn("component", F.coalesce("component", "set_id")), "known")
-        leaf_rows = leaves(known.select("set_id", "component", "sig"), own_trees, node_size, most)
-        rows = materialize(involved(leaf_rows, known, percent, slack), "pairs")
+        rows = leaves(known.select("set_id", "component", "copies", "path"), own_trees, node_size, most, most_parts)
+        # by the short signatures first, so that the long ones are joined to few rows
+        brief = known.select("set_id", "n", F.col("path").alias("sig"), "component")
+        rows = materialize(involved(rows, brief, percent, 1.5 * slack), "pairs-brief")
+        rows = involved(rows, known.drop("path", "copies"), percent, slack)
+        if seen is not None:
+            rows = rows.join(seen.select("leaf").distinct(), "leaf", "left_anti")
+        rows = seen = materialize(rows, "pairs")
         sets = full_sets(docs, classes.select("set_id", "doc_id"), rows)
         own = materialize(confirmed(rows, sets, percent, slack), "confirmed")
         links = own if links is None else links.unionByName(own)

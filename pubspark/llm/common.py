@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Within it, Arrow batches of jobs hold about ``size`` bytes at most, so that wide rows (sets,
+    leaves) take little memory beside the heap; the session's own setting comes back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, prefixed until no column of ``df`` has it (column names ignore case)."""
     taken = {c.lower() for c in df.columns}
