@@ -13,17 +13,25 @@ from pubspark.llm.chunk_cache import ChunkEncoder
 _UNSAFE = re.compile(r"\s \s|\s \Z")
 
 
+#: A sign between a letter and a space is a piece of its own.
+_SIGN = re.compile(r"(?<=[A-Za-z])([.,])(?= )")
+
+
 def split_words(text: str) -> list[str]:
-    """For tokenizers that drop white space: chunks between spaces and line feeds."""
-    return text.replace("\n", " ").split(" ")
+    """For tokenizers that lower-case and drop white space: chunks between spaces and line feeds,
+    and single closing signs. ASCII texts are lower-cased first, so that words at the head
+    of a sentence are no chunks of their own."""
+    text = text.replace("\n", " ")
+    return _SIGN.sub(r" \1", text.lower() if text.isascii() else text).split(" ")
 
 
 def split_spaced(text: str) -> list[str]:
     """For byte-level tokenizers whose pieces may begin with one space: chunks cut before
-    spaces; a text whose runs of white space would be cut is one chunk."""
+    spaces and single closing signs; a text whose runs of white space would be cut is one
+    chunk."""
     if "\0" in text or _UNSAFE.search(text):
         return [text]
-    return text.replace(" ", "\0 ").split("\0")
+    return _SIGN.sub("\0\\1", text).replace(" ", "\0 ").split("\0")
 
 
 class LibraryEncoder:
