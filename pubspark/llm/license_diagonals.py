@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pubspark.llm.common import materialize
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 K = 3
@@ -129,7 +131,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         template_triples(), "template int, label string, base boolean, triples int, t int, a string, "
                             "b string, c string")
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    votes = diagonals(find_hits(docs, templates))
+    votes = materialize(diagonals(find_hits(docs, templates)), "license-votes")  # read three times
     whole = F.col("base") & (F.col("votes") == F.col("triples"))
     places = votes.filter(whole).select(
         "doc_id", "own", "label", F.lit(True).alias("place"), F.col("diagonal").alias("at"), F.lit(1.0).alias("coverage"))
