@@ -50,7 +50,7 @@ COORDINATES, PATH = 96, 48
 FIRST_TREES, FIRST_DEPTH = 2, 6
 #: Chance of a second child by level; deeper levels hold groups of similar sets and need less.
 SECOND_CHILD = (0.43, 0.43, 0.3)
-#: Sets of candidate documents are fetched by a broadcast list of ids up to this many.
+#: Documents are looked up by a broadcast list of ids up to this many, else by a shuffle.
 MOST_BROADCAST = 1_000_000
 
 _RANDOM = np.random.default_rng(20240501)
@@ -192,22 +192,20 @@ def involved(leaf_rows: DataFrame, classes: DataFrame, percent: int, slack: floa
     """``leaf, set_id``: the leaves' classes that candidate pairs connect, each connected part as a
     leaf of its own, named by its classes. So a part that several trees' leaves hold, as most
     small ones do, is one leaf. ``classes`` has ``set_id, n, sig, component``."""
-    schema = pa.schema([("leaf", pa.int64()), ("set_id", pa.int64())])
+    schema = pa.schema([("leaf", pa.int64()), ("members", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple[int, int]] = []
-            for rows in b.column("rows"):
-                for part in connected_parts(rows.as_py(), percent, slack):
-                    name = xxhash.xxh64_intdigest(np.array(part, np.int64).tobytes()) - (1 << 63)
-                    out += [(name, x) for x in part]
-            if out:
-                yield as_batch(zip(*out, strict=True), schema)
+            parts = [p for rows in b.column("rows") for p in connected_parts(rows.as_py(), percent, slack)]
+            if parts:
+                names = [xxhash.xxh64_intdigest(np.array(p, np.int64).tobytes()) - (1 << 63) for p in parts]
+                yield as_batch([names, parts], schema)
 
     grouped = (leaf_rows.join(classes, "set_id").groupBy("leaf")  # leaves are small by construction
                .agg(F.collect_list(F.struct("set_id", "n", "sig", "component")).alias("rows"))
                .filter(F.size("rows") > 1))
-    return grouped.mapInArrow(run, "leaf long, set_id long").distinct()
+    parts = grouped.mapInArrow(run, "leaf long, members array<long>").dropDuplicates(["leaf"])
+    return parts.select("leaf", F.explode("members").alias("set_id"))
 
 
 def connected_parts(rows: list[dict], percent: int, slack: float) -> list[list[int]]:
@@ -328,7 +326,10 @@ def keep_firsts(docs: DataFrame, **settings) -> DataFrame:
     report = materialize(near_duplicates(docs, **settings), "near-duplicates")
     own, key, found = (fresh_name(docs, n) for n in ("own_hash", "own_id", "copy_hash"))
     marked = docs.withColumn(own, F.xxhash64("text")).withColumn(key, F.col("doc_id").cast("long"))
-    gone = report.filter(~F.col("kept")).select(F.col("doc_id").alias(key), F.col("own").alias(own)).distinct()
+    gone = materialize(report.filter(~F.col("kept")).select(F.col("doc_id").alias(key), F.col("own").alias(own))
+                       .distinct(), "gone")
+    # beyond the bound the texts are shuffled
+    gone = F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone
     kept = marked.join(gone, [key, own], "left_anti")
     again = report.filter(F.col("kept")).groupBy("doc_id", "own").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     if not again.isEmpty():
