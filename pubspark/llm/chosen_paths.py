@@ -8,20 +8,23 @@ are one class, linked from the start. Classes carry ``COORDINATES`` minwise valu
 than ``node_size`` classes branches: one or two coordinates, picked by the node's own hash, send
 each class to the child named by its minwise value there. Similar sets stay together with the
 probability of their similarity per chosen coordinate, unrelated ones part. Nodes of one class
-are dropped, small ones become leaves; a node still large after ``depth`` levels is dealt into
-leaves by hash, each together with the node's most copied class, so that no node meets in one task.
+are dropped, small ones become leaves. A node still large after ``depth`` levels is compared with its
+head first, the class with the most links so far; what is then not one component is dealt into parts of
+``PART`` classes, and every two parts meet (``deal_all``), so that no pair of the node is left out and
+no node meets in one task. That work grows with the square of such a node's classes.
 
 *Leaves* are compared exhaustively: size bound and minwise estimate (from half the values, then all)
 first, then full sets, where pairs already connected inside the leaf are passed over. Between
 these steps a leaf is cut into the parts that candidate pairs connect, and equal parts of different
 leaves become one. A leaf yields a spanning set of its
-links, at most one less than its classes. The first ``FIRST_TREES`` trees' links are made into
-components; in the other trees, nodes inside one component are dropped too, and leaves only test
+links, at most one less than its classes. The first ``FIRST_TREES`` trees' links (their large nodes
+only meet in part) are made into components; in the other trees, nodes inside one component are dropped too, and leaves only test
 pairs across components, so a dense group is not compared over and over. Sets are made anew from
 the texts of classes that are in such a pair.
 
 *Recall.* A pair at similarity 0.85 meets in a leaf of one tree with probability over 0.6 even
-after eight levels (``meeting_probability``), so in ten trees with over 0.999.
+after eight levels (``meeting_probability``), so in ten trees with over 0.999; of large nodes only the
+eight trees count whose nodes are compared in full.
 
 Defined results: null text reads as empty; an empty set links with nothing; a null doc_id links
 with nothing, its component is null and it is kept; rows with one doc_id and different texts are
@@ -48,6 +51,8 @@ SHINGLE = 5
 #: Minwise values of a signature, and those of them that the trees branch by.
 COORDINATES, PATH = 96, 48
 FIRST_TREES, FIRST_DEPTH = 2, 6
+#: Classes of a part of a large node whose parts all meet.
+PART = 128
 #: Chance of a second child by level; deeper levels hold groups of similar sets and need less.
 SECOND_CHILD = (0.43, 0.43, 0.3)
 #: Documents are looked up by a broadcast list of ids up to this many, else by a shuffle.
@@ -133,9 +138,10 @@ def branch(rows: DataFrame, level: int, keep: tuple[str, ...]) -> DataFrame:
     return rows.select(F.explode(children).alias("node"), *keep)
 
 
-def leaves(classes: DataFrame, trees: range, node_size: int, depth: int, most_parts: int) -> DataFrame:
-    """``leaf, set_id`` of the trees' leaves that hold classes of two components or more;
-    ``classes`` has ``set_id, component, copies, path``. Most classes are alone after one level, so
+def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
+    """``leaf, set_id`` of the trees' leaves that hold classes of two components or more, and
+    ``node, set_id`` of the nodes still large after ``depth`` levels, if any; ``classes`` has
+    ``set_id, component, path``. Most classes are alone after one level, so
     only those of nodes that branch again carry their path along."""
     rows = (classes.withColumn("tree", F.explode(F.lit(list(trees))))
             .withColumn("node", F.xxhash64("tree", F.lit("root"))))
@@ -151,36 +157,76 @@ def leaves(classes: DataFrame, trees: range, node_size: int, depth: int, most_pa
         done = small if done is None else done.unionByName(small)
         large = kids.filter(F.col("size") > node_size)
         if large.isEmpty():
-            return done
+            return done, None
         rows = large if level else large.join(classes.select("set_id", "path"), "set_id")
         keep = ("set_id", "component", "path")
-    large = large.select("node", "size", "set_id").join(classes.select("set_id", "copies"), "set_id")
-    return done.unionByName(deal(large, node_size, most_parts))
-
-
-def deal(nodes: DataFrame, node_size: int, most_parts: int) -> DataFrame:
-    """Leaves of nodes that stayed large. A node is dealt into parts by hash; up to ``most_parts``
-    parts, every two parts make a leaf, so all pairs meet. Beyond, each part makes one leaf with
-    one other, picked by hash. The node's most copied class, likely the others' source, joins every
-    leaf."""
-    own = nodes.select("node", "set_id", F.ceil(F.col("size") / (node_size // 2)).alias("parts"))
-    own = own.withColumn("part", F.pmod(F.xxhash64("set_id", "node"), F.col("parts")))
-    # with steps 0 to parts - 1, parts p and q meet in the step (p + q) mod parts
-    steps = F.when(F.col("parts") <= most_parts, F.col("parts")).otherwise(F.lit(1))
-    dealt = own.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), steps.cast("long") - 1)))
-    at = F.when(F.col("parts") <= most_parts, F.col("step")).otherwise(F.pmod(F.xxhash64("node"), F.col("parts")))
-    other = F.pmod(at - F.col("part") + F.col("parts"), F.col("parts"))
+    return done, large.select("node", "set_id")
+
+
+def deal_once(nodes: DataFrame, classes: DataFrame, node_size: int) -> DataFrame:
+    """Leaves that find the first links of large nodes: each part of a node makes one leaf with one
+    other part, picked by hash, and the node's most copied class. Not all pairs meet."""
+    sizes = nodes.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / (node_size // 2)).alias("parts"))
+    own = nodes.join(sizes, "node").withColumn("part", F.pmod(F.xxhash64("set_id", "node"), F.col("parts")))
+    # parts p and q meet when (p + q) mod parts is the node's own number
+    other = F.pmod(F.pmod(F.xxhash64("node"), F.col("parts")) - F.col("part") + F.col("parts"), F.col("parts"))
     pair = F.xxhash64("node", F.least("part", other), F.greatest("part", other))
-    dealt = dealt.select("node", pair.alias("leaf"), "set_id")
-    first = nodes.groupBy("node").agg(F.max(F.struct("copies", "set_id")).alias("first"))
+    dealt = own.select("node", pair.alias("leaf"), "set_id")
+    first = (nodes.join(classes.select("set_id", "copies"), "set_id").groupBy("node")
+             .agg(F.max(F.struct("copies", "set_id")).alias("first")))
     heads = dealt.select("node", "leaf").distinct().join(first, "node")
     return dealt.select("leaf", "set_id").unionByName(heads.select("leaf", F.col("first.set_id").alias("set_id"))).distinct()
 
 
+def deal_heads(nodes: DataFrame, classes: DataFrame, links: DataFrame, node_size: int) -> DataFrame:
+    """Leaves that test each class of a large node against the node's head, the class with the most
+    links so far (then copies), likely the others' source; those linked to it already stay away.
+    ``classes`` has ``set_id, component, copies``."""
+    ends = links.select(F.col("a").alias("set_id")).unionByName(links.select(F.col("b").alias("set_id")))
+    degrees = ends.groupBy("set_id").agg(F.count(F.lit(1)).alias("degree"))
+    known = nodes.join(classes.select("set_id", "component", "copies"), "set_id").join(degrees, "set_id", "left")
+    rank = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "copies", "set_id", "component")
+    head = known.groupBy("node").agg(F.max(rank).alias("head"), F.count(F.lit(1)).alias("size"))
+    part = F.pmod(F.xxhash64("set_id", "node"), F.ceil(F.col("size") / node_size))
+    dealt = (known.join(head, "node").filter(F.col("component") != F.col("head.component"))
+             .select("set_id", F.xxhash64("node", F.lit("head"), part).alias("leaf"), F.col("head.set_id").alias("head")))
+    heads = dealt.select("leaf", F.col("head").alias("set_id")).distinct()
+    return dealt.select("leaf", "set_id").unionByName(heads)
+
+
+def deal_all(nodes: DataFrame, classes: DataFrame, size: int = PART) -> DataFrame:
+    """Leaves of large nodes in which every two classes of different components meet. The node's
+    most frequent component is the main one, all other classes the rest; both are dealt
+    into parts of about ``size`` classes, and every two parts of the rest, and every part of the
+    rest and of the main one, make a leaf. Pairs are compared inside the leaves, never shuffled; the
+    rows made are classes times parts. ``classes`` has ``set_id, component``."""
+    known = nodes.join(classes.select("set_id", "component"), "set_id")
+    counts = known.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (counts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("main"))
+             .filter(F.col("size") > F.col("main.n"))
+             .select("node", F.col("main.component").alias("main"), F.ceil(F.col("main.n") / size).alias("mains"),
+                     F.ceil((F.col("size") - F.col("main.n")) / size).alias("rests")))
+    own = known.join(sizes, "node").withColumn("hash", F.xxhash64("set_id", "node"))
+
+    def to(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    rest = own.filter("component <> main").withColumn("part", F.pmod("hash", "rests"))
+    # in the steps 0 to rests - 1, parts p and q of the rest meet when (p + q) mod rests is the step
+    rest = rest.withColumn("step", to(F.col("rests") + F.col("mains")))
+    other = F.pmod(F.col("step") - F.col("part") + F.col("rests"), F.col("rests"))
+    among = F.xxhash64("node", F.lit("rest"), F.least("part", other), F.greatest("part", other))
+    across = F.xxhash64("node", F.lit("main"), "part", F.col("step") - F.col("rests"))
+    rest = rest.select(F.when(F.col("step") < F.col("rests"), among).otherwise(across).alias("leaf"), "set_id")
+    main = (own.filter("component = main").withColumn("part", F.pmod("hash", "mains")).withColumn("step", to(F.col("rests")))
+            .select(F.xxhash64("node", F.lit("main"), "step", "part").alias("leaf"), "set_id"))
+    return rest.unionByName(main)
+
+
 def candidate_pairs(n: np.ndarray, sig: np.ndarray, group: np.ndarray, percent: int, slack: float) -> tuple[np.ndarray, ...]:
     """Positions ``i < j`` in different groups that the sizes and the minwise estimate allow,
     the most alike first."""
-    share = (sig[:, None, :] == sig[None, :, :]).mean(axis=2)
+    share = np.concatenate([(sig[k:k + 32, None, :] == sig[None, :, :]).mean(axis=2) for k in range(0, len(sig), 32)])
     low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
     may = (100 * low >= percent * high) & (share >= percent / 100 - slack) & (group[:, None] != group[None, :])
     i, j = np.nonzero(np.triu(may, 1))
@@ -287,26 +333,42 @@ def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int,
         sigs.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("set_id")
         .agg(F.min(F.struct("doc_id", "n", "sig")).alias("x"), F.count(F.lit(1)).alias("copies"))
         .select("set_id", "copies", "x.*"), "classes")
+    classes = classes.withColumn("path", F.substr("sig", F.lit(1), F.lit(2 * PATH)))
     links, parts, seen = None, None, None
-    for own_trees, most, most_parts in ((range(FIRST_TREES), FIRST_DEPTH, 1), (range(FIRST_TREES, trees), depth, 8)):
-        known = classes.select("set_id", "n", "copies", "sig", F.substr("sig", F.lit(1), F.lit(2 * PATH)).alias("path"))
+
+    def components() -> DataFrame:
         if parts is None:
-            known = known.withColumn("component", F.col("set_id"))
-        else:
-            known = materialize(known.join(parts.withColumnRenamed("id", "set_id"), "set_id", "left")
-                                .withColumn("component", F.coalesce("component", "set_id")), "known")
-        rows = leaves(known.select("set_id", "component", "copies", "path"), own_trees, node_size, most, most_parts)
+            return classes.withColumn("component", F.col("set_id"))
+        return materialize(classes.join(parts.withColumnRenamed("id", "set_id"), "set_id", "left")
+                           .withColumn("component", F.coalesce("component", "set_id")), "known")
+
+    def compare(rows: DataFrame, known: DataFrame) -> None:
+        nonlocal links, parts, seen
         # by the short signatures first, so that the long ones are joined to few rows
         brief = known.select("set_id", "n", F.col("path").alias("sig"), "component")
         rows = materialize(involved(rows, brief, percent, 1.5 * slack), "pairs-brief")
-        rows = involved(rows, known.drop("path", "copies"), percent, slack)
+        rows = involved(rows, known.select("set_id", "n", "sig", "component"), percent, slack)
         if seen is not None:
             rows = rows.join(seen.select("leaf").distinct(), "leaf", "left_anti")
-        rows = seen = materialize(rows, "pairs")
+        rows = materialize(rows, "pairs")
+        seen = rows if seen is None else seen.unionByName(rows)
         sets = full_sets(docs, classes.select("set_id", "doc_id"), rows)
         own = materialize(confirmed(rows, sets, percent, slack), "confirmed")
         links = own if links is None else links.unionByName(own)
         parts = connected_components(links)
+
+    known = components()
+    rows, large = leaves(known, range(FIRST_TREES), node_size, FIRST_DEPTH)
+    compare(rows if large is None else rows.unionByName(deal_once(large, known, node_size)), known)
+    known = components()
+    if large is not None:
+        compare(deal_heads(large, known, links, node_size), known)
+        known = components()
+    rows, large = leaves(known, range(FIRST_TREES, trees), node_size, depth)
+    compare(rows if large is None else rows.unionByName(deal_heads(large, known, links, node_size)), known)
+    if large is not None:  # what is not one component yet, all against all
+        known = components()
+        compare(deal_all(large, known), known)
     members = classes.join(parts.withColumnRenamed("id", "set_id"), "set_id").select("set_id", "component", "doc_id")
     low = members.groupBy("component").agg(F.min("doc_id").alias("low"))
     first = (classes.select("set_id", "doc_id")

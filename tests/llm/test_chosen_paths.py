@@ -73,3 +73,44 @@ def test_keep_firsts(spark):
     assert got.columns == edge_docs(spark, rows).columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
         [(3, "a b c d e f"), (1, "x y z"), (None, "a b c d e f"), (4, None), (1, "q r s t u v")], key=repr)
+
+
+def star(variants, changed, words=150):
+    """A source and texts that each differ from it in ``changed`` places, the source's id last."""
+    r = random.Random(7)
+    base = [f"s{k}" for k in range(words)]
+    rows = []
+    for i in range(variants):
+        w = base[:]
+        for k in r.sample(range(1, words // 6), changed):
+            w[6 * k] = f"v{i}x{k}"
+        rows.append((i, " ".join(w)))
+    return [*rows, (variants, " ".join(base))]
+
+
+def test_star_whose_source_has_no_copies(spark):
+    rows = star(3000, 2)  # 0.87 to the source, 0.8 or less to most others
+    got = C.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.filter("component_id <> 0").count() == 0
+
+
+def test_large_nodes_meet_in_full(spark):
+    nodes = spark.createDataFrame([(1, i) for i in range(700)] + [(2, i) for i in range(300)], "node long, set_id long")
+    classes = spark.range(700).selectExpr("id AS set_id", "IF(id < 400, 0, id) AS component")
+    met = defaultdict(set)
+    for r in C.deal_all(nodes, classes, 50).groupBy("leaf").agg({"set_id": "collect_list"}).collect():
+        assert len(r[1]) < 200
+        for i in r[1]:
+            met[i].update(r[1])
+    assert all(met[i] == set(range(700)) for i in range(400, 700)) and all(met[i] >= set(range(400, 700)) for i in range(400))
+
+
+def test_groups_without_a_source_in_one_node(spark):
+    # pairs of a large template: each pair's two texts are alike, all others below the threshold
+    rows = []
+    for i in range(50):
+        w = [f"t{k}" for k in range(120)]
+        for k in range(1, 6):
+            w[20 * k] = f"p{i}x{k}"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:-2] + [f"e{i}"]))]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), node_size=16, depth=4)
