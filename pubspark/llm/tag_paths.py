@@ -6,7 +6,8 @@ node. Ratios are laid along the page in node order and smoothed, fused back to o
 (mean of its nodes' smoothed ratio, times the unlinked share), and paths at or above a threshold
 are content. The content element is the deepest section that holds nearly all of their text; its
 blocks are the result, without parts that are no article text by their element or its class (menus,
-headers, footers, side bars, notices, adverts, forms, comments) and without blocks of links only.
+headers, footers, side bars, notices, adverts, forms, comments; a class, id or role counts as a whole,
+and not on an element that holds most of the text) and without blocks of links only.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 trimmed and joined in page order by two "\\n".
@@ -50,6 +51,7 @@ OUTSIDE_WORDS = frozenset(
 SECTIONS = frozenset("article body center div html main section table tbody td tr".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 _WORD = re.compile(r"[a-z0-9]+")
+_HEADING = re.compile(r"h[1-6]")
 _TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|/?([A-Za-z][^\s/>]*)"""
                   r"""((?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)(>|\Z))""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -72,13 +74,17 @@ class Page:
     nodes: list[Node] = field(default_factory=list)
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: ["html"])
+    #: Elements whose class, id or role says that they are no article text.
+    marked: list[bool] = field(default_factory=lambda: [False])
 
 
-def _outside(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether the element is outside the article, and its label in a tag path."""
+def _outside(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, str]:
+    """Whether the element is outside the article, whether a word says so (a whole class, id or role,
+    or one of such words only; ids of headings and inside an article are names of topics), and its
+    label in a tag path."""
     if tag in OUTSIDE:
-        return True, tag
-    found, label = False, tag
+        return True, False, tag
+    found, marked, label = False, False, tag
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "style":
@@ -86,13 +92,13 @@ def _outside(tag: str, attributes: str) -> tuple[bool, str]:
         elif name in ("hidden", "aria-hidden"):
             found |= value != "false"
         else:
-            words = _WORD.findall(value)
-            found |= not OUTSIDE_WORDS.isdisjoint(words)
+            if name != "id" or not (in_article or _HEADING.fullmatch(tag)):
+                marked |= any(w and OUTSIDE_WORDS.issuperset(w) for w in map(_WORD.findall, value.split()))
             if name == "class":
-                label += "." + ".".join(words)
+                label += "." + ".".join(_WORD.findall(value))
     if tag in ("html", "body", "article", "main"):
-        return False, label
-    return found, label
+        return False, False, label
+    return found, marked, label
 
 
 def parse(html: str) -> Page:
@@ -148,12 +154,13 @@ def parse(html: str) -> Page:
             if tag == "br":
                 page.nodes.append(Node(stack[-1][2], stack[-1][1], block, "\n", True))
             continue
-        outside, label = _outside(tag, m[2])
+        outside, marked, label = _outside(tag, m[2], bool(counts.get("article") or counts.get("main")))
         if tag == "header":
             outside = outside or not counts.get("article")
         _, element, path, above, linked = stack[-1]
         page.parent.append(element)
         page.tag.append(tag)
+        page.marked.append(marked)
         if m[2].rstrip().endswith("/") and tag in ("svg", "path", "use"):
             continue
         key = (path, label)
@@ -166,6 +173,30 @@ def parse(html: str) -> Page:
     return page
 
 
+def without_marked(page: Page) -> list[Node]:
+    """The page's nodes outside marked elements. A mark does not count on an element that holds more
+    than half of the unlinked text inside ``article`` and ``main`` elements (if there is none, of all
+    the unlinked text)."""
+    if not any(page.marked):
+        return page.nodes
+    inside = [tag in ("article", "main") for tag in page.tag]
+    for e in range(1, len(page.tag)):
+        inside[e] |= inside[page.parent[e]]
+    own, all_text = [0] * len(page.tag), [0] * len(page.tag)
+    for n in page.nodes:
+        if not n.linked:
+            size = len(n.text.strip())
+            all_text[n.element] += size
+            own[n.element] += size * inside[n.element]
+    weight = own if any(own) else all_text
+    for e in range(len(page.tag) - 1, 0, -1):
+        weight[page.parent[e]] += weight[e]
+    gone = [m and 2 * w <= weight[0] for m, w in zip(page.marked, weight, strict=True)]
+    for e in range(1, len(page.tag)):
+        gone[e] |= gone[page.parent[e]]
+    return [n for n in page.nodes if not gone[n.element]]
+
+
 def smooth(values: list[float], kernel: tuple[float, ...] = (0.1, 0.2, 0.4, 0.2, 0.1)) -> list[float]:
     """``values`` weighted with their neighbours; at the ends the weights are scaled up."""
     r, n, out = len(kernel) // 2, len(values), []
@@ -220,6 +251,7 @@ def content_element(page: Page, nodes: list[Node], paths: set[int], share: float
 def main_text(html: str) -> str:
     """The article text of one page."""
     page = parse(html)
+    page.nodes = without_marked(page)
     nodes = [n for n in page.nodes if n.text.strip()]
     if not nodes:
         return ""

@@ -58,3 +58,20 @@ def test_edges(spark):
     assert sorted((r.page_id or 0, r.url or "", r.text[:8], r.n_chars) for r in got) == [
         (0, "u", "word, wo", 299_999), (1, "u", "", 0), (2, "", "", 0), (3, "u", "Hi, you.", 8), (3, "u", "Hi, you.", 8)]
     assert T.extract_pages(spark.createDataFrame([], ddl)).count() == 0
+
+
+TEXT = "This is a long text, with commas, and more. It goes on, and on."
+
+
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "class=no-sidebar", "class=with-header", "class=hidden-print",
+                                     "class=social", "id=overlay"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_words_of_a_wrapper_do_not_hide_the_text(wrapper, tag):
+    page = f"<body><div {wrapper}><{tag}><p>{TEXT}</p><p>{TEXT}</p></{tag}></div><div class=sidebar><p>{TEXT}</p></div></body>"
+    assert T.main_text(page) == f"{TEXT}\n\n{TEXT}"
+
+
+def test_topics_of_an_article_are_no_marks():
+    page = (f"<article><p>{TEXT}</p><h2 id='related-work'>Related work</h2><p>{TEXT}</p><section id=advertising><p>{TEXT}</p>"
+            f"</section><div class=share><p>{TEXT}</p></div></article>")
+    assert T.main_text(page) == f"{TEXT}\n\nRelated work\n\n{TEXT}\n\n{TEXT}"
