@@ -4,8 +4,10 @@ Every text node hangs from a root-to-leaf tag path (tag names with their classes
 length and punctuation are summed over its nodes, less link text; a path's ratio is that sum per
 node. Ratios are laid along the page in node order and smoothed, fused back to one value per path
 (mean of its nodes' smoothed ratio, times the unlinked share), and paths at or above a threshold
-are content. The content element is the deepest section that holds nearly all of their text; its
-blocks are the result, without parts that are no article text by their element or its class (menus,
+are content: every block with a node of such a path is in the result, wherever it stands. The content
+element, the deepest section that holds nearly all of their text, only widens it: by headings
+and by blocks between content blocks, and by all its blocks if it is an ``article`` or ``main``. Headings
+straight before a content block are in, too. All this is without parts that are no article text by their element or its class (menus,
 headers, footers, side bars, notices, adverts, forms, comments; a class, id or role counts as a whole,
 and not on an element that holds most of the text) and without blocks of links only.
 
@@ -240,7 +242,7 @@ def content_element(page: Page, nodes: list[Node], paths: set[int], share: float
         if page.tag[e] in SECTIONS:
             children.setdefault(page.parent[e], []).append(e)
     at = 0
-    while page.tag[at] != "article":
+    while page.tag[at] not in ("article", "main"):
         heavy = [e for e in children.get(at, ()) if weight[e] >= share * max(weight[0], 1)]
         if not heavy:
             break
@@ -255,23 +257,30 @@ def main_text(html: str) -> str:
     nodes = [n for n in page.nodes if n.text.strip()]
     if not nodes:
         return ""
-    top = content_element(page, nodes, content_paths(nodes))
-    inside = [False] * len(page.tag)
+    paths = content_paths(nodes)
+    top = content_element(page, nodes, paths)
+    inside, heading = [False] * len(page.tag), [_HEADING.fullmatch(t) is not None for t in page.tag]
     inside[top] = True
-    for e in range(top + 1, len(page.tag)):
-        inside[e] = inside[page.parent[e]]
-    blocks: dict[int, list[Node]] = {}
+    for e in range(1, len(page.tag)):
+        inside[e] |= inside[page.parent[e]]
+        heading[e] |= heading[page.parent[e]]
+    by_block: dict[int, list[Node]] = {}
     for n in page.nodes:
-        if inside[n.element]:
-            blocks.setdefault(n.block, []).append(n)
-    out = []
-    for own in blocks.values():
-        if all(n.linked or not n.text.strip() for n in own):
-            continue  # links only
-        text = " ".join("".join(n.text for n in own).split())
-        if text:
-            out.append(text)
-    return "\n\n".join(out)
+        by_block.setdefault(n.block, []).append(n)
+    blocks = [own for own in by_block.values() if not all(n.linked or not n.text.strip() for n in own)]
+    chosen = [any(n.path in paths and not n.linked and n.text.strip() for n in own) for own in blocks]
+    within = [any(inside[n.element] for n in own) for own in blocks]
+    named = page.tag[top] in ("article", "main")
+    core = [k for k, own in enumerate(blocks) if chosen[k] and within[k]]
+    out, follows = [], False  # follows: the next block that is no heading is chosen
+    for k in reversed(range(len(blocks))):
+        titled = any(heading[n.element] for n in blocks[k])
+        widened = within[k] and (named or titled or bool(core) and core[0] < k < core[-1])
+        if chosen[k] or widened or titled and follows:
+            out.append(" ".join("".join(n.text for n in blocks[k]).split()))
+        if not titled:
+            follows = chosen[k]
+    return "\n\n".join(t for t in reversed(out) if t)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -75,3 +75,14 @@ def test_topics_of_an_article_are_no_marks():
     page = (f"<article><p>{TEXT}</p><h2 id='related-work'>Related work</h2><p>{TEXT}</p><section id=advertising><p>{TEXT}</p>"
             f"</section><div class=share><p>{TEXT}</p></div></article>")
     assert T.main_text(page) == f"{TEXT}\n\nRelated work\n\n{TEXT}\n\n{TEXT}"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<main><h1>Title</h1><div class=lead><p>{TEXT}</p></div><div class=story>{f'<p>{TEXT}</p>' * 9}</div></main>",
+     ["Title", *[TEXT] * 10]),
+    (f"<body><div class=a><h2>One</h2><p>{TEXT}</p></div><div class=b><h2>Two</h2>{f'<p>{TEXT}</p>' * 9}</div></body>",
+     ["One", TEXT, "Two", *[TEXT] * 9]),
+    (f"<body><div class=b>{'<div class=tag>x</div>' * 8}{f'<p>{TEXT}</p>' * 4}<div class=by>By me</div><p>{TEXT}</p>"
+     f"{'<div class=end>x 1</div>' * 8}</div></body>", [*[TEXT] * 4, "By me", TEXT])])
+def test_paths_select_the_text(page, text):
+    assert T.main_text(page) == "\n\n".join(text)
