@@ -1,5 +1,7 @@
+import inspect
 import random
 from collections import Counter, defaultdict
+from math import comb
 
 from pubspark.llm import chosen_paths as C
 from tests.llm.edge import DOCS, documents, edge_docs
@@ -114,3 +116,12 @@ def test_groups_without_a_source_in_one_node(spark):
             w[20 * k] = f"p{i}x{k}"
         rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:-2] + [f"e{i}"]))]
     check(spark.createDataFrame(rows, "doc_id long, text string"), node_size=16, depth=4)
+
+
+def test_estimates_lose_few_pairs():
+    slack = inspect.signature(C.near_duplicates).parameters["slack"].default
+
+    def lost(n, share):
+        return sum(comb(n, i) * 0.85 ** i * 0.15 ** (n - i) for i in range(n) if i / n < share)
+
+    assert lost(C.COORDINATES // 2, 0.85 - 1.5 * slack) + lost(C.COORDINATES, 0.85 - slack) < 0.0001
