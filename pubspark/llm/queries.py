@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pubspark.llm import (
     byte_pair, chosen_paths, license_diagonals, personal_data, quality_rules, record_files, sequence_packing,
-    subspace_join, tag_paths, toxic_passages)
+    source_mix, spelling_variants, subspace_join, tag_paths, toxic_passages, vector_codes)
 from pubspark.llm.common import read_table
 
 
@@ -57,9 +57,23 @@ def op10_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.taken_words(read_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_subspace_join, op2_license_diagonals, op3_personal_data, op4_toxic_passages, op5_quality_rules, op6_tag_paths,
-    op7_byte_pair, op8_chosen_paths, op9_sequence_packing, op10_record_files)}
+    op7_byte_pair, op8_chosen_paths, op9_sequence_packing, op10_record_files, op11_spelling_variants, op12_source_mix, op13_vector_codes)}
 
 LLM_ORACLE_SQL = {"op2_license_diagonals": license_diagonals.scan_sql(),
-                  "op5_quality_rules": quality_rules.report_sql()}
+                  "op5_quality_rules": quality_rules.report_sql(),
+                  "op11_spelling_variants": spelling_variants.variants_sql(),
+                  "op13_vector_codes": vector_codes.codes_sql()}
