@@ -5,18 +5,19 @@ dimension for each letter and count of it so far (first a, second a, ...). One i
 letter changes one dimension, a replaced letter two, so near words are at Hamming distance at most
 two. The dimensions are dealt into ``parts`` parts by a fixed rule. Vectors that differ in
 
-* one part only agree on all others: one signature for each part left out, and
-* two parts agree on the rest: one signature for each pair of parts left out,
+* one dimension agree on all parts but one: one signature for each part left out,
+* two dimensions agree on all parts but two: one signature for each pair of parts left out,
 
-and this enumerates every way two differing dimensions can fall. Signatures are exact 64-bit sums of
-the dimensions kept, together with the words' length, so that an equi-join finds all candidates;
-``levenshtein`` verifies them inside the join, which thus emits near words only. Each near pair has
-exactly one signature that can find it (a pair signature counts only if both its parts differ), so
-no pair is found twice. A hash collision adds a candidate, never a link.
+and this enumerates every way the differing dimensions can fall. Signatures are exact 64-bit sums of
+the dimensions kept. Each also holds the length and one half of the word, since one letter leaves the
+other half as it is: a word has every signature twice, with its first and with its second half, which
+keeps words made of the same syllables apart. An equi-join finds all candidates; ``levenshtein``
+verifies them inside the join, which thus emits near words only. A hash collision adds a candidate,
+never a link.
 
 Words come from the whole texts; counts are summed per Arrow batch and task before the shuffle. A
 signature group is joined where it lies, and Spark splits a skewed one; ``parts`` sets its size
-against the number of signatures (``parts * (parts + 3) / 2`` rows a word).
+against the number of signatures (``parts * (parts + 3)`` rows a word).
 
 Defined results: a null text has no words; a null ``doc_id`` reads as the empty text in the rule that
 deletes letters; repeated rows count each time; texts of any length are read whole; a table
@@ -29,22 +30,22 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubspark.llm.common import materialize
 
 RUNS = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 DELETE_EVERY = 31
 LEAST_LENGTH = 7
 LEAST_COUNT = 2
 FORM_TIMES = 10
-PARTS = 6
+PARTS = 3
 
 _MASK = (1 << 64) - 1
 
@@ -52,7 +53,8 @@ _MASK = (1 << 64) - 1
 def document_words(doc_id: int | None, text: str, least_length: int = LEAST_LENGTH) -> Counter:
     """The words of a text with their counts: lower-cased runs of letters, of which the rule by
     ``doc_id`` shortens some by one letter. Runs too short for a word are left out early."""
-    runs = Counter(r for r in RUNS.findall(text.translate(LOWER)) if len(r) >= least_length)
+    lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
+    runs = Counter(r for r in RUNS.findall(lowered) if len(r) >= least_length)
     start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
     words: Counter = Counter()
     for run, n in runs.items():
@@ -116,61 +118,56 @@ class Dimensions:
         return [s & _MASK for s in out]
 
 
-def _keyed(sums: np.ndarray, tag: int, length: np.ndarray) -> np.ndarray:
-    """Signature key of kept sums, the parts left out and the length."""
-    with np.errstate(over="ignore"):
-        x = sums ^ (np.uint64(_mixed(tag)) + length * np.uint64(0x9E3779B97F4A7C15))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (x ^ (x >> np.uint64(27))).view(np.int64)
+def _mixed_array(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _word_sums(batch: pa.RecordBatch, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    words, dims = batch.column("word").to_pylist(), Dimensions(parts)
-    sums = np.array([dims.sums(w) for w in words], np.uint64).reshape(len(words), parts)
-    with np.errstate(over="ignore"):
-        return sums, sums.sum(axis=1, dtype=np.uint64), np.array([len(w) for w in words], np.uint64)
+def _halves(words: list[str], shorter: int) -> list[np.ndarray]:
+    """64-bit hashes of the first and of the second half of the words, halved as words ``shorter``
+    letters shorter are."""
+    cuts = [(len(w) - shorter) // 2 for w in words]
+    texts = ([w[:c] for w, c in zip(words, cuts, strict=True)],
+             [w[c + shorter:] for w, c in zip(words, cuts, strict=True)])
+    return [np.array([int.from_bytes(blake2b(t.encode(), digest_size=8, salt=salt).digest()) for t in half], np.uint64)
+            for half, salt in zip(texts, (b"first", b"second"), strict=True)]
 
 
-def _one_part_signatures(parts: int):
+def _signatures(left_out: int, parts: int, shorter: int = 0):
+    """Rows ``key, word, n`` of all signatures with ``left_out`` parts left out and a half kept, for
+    words that meet words of their length less ``shorter``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dims = Dimensions(parts)
         for b in batches:
-            sums, total, length = _word_sums(b, parts)
-            for i in range(parts):
-                for longer in (False, True):
-                    key = _keyed(total - sums[:, i], i, length - np.uint64(longer))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), b.column("word"), b.column("n"), pa.array([longer] * len(b))],
-                        ["key", "word", "n", "longer"])
-    return run
-
-
-def _two_part_signatures(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums, total, length = _word_sums(b, parts)
-            for i, j in combinations(range(parts), 2):
-                key = _keyed(total - sums[:, i] - sums[:, j], parts + i * parts + j, length)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), b.column("word"), b.column("n"),
-                     *(pa.array(np.ascontiguousarray(sums[:, p]).view(np.int64)) for p in (i, j))],
-                    ["key", "word", "n", "p", "q"])
+            words = b.column("word").to_pylist()
+            sums = np.array([dims.sums(w) for w in words], np.uint64).reshape(len(words), parts)
+            length = np.array([len(w) - shorter for w in words], np.uint64)
+            with np.errstate(over="ignore"):
+                for half in _halves(words, shorter):
+                    held = half + length * np.uint64(0x9E3779B97F4A7C15)
+                    for out in combinations(range(parts), left_out):
+                        kept = sums.sum(axis=1, dtype=np.uint64) - sums[:, list(out)].sum(axis=1, dtype=np.uint64)
+                        key = _mixed_array(_mixed_array(held) ^ kept ^ np.uint64(_mixed(sum(1 << k for k in out))))
+                        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("word"), b.column("n")],
+                                                         ["key", "word", "n"])
     return run
 
 
 def near_words(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """``a, a_n, b, b_n``: each pair of words that differ by one inserted, deleted or replaced code
-    point, once. ``words`` holds distinct ``word`` with ``n``."""
-    one = words.mapInArrow(_one_part_signatures(parts), "key long, word string, n long, longer boolean")
-    two = words.mapInArrow(_two_part_signatures(parts), "key long, word string, n long, p long, q long")
-    near = F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1
+    point, once. ``words`` holds distinct ``word`` with ``n``; ``parts`` is at least 2."""
+    def signed(left_out: int, shorter: int, name: str) -> DataFrame:
+        return words.mapInArrow(_signatures(left_out, parts, shorter), "key long, word string, n long").alias(name)
+
+    near = (F.col("a.key") == F.col("b.key")) & (F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1)
     found = [F.col("a.word").alias("a"), F.col("a.n").alias("a_n"), F.col("b.word").alias("b"), F.col("b.n").alias("b_n")]
-    in_one = (one.filter("NOT longer").alias("a")
-              .join(one.alias("b"), (F.col("a.key") == F.col("b.key"))
-                    & (F.col("b.longer") | (F.col("a.word") < F.col("b.word"))) & near).select(*found))
-    in_two = (two.alias("a")
-              .join(two.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.p") != F.col("b.p"))
-                    & (F.col("a.q") != F.col("b.q")) & (F.col("a.word") < F.col("b.word")) & near).select(*found))
-    return in_one.unionByName(in_two)
+    deleted = signed(1, 0, "a").join(signed(1, 1, "b"), near).select(*found)
+    two = words.mapInArrow(_signatures(2, parts), "key long, word string, n long")
+    replaced = two.alias("a").join(two.alias("b"), near & (F.col("a.word") < F.col("b.word"))).select(*found)
+    # Two letters of one part are left out by several signatures, and one of two equal neighbours in
+    # the middle is missing from either half: a pair may be found more than once.
+    return deleted.unionByName(replaced).distinct()
 
 
 def last_forms(forms: DataFrame) -> DataFrame:
@@ -196,9 +193,10 @@ def spelling_variants(docs: DataFrame, parts: int = PARTS, form_times: int = FOR
     least ``form_times`` the word's ``n``; ``root`` the last form reached from the word.
     """
     words = materialize(corpus_words(docs), "words")
-    pairs = near_words(words, parts)
-    links = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")).unionByName(
-        pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("a_n").alias("near_n")))
+    def way(word: str, near: str) -> Column:
+        return F.struct(F.col(word).alias("word"), F.col(near).alias("near"), F.col(f"{near}_n").alias("near_n"))
+
+    links = near_words(words, parts).select(F.inline(F.array(way("a", "b"), way("b", "a"))))
     best = links.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     graded = materialize(
