@@ -62,20 +62,26 @@ def silver_publications(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFram
     indexed) version, typed.
 
     Ties on both timestamps are broken by the record content hash (``record_hash`` when bronze
-    carries it) so reruns pick the same row.
+    carries it) and then by the row's own values, so that rows still tied are equal and reruns
+    pick the same one.
     """
+    return newest_versions(typed_versions(bronze, by), "_tiebreak", by).drop("_tiebreak")
+
+
+def typed_versions(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Typed publication columns of every record with a DOI, and ``_tiebreak``."""
     tiebreak = (F.col("record_hash") if "record_hash" in bronze.columns
                 else F.xxhash64(*[F.col(c) for c in bronze.columns]))
-    typed = bronze.where(F.col("doi").isNotNull()).select(
+    return bronze.where(F.col("doi").isNotNull()).select(
         *_typed_publication_columns(), tiebreak.alias("_tiebreak"), *by)
+
+
+def newest_versions(typed: DataFrame, tiebreak: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The newest of the typed versions of each DOI (per ``by`` group)."""
+    rest = [c for c in typed.columns if c not in {"doi", "deposited_datetime", "indexed_datetime", tiebreak, *by}]
     w = Window.partitionBy(*by, "doi").orderBy(
-        F.col("deposited_datetime").desc_nulls_last(),
-        F.col("indexed_datetime").desc_nulls_last(),
-        F.col("_tiebreak").desc(),
-    )
-    return (typed.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1)
-            .drop("_rn", "_tiebreak"))
+        *[F.col(c).desc_nulls_last() for c in ("deposited_datetime", "indexed_datetime", tiebreak, *rest)])
+    return typed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def _author_fields(author: Column) -> dict[str, Column]:

@@ -79,16 +79,30 @@ def issued_published_differences(publications: DataFrame) -> DataFrame:
         "published_online_date")
 
 
+# Rows that one step of :func:`repeated` makes of a row at most.
+REPEAT_CHUNK = 1 << 20
+
+
+def repeated(df: DataFrame, times: str, spread: tuple[str, ...], chunk: int = REPEAT_CHUNK) -> DataFrame:
+    """Each row as often as its column ``times`` says (dropped). Large numbers are first cut into chunks,
+    which are dealt out by ``spread`` and their number, and then each becomes rows: no array is longer
+    than ``chunk`` up to ``chunk`` squared repetitions, and a single row's repetitions are made by many tasks."""
+    n, at = F.col(times), F.col("_chunk")
+    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / chunk))))
+    rows = chunks.repartition(*spread, "_chunk").withColumn("_last", F.least(F.lit(chunk), n - at * chunk))
+    return rows.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), "_last"))).drop(
+        "_i", "_last", "_chunk", times)
+
+
 # Q8 (J3): inner join of issue DOIs back to publications; duplicate issue rows repeat matches.
 # Issues are counted per DOI before the join, so a DOI that very many records share (a blank one)
 # is one row there, and its match is repeated afterwards.
 def future_dated_publications(publications: DataFrame, quality_issues: DataFrame) -> DataFrame:
     dois = (quality_issues.where(F.col("issue_type") == "future_published_date").groupBy("doi")
             .agg(F.count(F.lit(1)).alias("_n")))
-    matched = publications.join(dois, on="doi", how="inner")
-    return matched.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).select(
-        "doi", "title", "published_date", "published_print_date", "published_online_date",
-        "issued_date")
+    matched = publications.join(dois, on="doi", how="inner").select(
+        "doi", "title", "published_date", "published_print_date", "published_online_date", "issued_date", "_n")
+    return repeated(matched, "_n", ("doi",))
 
 
 # Q9

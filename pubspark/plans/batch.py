@@ -1,8 +1,9 @@
-"""End-to-end batch run: raw envelopes -> landed raw -> bronze -> silver -> validation report.
+"""End-to-end batch run: raw envelopes -> landing -> bronze -> silver -> validation report.
 
-Every layer is written (partitioned by run) and the next layer reads the written data back, so
-lineage is cut at each edge: a lost executor only recomputes tasks of the current stage, and a
-failed run can restart from the last written layer.
+A batch writes all its layers under one build id, each layer read back by the next from that build's
+folder, and publishes them with one commit at the end (see :mod:`pubspark.sources.lake`). Lineage is cut
+at each layer, a lost executor costs tasks of the current stage, and a batch that dies before the
+commit changes nothing that readers see.
 """
 
 from __future__ import annotations
@@ -17,107 +18,202 @@ from pubspark.operators.parse import bronze_with_status
 from pubspark.operators.silver import build_silver, silver_publications, silver_quality_issues
 from pubspark.operators.validation import failed_checks, validation_report
 from pubspark.schemas import BRONZE_SCHEMA
-from pubspark.sources.layers import drop_runs, list_runs, read_layer, table_path, write_layer
-from pubspark.sources.raw import broken_envelopes, items_of, land_raw, read_envelopes, read_landed_raw
+from pubspark.sources.lake import (
+    commit,
+    entries_of,
+    live_runs,
+    new_build,
+    read_build,
+    read_layer,
+    read_log,
+    write_build,
+)
+from pubspark.sources.raw import (
+    BROKEN,
+    ITEM,
+    KINDS,
+    LANDED,
+    LANDED_SCHEMA,
+    as_items,
+    broken_runs,
+    landed_runs,
+    read_broken_envelopes,
+    read_envelopes,
+    read_landed_build,
+    read_landed_items,
+    write_landing,
+)
 
 _log = logging.getLogger(__name__)
 
 SILVER_TABLES = ("publications", "publication_authors", "identifiers", "quality_issues")
+BRONZE = "bronze/works"
+REPORT = "silver/validation_report"
+LANDINGS = tuple(f"{LANDED}/{k}" for k in KINDS)
+DERIVED = (BRONZE, *(f"silver/{t}" for t in SILVER_TABLES), REPORT)
+#: Folders of the lake and the names under which their runs are logged (for ``vacuum``).
+LAYERS = {LANDED: LANDINGS, **{layer: (layer,) for layer in DERIVED}}
+_BY = ("run", "day")
 
 
-def _runs_filter(df, runs):
-    return df if runs is None else df.where(F.col("run").isin(list(runs)))
+def bronze_schema() -> T.StructType:
+    return T.StructType(BRONZE_SCHEMA.fields + [T.StructField("record_hash", T.LongType()),
+                                                T.StructField("source_file", T.StringType()),
+                                                T.StructField("parse_ok", T.BooleanType()),
+                                                T.StructField("bad_item", T.StringType()),
+                                                T.StructField("run", T.StringType())])
+
+
+_REPORT_SCHEMA = T.StructType([T.StructField("checked_at", T.TimestampType()), *(
+    T.StructField(c, T.StringType()) for c in ("check_name", "status", "metric_value", "details", "run"))])
+
+
+def silver_schemas(spark: SparkSession) -> dict[str, T.StructType]:
+    """Schemas of the silver tables with ``run``, from the plan over an empty bronze (analysis only)."""
+    empty = spark.createDataFrame([], bronze_schema())
+    return {name: df.schema for name, df in build_silver(empty, by=("run",)).items()}
+
 
+def _sound(bronze: DataFrame) -> DataFrame:
+    return bronze.where("parse_ok").drop("parse_ok", "bad_item")
 
-def _replace(runs) -> dict:
-    """Rebuilding given runs replaces exactly their partitions (also when a table has no rows
-    left for a run); rebuilding all runs replaces the whole table."""
-    return {"replace_all": True} if runs is None else {"replace_runs": list(runs)}
 
+def read_bronze(spark: SparkSession, out_root: str, run=None, log: DataFrame | None = None) -> DataFrame:
+    """Bronze works of all runs (the items that parsed), with ``run`` and ``day``."""
+    return _sound(read_layer(spark, out_root, BRONZE, bronze_schema(), run, log=log))
 
-def run_bronze(spark: SparkSession, out_root: str, runs=None) -> str:
-    """Parse landed raw items of ``runs`` (all when None) into bronze, one narrow stage. Items
-    that do not parse are rows too (``parse_ok`` false, their text in ``bad_item``)."""
-    raw = _runs_filter(read_landed_raw(spark, table_path(out_root, "raw", "items")), runs)
-    bronze = bronze_with_status(raw, keep=("source_file", "run"))
-    return write_layer(bronze, table_path(out_root, "bronze", "works"), **_replace(runs))
 
+def read_silver(spark: SparkSession, out_root: str, table: str, run="latest", log: DataFrame | None = None) -> DataFrame:
+    """A silver table: of the latest validated run, of all runs (``None``), or of given ones. The
+    report names every run, also one that has no rows in this table."""
+    log = read_log(spark, out_root) if log is None else log
+    return read_layer(spark, out_root, f"silver/{table}", silver_schemas(spark)[table], run, log=log)
 
-def read_bronze(spark: SparkSession, out_root: str) -> DataFrame:
-    """Bronze works of all runs (the items that parsed), with ``run``."""
-    written = read_layer(spark, table_path(out_root, "bronze", "works"), None, schema=bronze_schema())
-    return written.where("parse_ok").drop("parse_ok", "bad_item")
+
+def read_report(spark: SparkSession, out_root: str, run=None) -> DataFrame:
+    """Validation reports of all runs (or one, or ``latest``)."""
+    return read_layer(spark, out_root, REPORT, _REPORT_SCHEMA, run)
 
 
 def quarantine(spark: SparkSession, out_root: str) -> DataFrame:
     """What was not processed: ``run, source_file, kind`` (``item`` or ``envelope``) and ``content``."""
-    written = read_layer(spark, table_path(out_root, "bronze", "works"), None, schema=bronze_schema())
+    log = read_log(spark, out_root)
+    written = read_layer(spark, out_root, BRONZE, bronze_schema(), None, log=log)
     items = written.where(~F.col("parse_ok")).select(
         "run", "source_file", F.lit("item").alias("kind"), F.col("bad_item").alias("content"))
-    path = table_path(out_root, "quarantine", "envelopes")
-    if not list_runs(spark, path):
-        return items
-    broken = read_layer(spark, path, None, schema=_BROKEN_SCHEMA)
+    broken = read_broken_envelopes(spark, out_root, None, log)
     return items.unionByName(broken.select("run", "source_file", F.lit("envelope").alias("kind"),
                                            F.col("broken").alias("content")))
 
 
-def bronze_schema() -> T.StructType:
-    return T.StructType(BRONZE_SCHEMA.fields + [T.StructField("record_hash", T.LongType()),
-                                                T.StructField("source_file", T.StringType()),
-                                                T.StructField("parse_ok", T.BooleanType()),
-                                                T.StructField("bad_item", T.StringType())])
+def write_bronze(items: DataFrame, out_root: str, build: str) -> None:
+    """Parse items into bronze, one narrow stage. Items that do not parse are rows too
+    (``parse_ok`` false, their text in ``bad_item``)."""
+    write_build(bronze_with_status(items, keep=("source_file", *_BY)), out_root, BRONZE, build)
 
 
-_BROKEN_SCHEMA = T.StructType([T.StructField("broken", T.StringType()), T.StructField("source_file", T.StringType())])
-_REPORT_SCHEMA = T.StructType([T.StructField("checked_at", T.TimestampType()), *(
-    T.StructField(c, T.StringType()) for c in ("check_name", "status", "metric_value", "details"))])
+def write_silver(bronze: DataFrame, out_root: str, build: str, as_of=None) -> None:
+    """Build the four silver tables of these bronze rows in one pass, keyed by run."""
+    spark = bronze.sparkSession
+    tables = build_silver(bronze, as_of, by=_BY)
+    # publications and quality issues come out of a (run, doi) shuffle; authors and identifiers
+    # are narrow from bronze and keep its file layout
+    shuffled = {"publications", "quality_issues"}
+    for name in SILVER_TABLES:  # quality issues last: they read the written authors
+        if name == "quality_issues":
+            authors = read_build(spark, out_root, "silver/publication_authors", build, tables["publication_authors"].schema)
+            tables[name] = silver_quality_issues(bronze, as_of, _BY, authors)
+        write_build(tables[name], out_root, f"silver/{name}", build, rebalance=name in shuffled)
 
 
-def read_report(spark: SparkSession, out_root: str, run: str | None = None) -> DataFrame:
-    """Validation reports of all runs (or one, or ``latest``)."""
-    return read_layer(spark, table_path(out_root, "silver", "validation_report"), run, schema=_REPORT_SCHEMA)
+def write_report(tables: dict[str, DataFrame], out_root: str, build: str) -> None:
+    """One report per run (ten rows each), all runs in one job."""
+    report = validation_report(*(tables[t] for t in SILVER_TABLES), by=_BY)
+    write_build(report, out_root, REPORT, build, rebalance=True)
 
 
-def silver_schemas(spark: SparkSession) -> dict[str, T.StructType]:
-    """Schemas of the silver tables, from the plan over an empty bronze (analysis only)."""
-    empty = spark.createDataFrame([], bronze_schema())
-    return {name: df.schema for name, df in build_silver(empty).items()}
+def run_bronze(spark: SparkSession, out_root: str, hold_broken: bool = True) -> str:
+    """Rebuild bronze of all landed runs and publish it; runs with a broken envelope keep what they
+    have, unless their sound envelopes shall do (``hold_broken=False``)."""
+    log, build = read_log(spark, out_root), new_build()
+    write_bronze(read_landed_items(spark, out_root, None, log, hold_broken), out_root, build)
+    runs = live_runs(spark, out_root, f"{LANDED}/{ITEM}", log)
+    if hold_broken:
+        runs = runs.join(broken_runs(spark, out_root, log), "run", "left_anti")
+    commit(entries_of(runs, build, [BRONZE]), out_root)
+    return build
 
 
-def run_silver(spark: SparkSession, out_root: str, runs=None, as_of=None) -> dict[str, str]:
-    """Build the four silver tables for ``runs`` in one pass, keyed by run."""
-    bronze = _runs_filter(read_bronze(spark, out_root), runs)
-    tables = build_silver(bronze, as_of, by=("run",))
-    # publications and quality issues come out of a (run, doi) shuffle; authors and identifiers
-    # are narrow from bronze and keep its per-run file layout
-    shuffled = {"publications", "quality_issues"}
-    paths = {}
-    for name in SILVER_TABLES:  # quality issues last: they read the written authors
-        if name == "quality_issues":
-            authors = read_layer(spark, paths["publication_authors"], None, schema=tables["publication_authors"].schema)
-            tables[name] = silver_quality_issues(bronze, as_of, ("run",), _runs_filter(authors, runs))
-        paths[name] = write_layer(tables[name], table_path(out_root, "silver", name),
-                                  rebalance=name in shuffled, **_replace(runs))
-    return paths
+def run_silver(spark: SparkSession, out_root: str, as_of=None) -> str:
+    """Rebuild the four silver tables of all runs of bronze and publish them together."""
+    log, build = read_log(spark, out_root), new_build()
+    write_silver(read_bronze(spark, out_root, None, log), out_root, build, as_of)
+    commit(entries_of(live_runs(spark, out_root, BRONZE, log), build, [f"silver/{t}" for t in SILVER_TABLES]), out_root)
+    return build
+
+
+def run_validation(spark: SparkSession, out_root: str) -> str:
+    """Validate all runs of silver and publish the report."""
+    log, build = read_log(spark, out_root), new_build()
+    write_report({t: read_silver(spark, out_root, t, None, log) for t in SILVER_TABLES}, out_root, build)
+    commit(entries_of(live_runs(spark, out_root, "silver/publications", log), build, [REPORT]), out_root)
+    return build
 
 
 def current_publications(spark: SparkSession, out_root: str) -> DataFrame:
     """Publications de-duplicated across all runs: bronze of every run (multi-run scan), latest
     deposited/indexed version per DOI, whichever run it came from."""
-    return silver_publications(read_bronze(spark, out_root).drop("run"))
+    return silver_publications(read_bronze(spark, out_root).drop("run", "day"))
 
 
-def run_validation(spark: SparkSession, out_root: str, runs=None) -> str:
-    """One report per run (ten rows each), all runs in one job."""
-    schemas = silver_schemas(spark)
-    t = {name: _runs_filter(read_layer(spark, table_path(out_root, "silver", name), None,
-                                       schema=schemas[name]), runs)
-         for name in SILVER_TABLES}
-    report = validation_report(t["publications"], t["publication_authors"], t["identifiers"],
-                               t["quality_issues"], by=("run",))
-    return write_layer(report, table_path(out_root, "silver", "validation_report"),
-                       rebalance=True, **_replace(runs))
+def process(envelopes: DataFrame, out_root: str, as_of=None, day=None, partitions: int | None = None,
+            keep_other_files: bool = False, silver: bool = True) -> dict:
+    """Land envelopes, derive the layers of their runs and publish all with one commit.
+
+    The landing is the only read of the envelopes: which runs are broken is decided from what was
+    written. Such a run keeps what it had in the derived layers; its landing and quarantine are
+    published. ``keep_other_files``: landed rows of the same runs from files that this batch does not
+    bring stay (files of a run that arrive one after another); otherwise a run is replaced whole.
+    Without ``silver`` only bronze follows.
+    """
+    spark, build = envelopes.sparkSession, new_build()
+    write_landing(envelopes, out_root, build, day, partitions)
+    if keep_other_files:
+        build = _with_other_files(spark, out_root, build)
+    landed = read_landed_build(spark, out_root, build)
+    runs = landed_runs(spark, out_root, build)
+    broken = landed.where(F.col("kind") == BROKEN).select("run").distinct()
+    sound = runs.join(broken, "run", "left_anti")
+    entries = entries_of(runs, build, LANDINGS)
+    derived = DERIVED if silver else (BRONZE,)
+    some = not sound.isEmpty()
+    if some:
+        items = as_items(landed.where(F.col("kind") == ITEM).join(broken, "run", "left_anti"))
+        write_bronze(items, out_root, build)
+        if silver:
+            write_silver(_sound(read_build(spark, out_root, BRONZE, build, bronze_schema())), out_root, build, as_of)
+            schemas = silver_schemas(spark)
+            write_report({t: read_build(spark, out_root, f"silver/{t}", build, schemas[t]) for t in SILVER_TABLES},
+                         out_root, build)
+        entries = entries.unionByName(entries_of(sound, build, derived))
+    number = commit(entries, out_root)
+    return {"build": build, "commit": number, "runs": sound, "kept_back": runs.join(broken, "run", "left_semi"),
+            "report": read_build(spark, out_root, REPORT, build, _REPORT_SCHEMA) if some and silver else None}
+
+
+def _with_other_files(spark: SparkSession, out_root: str, build: str) -> str:
+    """A landing of the build's rows and, beside them, the live ones of its runs from other files."""
+    log, whole = read_log(spark, out_root), new_build()
+    new = read_landed_build(spark, out_root, build)
+    runs, files = new.select("run").distinct(), new.select("run", "source_file").distinct()
+    rows = new
+    for kind in KINDS:
+        old = read_layer(spark, out_root, LANDED, LANDED_SCHEMA, runs, kind, log)
+        rows = rows.unionByName(old.join(files, ["run", "source_file"], "left_anti").withColumn("kind", F.lit(kind)))
+    # A run has one day, so that one entry finds all its rows.
+    days = new.groupBy("run").agg(F.max("day").alias("day"))
+    write_build(rows.drop("day").join(days, "run"), out_root, LANDED, whole, keys=("kind", "day"))
+    return whole
 
 
 def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
@@ -125,44 +221,24 @@ def run_pipeline(spark: SparkSession, raw_path: str, out_root: str, as_of=None,
                  partitions: int | None = None, multi_line: bool = True) -> dict:
     """Process every raw envelope file under ``raw_path`` (one run per file) in one pass per layer.
 
-    A run with a broken envelope keeps its earlier data in all layers; the broken text goes to
-    the quarantine (``raise_on_broken``: raises after writing it). Returns the processed runs, the
-    runs kept back, all runs, and the failed checks of the processed runs: all of them as a
-    DataFrame over the written report, and their number.
+    A run with a broken envelope keeps its earlier data in the derived layers; the broken text goes
+    to the quarantine (``raise_on_broken``: raises after publishing it). Returns DataFrames of the
+    processed runs, the runs kept back, all runs and the failed checks, and their numbers.
     """
-    envelopes = read_envelopes(spark, raw_path, multi_line=multi_line)
-    state = (envelopes.groupBy("run").agg(F.max(F.col("broken").isNotNull()).alias("is_broken"))
-             .orderBy("run").collect())  # one row per run of this batch
-    kept_back = [r["run"] for r in state if r["is_broken"]]
-    new_runs = [r["run"] for r in state if not r["is_broken"]]
-    _write_broken(spark, envelopes, out_root, kept_back, new_runs)
+    done = process(read_envelopes(spark, raw_path, multi_line=multi_line), out_root, as_of, partitions=partitions)
+    kept_back = done["kept_back"].count()
     if kept_back:
         if raise_on_broken:
-            raise ValueError(f"broken envelopes in {len(kept_back)} runs, see the quarantine: {kept_back[:10]}")
-        _log.warning("broken envelopes, runs kept back (see the quarantine): %s", kept_back)
-    items = items_of(_runs_filter(envelopes, new_runs))
-    land_raw(items, table_path(out_root, "raw", "items"), files=partitions, replace_runs=new_runs)
-    if new_runs:
-        run_bronze(spark, out_root, new_runs)
-        run_silver(spark, out_root, new_runs, as_of)
-        run_validation(spark, out_root, new_runs)
+            raise ValueError(f"broken envelopes in {kept_back} runs, see the quarantine")
+        _log.warning("broken envelopes, %d runs kept back (see the quarantine)", kept_back)
     failed, n = None, 0
-    if new_runs:
-        failed = failed_checks(_runs_filter(read_report(spark, out_root), new_runs)).select(
-            "run", "check_name", "metric_value")
+    if done["report"] is not None:
+        failed = failed_checks(done["report"]).select("run", "check_name", "metric_value")
         n = failed.count()
     if n:
         if raise_on_fail:
             raise AssertionError(f"silver validation failed: {n} checks, see the validation report")
         _log.warning("silver validation completed with %d failed checks, see the validation report", n)
-    return {"runs": new_runs, "kept_back": kept_back, "failed_checks": failed, "failed_count": n,
-            "all_runs": list_runs(spark, table_path(out_root, "raw", "items"))}
-
-
-def _write_broken(spark: SparkSession, envelopes: DataFrame, out_root: str, kept_back, new_runs) -> None:
-    """Replace the quarantined envelopes of these runs; a run that is sound again leaves none."""
-    path = table_path(out_root, "quarantine", "envelopes")
-    if kept_back:
-        land_raw(broken_envelopes(_runs_filter(envelopes, kept_back)), path, replace_runs=kept_back)
-    if new_runs and list_runs(spark, path):
-        drop_runs(spark, path, new_runs)
+    return {**done, "run_count": done["runs"].count(), "kept_back_count": kept_back,
+            "failed_checks": failed, "failed_count": n,
+            "all_runs": live_runs(spark, out_root, f"{LANDED}/{ITEM}").select("run")}

@@ -33,7 +33,9 @@ from pubspark.operators.silver import (
 from pubspark.operators.validation import failed_checks, validation_report
 from pubspark.plans import analytics as A
 from pubspark.plans.batch import (
+    BRONZE,
     current_publications,
+    process,
     quarantine,
     read_bronze,
     read_report,
@@ -41,11 +43,13 @@ from pubspark.plans.batch import (
     run_silver,
     run_validation,
 )
+from pubspark.plans.current import merge_current, read_current
 from pubspark.schemas import BRONZE_COLUMNS
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
-from pubspark.sources.layers import land, query_file, table_path
-from pubspark.sources.raw import broken_envelopes, items_of, land_raw, read_envelopes, read_raw_envelopes
+from pubspark.sources.lake import build_path, live_runs
+from pubspark.sources.layers import land, query_file
+from pubspark.sources.raw import land_envelopes, land_raw, read_envelope_fields, read_envelopes, read_landed_items
 from pubspark.sources.staging import (
     read_staging,
     read_staging_envelopes,
@@ -272,46 +276,51 @@ def q_conversation_author_stats(spark, d):
     return A.author_publication_stats(spark, silver_authors(bronze(spark, d, "conversations")))
 
 
+def new_root(spark: SparkSession, name: str) -> str:
+    """A new folder under the session's checkpoint directory."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def layered_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """Order works landed as one run per order year and parsed to bronze in a new lake; its root."""
+    root = new_root(spark, "layers")
+    items = W.order_works(spark, sf_dir, run="year(o_orderdate)").withColumn("source_file", F.lit("orders"))
+    land_raw(items, root)
+    run_bronze(spark, root)
+    return root
+
+
 def layered_build(spark: SparkSession, sf_dir: str) -> str:
     """Run the layered batch over order works landed as one run per order year: raw landing,
     bronze, silver (all runs in one pass, keyed by run) and validation are written under a new
     folder in the session's checkpoint directory. Returns the layer root."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    base = ensure_checkpoint_dir(spark)
-    root = f"{base.rstrip('/')}/layers-{uuid.uuid4().hex}"
-    items = W.order_works(spark, sf_dir, run="year(o_orderdate)").withColumn("source_file", F.lit("orders"))
-    land_raw(items, table_path(root, "raw", "items"))
-    run_bronze(spark, root)
+    root = layered_bronze(spark, sf_dir)
     run_silver(spark, root, as_of=AS_OF)
     run_validation(spark, root)
     return root
 
 
+def envelope_input(spark: SparkSession, root: str, envelopes: DataFrame) -> DataFrame:
+    """Envelopes written as JSON lines, one folder per run, and read as a source delivers them."""
+    envelopes.write.partitionBy("run").text(f"{root}/in")
+    return read_envelopes(spark, f"{root}/in", multi_line=False, run_from_partition=True)
+
+
 def q_envelope_latest_run_validation(spark, d):
-    """Envelope files (JSON lines, one folder per run) -> read -> land -> bronze -> silver ->
-    validation; the report of the latest run."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    base = ensure_checkpoint_dir(spark)
-    root = f"{base.rstrip('/')}/envelopes-{uuid.uuid4().hex}"
-    W.order_envelopes(spark, d).write.partitionBy("run").text(f"{root}/in")
-    raw = read_raw_envelopes(spark, f"{root}/in", multi_line=False, run_from_partition=True)
-    land_raw(raw, table_path(root, "raw", "items"))
-    run_bronze(spark, root)
-    run_silver(spark, root, as_of=AS_OF)
-    run_validation(spark, root)
-    return read_report(spark, root, "latest").drop("checked_at", "run")
+    """Envelope files -> landing -> bronze -> silver -> validation in one batch; the report of the
+    latest run."""
+    root = new_root(spark, "envelopes")
+    process(envelope_input(spark, root, W.order_envelopes(spark, d)), root, AS_OF)
+    return read_report(spark, root, "latest").drop("checked_at", "run", "day")
 
 
 def q_envelope_quarantine(spark, d):
     """Envelopes of which some are cut off and some hold items that are no JSON objects: works,
-    quarantined items and quarantined envelopes per run."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/damaged-{uuid.uuid4().hex}"
-    W.damaged_envelopes(spark, d).write.partitionBy("run").text(f"{root}/in")
-    envelopes = read_envelopes(spark, f"{root}/in", multi_line=False, run_from_partition=True)
-    land_raw(items_of(envelopes), table_path(root, "raw", "items"))
-    land_raw(broken_envelopes(envelopes), table_path(root, "quarantine", "envelopes"))
-    run_bronze(spark, root)
+    quarantined items and quarantined envelopes per run, all from one landing."""
+    root = new_root(spark, "damaged")
+    land_envelopes(envelope_input(spark, root, W.damaged_envelopes(spark, d)), root)
+    run_bronze(spark, root, hold_broken=False)
     rows = (read_bronze(spark, root).select("run", F.lit("work").alias("kind"))
             .unionByName(quarantine(spark, root).select("run", "kind")))
     return rows.groupBy("run").agg(*[F.count_if(F.col("kind") == k).alias(n) for k, n in (
@@ -319,13 +328,13 @@ def q_envelope_quarantine(spark, d):
 
 
 def q_envelope_fields(spark, d):
-    """Fields of the envelopes beside their items."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fields-{uuid.uuid4().hex}"
-    W.damaged_envelopes(spark, d).write.partitionBy("run").text(f"{root}/in")
-    envelopes = read_envelopes(spark, f"{root}/in", multi_line=False, run_from_partition=True)
-    return (envelopes.where(F.col("broken").isNull()).groupBy("run", "status")
-            .agg(F.count(F.lit(1)).alias("envelopes"), F.sum("total_results").alias("total_results"),
-                 F.sum(F.size("items").cast("bigint")).alias("items")))
+    """Response fields of the landed envelopes, and the number of items landed beside them."""
+    root = new_root(spark, "fields")
+    land_envelopes(envelope_input(spark, root, W.damaged_envelopes(spark, d)), root)
+    fields = (read_envelope_fields(spark, root).groupBy("run", "status")
+              .agg(F.count(F.lit(1)).alias("envelopes"), F.sum("total_results").alias("total_results")))
+    items = read_landed_items(spark, root, hold_broken=False).groupBy("run").agg(F.count(F.lit(1)).alias("items"))
+    return fields.join(items, "run").select("run", "status", "envelopes", "total_results", "items")
 
 
 def q_cast_values(spark, d):
@@ -344,7 +353,7 @@ def q_failed_checks(spark, d):
 def q_bronze_by_path(spark, d):
     """A written bronze table queried by its path."""
     root = layered_build(spark, d)
-    return query_file(spark, table_path(root, "bronze", "works")).select(
+    return query_file(spark, build_path(root, BRONZE)).select(
         "doi", "title", "publisher", "published_date")
 
 
@@ -396,6 +405,14 @@ def q_publications_across_runs(spark, d):
     return current_publications(spark, layered_build(spark, d))
 
 
+def q_publications_merged_by_year(spark, d):
+    """The current-publications table after merging the order years one after another."""
+    root = layered_bronze(spark, d)
+    for r in live_runs(spark, root, BRONZE).select("run").orderBy("run").collect():  # one row per order year
+        merge_current(spark, root, spark.createDataFrame([r], "run string"), buckets=16)
+    return read_current(spark, root)
+
+
 def _staged_orders(spark, d):
     raw = raw_items(spark, d).withColumn("source_file", F.lit("orders"))
     keep = ("record_hash", "source_file", "run")
@@ -442,7 +459,7 @@ def q_staging_metadata(spark, d):
 
 def q_latest_run_validation(spark, d):
     root = layered_build(spark, d)
-    return read_report(spark, root, "latest").drop("checked_at", "run")
+    return read_report(spark, root, "latest").drop("checked_at", "run", "day")
 
 
 def q_latest_run_author_stats(spark, d):

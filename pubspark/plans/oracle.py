@@ -458,6 +458,7 @@ SELECT 'metadata-api' AS source, 'orders' AS raw_file, count(*) AS work_count FR
 
 # De-duplication across every run equals de-duplication of the whole table.
 ORACLE_SQL["publications_across_runs"] = ORACLE_SQL["silver_publications"]
+ORACLE_SQL["publications_merged_by_year"] = ORACLE_SQL["silver_publications"]
 
 # Layered build over one run per order year; the reports read the latest run only.
 for _name, _base in (("latest_run_validation", "validation_report"),

@@ -1,142 +1,14 @@
-"""Layer storage: Parquet datasets partitioned by ``run`` under one root per table.
-
-Writes replace only the partitions of the runs being written (dynamic overwrite), so reruns
-are idempotent. The latest run is found from the partition directory names (metadata only),
-so reading it is a partition-pruned scan rather than a data-dependent filter.
-"""
+"""Reading files by path, bounded fetches, and tables landed for the rest of a query."""
 
 from __future__ import annotations
 
-import os
 import uuid
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pubspark.session import ensure_checkpoint_dir
 
 
-def table_path(root: str, layer: str, name: str) -> str:
-    return os.path.join(root, layer, name)
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-# Characters that Spark's partition writer escapes in folder names, as two hexadecimal digits.
-_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
-
-
-def run_folder(run: str) -> str:
-    """The partition folder of a run, named as Spark's partition writer names it."""
-    return "run=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in run)
-
-
-def drop_runs(spark: SparkSession, path: str, runs) -> None:
-    """Remove the partitions of ``runs`` under a layer path (metadata operations only)."""
-    fs, base = _fs_path(spark, path)
-    jvm = spark.sparkContext._jvm
-    for r in runs:
-        p = jvm.org.apache.hadoop.fs.Path(base, jvm.org.apache.hadoop.fs.Path(None, None, run_folder(r)))
-        if fs.exists(p):
-            fs.delete(p, True)
-
-
-def _run_files(spark: SparkSession, path: str, runs) -> list[str]:
-    """Data files of the runs, by name (metadata operations only)."""
-    fs, base = _fs_path(spark, path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    out = []
-    for r in runs:
-        folder = hadoop(base, hadoop(None, None, run_folder(r)))
-        if fs.exists(folder):
-            found = fs.listFiles(folder, True)
-            while found.hasNext():
-                out.append(found.next().getPath())
-    return out
-
-
-def _delete_files(spark: SparkSession, path: str, files) -> None:
-    """Delete the files that are still there, and folders that this leaves empty."""
-    fs, base = _fs_path(spark, path)
-    for f in files:
-        if fs.exists(f):
-            fs.delete(f, False)
-        folder = f.getParent()
-        while folder.getName() != base.getName() and fs.exists(folder) and len(fs.listStatus(folder)) == 0:
-            fs.delete(folder, False)
-            folder = folder.getParent()
-
-
-def write_layer(df: DataFrame, path: str, run: str | None = None, replace_runs=None,
-                replace_all: bool = False, rebalance: bool = False, keys: tuple[str, ...] = ("run",)) -> str:
-    """Write ``df`` under ``path`` partitioned by ``keys``, run first (adds ``run`` when given).
-
-    Default: dynamic partition overwrite (partitions present in ``df`` are replaced).
-    ``replace_runs``: these runs are rebuilt. The new partitions replace the old ones first, then
-    files of these runs that were there before and were not replaced go, so a run that now has no
-    rows for this table is left empty, and a failed write leaves the earlier rows in place. ``replace_all``: the whole table is replaced.
-
-    ``rebalance``: for output that was just shuffled on other keys (every task then holds rows
-    of many runs and would write one file per run): a REBALANCE on ``run`` lets adaptive
-    execution group each run's rows into few files, merging small runs and splitting a large one.
-    """
-    if run is not None:
-        df = df.withColumn("run", F.lit(run))
-    if rebalance:
-        df = df.hint("rebalance", "run")
-    writer = df.write.partitionBy(*keys)
-    if replace_all:
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    elif replace_runs is not None:
-        old = _run_files(df.sparkSession, path, replace_runs)
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-        _delete_files(df.sparkSession, path, old)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    return path
-
-
-def list_runs(spark: SparkSession, path: str) -> list[str]:
-    """Run ids present under a layer path, from ``run=...`` directory names."""
-    fs, hpath = _fs_path(spark, path)
-    if not fs.exists(hpath):
-        return []
-    runs = []
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("run="):
-            runs.append(unquote(name[len("run="):]))
-    return sorted(runs)
-
-
-def latest_run(spark: SparkSession, path: str) -> str | None:
-    runs = list_runs(spark, path)
-    return runs[-1] if runs else None
-
-
-def read_layer(spark: SparkSession, path: str, run: str | None = "latest",
-               merge_schema: bool = False, schema: T.StructType | None = None) -> DataFrame:
-    """``run='latest'`` (default): newest run only; ``run=None``: all runs; else that run.
-
-    With ``schema`` (the table's columns, without ``run``) an empty run — a partitioned write
-    of zero rows leaves no data files — reads as an empty table instead of failing inference.
-    """
-    reader = spark.read.option("mergeSchema", merge_schema)
-    if schema is not None:
-        fields = [f for f in schema.fields if f.name != "run"] + [T.StructField("run", T.StringType())]
-        reader = reader.schema(T.StructType(fields))
-    df = reader.parquet(path)
-    if run == "latest":
-        run = latest_run(spark, path)
-    return df if run is None else df.where(F.col("run") == run)
-
-
 def query_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Query a file by its quoted path, as in ``SELECT ... FROM parquet.`path```."""
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")

@@ -1,11 +1,10 @@
 """Incremental landing with Structured Streaming.
 
 New raw envelope files dropped into a folder are picked up by a file-source stream. Each micro-batch
-lands the raw items of its files beside those of other files of the same run (one folder per
-run and file, replaced on replay), sends broken envelopes to the quarantine, and rebuilds bronze
-of the touched runs from all their landed items. So the result does not depend on how files are
-split into batches, equals the batch run's, and a later rebuild from raw keeps it. With
-``refresh_silver=True`` the silver tables and validation report of those runs follow.
+is a batch run over its files (:func:`pubspark.plans.batch.process`) that keeps what its runs had from
+other files, so the result does not depend on how files are split into batches and equals the batch
+run's; a replayed file replaces itself. A broken envelope goes to the quarantine and keeps its run
+back, as in the batch run. With ``refresh_silver=True`` the silver tables and validation report follow.
 """
 
 from __future__ import annotations
@@ -15,22 +14,23 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubspark.plans.batch import run_bronze, run_silver, run_validation
-from pubspark.sources.layers import table_path
-from pubspark.sources.raw import BROKEN_COLUMN, ENVELOPE_SCHEMA, broken_envelopes, envelope_fields, items_of, land_raw, run_id
+from pubspark.plans.batch import process
+from pubspark.sources.raw import BROKEN_COLUMN, ENVELOPE_SCHEMA, envelope_fields, run_id
 
 
-def envelope_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
-    env = (spark.readStream.schema(ENVELOPE_SCHEMA).option("multiLine", True)
-           .option("columnNameOfCorruptRecord", BROKEN_COLUMN)
+def envelope_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100,
+                    multi_line: bool = True, run_from_partition: bool = False) -> DataFrame:
+    env = (spark.readStream.schema(ENVELOPE_SCHEMA + (", run string" if run_from_partition else ""))
+           .option("multiLine", multi_line).option("columnNameOfCorruptRecord", BROKEN_COLUMN)
            .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_dir))
-    return env.select(*envelope_fields(), F.col("_metadata.file_path").alias("source_file"),
-                      run_id(F.col("_metadata.file_name")).alias("run"))
+    run = F.col("run") if run_from_partition else run_id(F.col("_metadata.file_name"))
+    return env.select(*envelope_fields(), F.col("_metadata.file_path").alias("source_file"), run.alias("run"))
 
 
 def start_bronze_stream(spark: SparkSession, landing_dir: str, out_root: str,
                         checkpoint_location: str | None = None, once: bool = True,
-                        refresh_silver: bool = False, as_of=None, max_files_per_trigger: int = 100):
+                        refresh_silver: bool = False, as_of=None, max_files_per_trigger: int = 100,
+                        multi_line: bool = True, run_from_partition: bool = False):
     """Start the landing stream; returns the ``StreamingQuery``. The checkpoint location must be
     on shared storage; by default it lives under the session's ``spark.checkpoint.dir``.
     ``max_files_per_trigger`` bounds a micro-batch and thereby the runs it touches; it does not
@@ -40,21 +40,9 @@ def start_bronze_stream(spark: SparkSession, landing_dir: str, out_root: str,
         checkpoint_location = os.path.join(base, "bronze-landing")
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.persist()
-        try:
-            # one row per run of the batch's files
-            runs = [r["run"] for r in batch.select("run").distinct().orderBy("run").collect()]
-            land_raw(items_of(batch), table_path(out_root, "raw", "items"))
-            land_raw(broken_envelopes(batch), table_path(out_root, "quarantine", "envelopes"))
-        finally:
-            batch.unpersist()
-        if runs:
-            run_bronze(spark, out_root, runs)
-            if refresh_silver:
-                run_silver(spark, out_root, runs, as_of)
-                run_validation(spark, out_root, runs)
-
-    writer = (envelope_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint_location))
+        process(batch, out_root, as_of, keep_other_files=True, silver=refresh_silver)
+
+    writer = (envelope_stream(spark, landing_dir, max_files_per_trigger, multi_line, run_from_partition)
+              .writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
     return writer.start()

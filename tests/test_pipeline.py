@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pubspark.analytics_entry import run_reports
-from pubspark.plans.batch import quarantine, read_bronze, run_bronze, run_pipeline
-from pubspark.sources.layers import drop_runs, latest_run, list_runs, read_layer, table_path, write_layer
-from pubspark.sources.raw import read_raw_envelopes
+from pubspark.plans.batch import quarantine, read_bronze, read_report, read_silver, run_bronze, run_pipeline
+from pubspark.sources.lake import latest_run, live_runs
+from pubspark.sources.raw import read_envelope_fields, read_raw_envelopes
 from pubspark.streaming.landing import start_bronze_stream
 
 ITEMS_1 = [
@@ -29,6 +29,10 @@ def write_envelope(folder, run, items):
     return path
 
 
+def runs_of(df):
+    return sorted(r.run for r in df.collect())
+
+
 def test_read_envelopes_keeps_item_text(spark, scratch_dir):
     write_envelope(f"{scratch_dir}/in", "20260101T000000", ITEMS_1)
     with open(f"{scratch_dir}/in/empty.json", "w") as f:
@@ -45,19 +49,20 @@ def test_pipeline_runs_and_latest(spark, scratch_dir):
     write_envelope(inp, "20260101T000000", ITEMS_1)
     write_envelope(inp, "20260102T000000", ITEMS_2)
     res = run_pipeline(spark, inp, out, as_of="2025-01-01")
-    assert res["runs"] == ["20260101T000000", "20260102T000000"]
-    pubs_path = table_path(out, "silver", "publications")
-    assert list_runs(spark, pubs_path) == res["runs"]
-    assert latest_run(spark, pubs_path) == "20260102T000000"
-    latest = read_layer(spark, pubs_path)
+    assert runs_of(res["runs"]) == ["20260101T000000", "20260102T000000"] == runs_of(res["all_runs"])
+    assert runs_of(live_runs(spark, out, "silver/publications")) == runs_of(res["runs"])
+    assert runs_of(latest_run(spark, out, "silver/publications")) == ["20260102T000000"]
+    latest = read_silver(spark, out, "publications")
     assert [r.doi for r in latest.collect()] == ["10.1/c"]
-    everything = read_layer(spark, pubs_path, run=None)
+    everything = read_silver(spark, out, "publications", None)
     assert everything.count() == 3
-    rep = read_layer(spark, table_path(out, "silver", "validation_report"), "20260101T000000")
-    assert rep.where(F.col("status") == "fail").count() == 0
-    # rerun is idempotent (dynamic partition overwrite)
+    rep = read_report(spark, out, "20260101T000000")
+    assert rep.count() == 10 and rep.where(F.col("status") == "fail").count() == 0
+    assert sorted((r.run, r.status) for r in read_envelope_fields(spark, out).collect()) == [
+        ("20260101T000000", "ok"), ("20260102T000000", "ok")]
+    # rerun is idempotent: the new build takes the place of the old one
     run_pipeline(spark, inp, out, as_of="2025-01-01")
-    assert read_layer(spark, pubs_path, run=None).count() == 3
+    assert read_silver(spark, out, "publications", None).count() == 3
     reports = run_reports(spark, out, run="20260101T000000")
     assert [tuple(r) for r in reports["author_publication_stats"].collect()] == [("Ana Li", 1, 1)]
 
@@ -70,7 +75,7 @@ def test_streaming_landing(spark, scratch_dir):
     write_envelope(inp, "20260102T000000", ITEMS_2)
     q = start_bronze_stream(spark, inp, out, checkpoint_location=f"{scratch_dir}/stream-ckpt")
     q.awaitTermination(120)
-    bronze = read_layer(spark, table_path(out, "bronze", "works"), run=None)
+    bronze = read_bronze(spark, out)
     assert sorted(r.doi for r in bronze.collect()) == ["10.1/a", "10.1/b", "10.1/c"]
 
 
@@ -81,11 +86,10 @@ def test_streaming_refreshes_silver(spark, scratch_dir):
     q = start_bronze_stream(spark, inp, out, checkpoint_location=f"{scratch_dir}/stream-ckpt",
                             refresh_silver=True, as_of="2025-01-01")
     q.awaitTermination(180)
-    pubs = read_layer(spark, table_path(out, "silver", "publications"), run=None)
+    pubs = read_silver(spark, out, "publications", None)
     assert sorted((r.run, r.doi) for r in pubs.collect()) == [
         ("20260101T000000", "10.1/a"), ("20260101T000000", "10.1/b"), ("20260102T000000", "10.1/c")]
-    rep = read_layer(spark, table_path(out, "silver", "validation_report"), run=None)
-    assert rep.count() == 20
+    assert read_report(spark, out).count() == 20
 
 
 def test_read_envelopes_json_lines(spark, scratch_dir):
@@ -104,13 +108,12 @@ def test_rerun_replaces_runs_that_become_empty(spark, scratch_dir):
     with_ids = [{"DOI": "10.1/z", "title": ["t"], "ISSN": ["1"], "issn-type": [{"value": "1", "type": "print"}]}]
     write_envelope(inp, "20260101T000000", with_ids)
     run_pipeline(spark, inp, out, as_of="2025-01-01")
-    ids = table_path(out, "silver", "identifiers")
-    assert read_layer(spark, ids, run=None).count() == 1
+    assert read_silver(spark, out, "identifiers", None).count() == 1
     # the same run re-landed without identifiers: its identifier rows must disappear
     write_envelope(inp, "20260101T000000", [{"DOI": "10.1/z", "title": ["t"]}])
     run_pipeline(spark, inp, out, as_of="2025-01-01")
-    assert list_runs(spark, ids) == []
-    assert read_layer(spark, table_path(out, "silver", "publications"), run=None).count() == 1
+    assert read_silver(spark, out, "identifiers", None).count() == 0
+    assert read_silver(spark, out, "publications", None).count() == 1
 
 
 def test_broken_envelope_is_quarantined_and_keeps_earlier_rows(spark, scratch_dir):
@@ -118,22 +121,22 @@ def test_broken_envelope_is_quarantined_and_keeps_earlier_rows(spark, scratch_di
     write_envelope(inp, "20260101T000000", ITEMS_1)
     write_envelope(inp, "20260102T000000", ITEMS_2)
     run_pipeline(spark, inp, out, as_of="2025-01-01")
-    pubs = table_path(out, "silver", "publications")
-    before = read_layer(spark, pubs, run=None).count()
+    before = read_silver(spark, out, "publications", None).count()
     cut = [f for f in os.listdir(inp) if "20260101" in f][0]
     with open(f"{inp}/{cut}", encoding="utf-8") as f:
         text = f.read()
     with open(f"{inp}/{cut}", "w", encoding="utf-8") as f:
         f.write(text[:-15])
     res = run_pipeline(spark, inp, out, as_of="2025-01-01")
-    assert (res["runs"], res["kept_back"]) == (["20260102T000000"], ["20260101T000000"])
-    assert read_layer(spark, pubs, run=None).count() == before
+    assert (runs_of(res["runs"]), runs_of(res["kept_back"])) == (["20260102T000000"], ["20260101T000000"])
+    assert (res["run_count"], res["kept_back_count"]) == (1, 1)
+    assert read_silver(spark, out, "publications", None).count() == before
     assert [(r.run, r.kind) for r in quarantine(spark, out).collect()] == [("20260101T000000", "envelope")]
     with pytest.raises(ValueError):
         run_pipeline(spark, inp, out, as_of="2025-01-01", raise_on_broken=True)
     with open(f"{inp}/{cut}", "w", encoding="utf-8") as f:
         f.write(text)
-    assert run_pipeline(spark, inp, out, as_of="2025-01-01")["kept_back"] == []
+    assert run_pipeline(spark, inp, out, as_of="2025-01-01")["kept_back_count"] == 0
     assert quarantine(spark, out).count() == 0
 
 
@@ -142,7 +145,7 @@ def test_broken_item_is_quarantined(spark, scratch_dir):
     write_envelope(inp, "20260101T000000", [*ITEMS_1, "no object"])
     run_pipeline(spark, inp, out, as_of="2025-01-01")
     assert [(r.kind, r.content) for r in quarantine(spark, out).collect()] == [("item", "no object")]
-    assert read_layer(spark, table_path(out, "silver", "publications"), run=None).count() == 2
+    assert read_silver(spark, out, "publications", None).count() == 2
 
 
 @pytest.mark.parametrize("name", ["run 1", "a%b", "x#y", "p+q"])
@@ -150,17 +153,8 @@ def test_file_names_with_special_characters(spark, scratch_dir, name):
     inp, out = f"{scratch_dir}/in", f"{scratch_dir}/out"
     write_envelope(inp, name, ITEMS_1)
     for _ in range(2):
-        assert run_pipeline(spark, inp, out, as_of="2025-01-01")["all_runs"] == [name]
-    assert read_layer(spark, table_path(out, "silver", "publications"), name).count() == 2
-
-
-def test_run_values_are_escaped_in_folders(spark, scratch_dir):
-    path = f"{scratch_dir}/t"
-    for value in ("10:30", "a/b=c"):
-        write_layer(spark.range(3).toDF("n"), path, run=value)
-    assert list_runs(spark, path) == ["10:30", "a/b=c"]
-    drop_runs(spark, path, ["10:30"])
-    assert [r.run for r in read_layer(spark, path, None).collect()] == ["a/b=c"] * 3
+        assert runs_of(run_pipeline(spark, inp, out, as_of="2025-01-01")["all_runs"]) == [name]
+    assert read_silver(spark, out, "publications", name).count() == 2
 
 
 def test_two_files_of_a_run_in_two_batches_equal_the_batch_run(spark, scratch_dir):
@@ -176,3 +170,21 @@ def test_two_files_of_a_run_in_two_batches_equal_the_batch_run(spark, scratch_di
     assert dois == sorted(r.doi for r in read_bronze(spark, batch).collect()) == ["10.1/a", "10.1/b", "10.1/c"]
     run_bronze(spark, out)
     assert sorted(r.doi for r in read_bronze(spark, out).collect()) == dois
+
+
+def test_stream_keeps_a_broken_run_back_and_other_files_of_it(spark, scratch_dir):
+    inp, out = f"{scratch_dir}/landing", f"{scratch_dir}/out"
+
+    def bring(prefix, text):
+        os.makedirs(inp, exist_ok=True)
+        with open(f"{inp}/{prefix}_raw_20260101T000000.json", "w", encoding="utf-8") as f:
+            f.write(text)
+        q = start_bronze_stream(spark, inp, out, checkpoint_location=f"{scratch_dir}/c")
+        q.awaitTermination(180)
+        return sorted(r.doi for r in read_bronze(spark, out).collect())
+
+    one, two = (json.dumps({"message": {"items": i}}) for i in (ITEMS_1, ITEMS_2))
+    assert bring("one", one) == ["10.1/a", "10.1/b"]
+    assert bring("two", two[:-9]) == ["10.1/a", "10.1/b"]  # broken: the run keeps what it had
+    assert [r.kind for r in quarantine(spark, out).collect()] == ["envelope"]
+    assert bring("three", two) == ["10.1/a", "10.1/b"]  # still held back by the second file

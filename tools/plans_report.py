@@ -25,31 +25,28 @@ def tree(df) -> str:
 
 
 def main(root: str) -> None:
-    from pubspark.operators.parse import bronze_from_raw
+    from pubspark.operators.parse import bronze_with_status
     from pubspark.operators.silver import build_silver
     from pubspark.operators.validation import validation_report
     from pubspark.plans import analytics as A
-    from pubspark.plans.batch import bronze_schema, silver_schemas
+    from pubspark.plans.batch import SILVER_TABLES, read_bronze, read_silver
     from pubspark.session import build_session
-    from pubspark.sources.layers import read_layer, table_path
-    from pubspark.sources.raw import read_landed_raw
+    from pubspark.sources.raw import read_landed_items
 
     spark = build_session(master="local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
-    raw = read_landed_raw(spark, table_path(root, "raw", "items"))
-    bronze = read_layer(spark, table_path(root, "bronze", "works"), None, schema=bronze_schema())
-    silver = build_silver(bronze, "2025-01-01", by=("run",))
-    sch = silver_schemas(spark)
-    t = {n: read_layer(spark, table_path(root, "silver", n), None, schema=sch[n]) for n in sch}
+    raw = read_landed_items(spark, root)
+    silver = build_silver(read_bronze(spark, root), "2025-01-01", by=("run", "day"))
+    t = {n: read_silver(spark, root, n, None) for n in SILVER_TABLES}
     stages = {
-        "bronze (parse)": bronze_from_raw(raw, keep=("source_file", "run")),
+        "bronze (parse)": bronze_with_status(raw, keep=("source_file", "run", "day")),
         "silver publications (top-1 per run, DOI)": silver["publications"],
         "silver authors": silver["publication_authors"],
         "silver identifiers": silver["identifiers"],
         "silver quality issues": silver["quality_issues"],
         "validation report (per run)": validation_report(
             t["publications"], t["publication_authors"], t["identifiers"], t["quality_issues"],
-            by=("run",)),
+            by=("run", "day")),
         "Q1 author publication stats": A.author_publication_stats(spark, t["publication_authors"]),
         "Q2 publisher x type": A.publisher_type_summary(spark, t["publications"]),
         "Q3 quality issue summary": A.quality_issue_summary(spark, t["quality_issues"]),
