@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubspark.functions.json_fields import get, py_strip
+from pubspark.sources.layers import land
 
 
 # A8
@@ -43,12 +44,27 @@ def date_consistency(publications: DataFrame) -> DataFrame:
     }, total="total_publications")
 
 
+def _value_bits(column: str, kind: str) -> tuple[Column, Column]:
+    """Two 64-bit columns ``high, low`` that are equal for equal values and NULL for NULL."""
+    c = F.col(column)
+    exact = {"date": F.unix_date, "timestamp": F.unix_micros}
+    if kind in ("tinyint", "smallint", "int", "bigint", "boolean") or kind in exact:
+        low = exact.get(kind, lambda x: x)(c).cast("bigint")
+        high = F.when(c.isNotNull(), F.lit(0).cast("bigint"))
+    else:
+        # a hash function of its own for each half: the second starts from another seed
+        low = F.when(c.isNotNull(), F.xxhash64(c))
+        high = F.when(c.isNotNull(), F.xxhash64(F.lit(1), c))
+    return high.alias("high"), low.alias("low")
+
+
 # A12
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: type, NULL count, NULL percent (2 decimals), distinct values (NULL counts as
-    a value). Exact distinct counts unpivot to (column, digest of the value) pairs that are
-    de-duplicated with map-side combine, so texts of any length shuffle as 32 bytes;
-    ``approx=True`` uses HyperLogLog sketches in a single pass instead."""
+    a value). Exact distinct counts unpivot to (column, 128 bits of the value) rows that are
+    de-duplicated with map-side combine: numbers, dates and timestamps are their own bits, other
+    values of any length two 64-bit hashes. ``approx=True`` uses HyperLogLog sketches in a single
+    pass instead."""
     cols = df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     nulls = df.agg(F.count(F.lit(1)).alias("_height"),
@@ -64,8 +80,7 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
             for i in range(len(cols))])))
     else:
         pairs = df.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("position"), F.unhex(F.sha2(F.col(c).cast("string"), 256)).alias("value"))
-            for i, c in enumerate(cols)])))
+            F.struct(F.lit(i).alias("position"), *_value_bits(c, types[c])) for i, c in enumerate(cols)])))
         distinct = (pairs.distinct()
                     .groupBy("position").agg(F.count(F.lit(1)).alias("unique_values")))
     out = per_col.join(distinct, "position", "left")
@@ -105,6 +120,44 @@ def json_type_distribution(items: DataFrame, field: str) -> DataFrame:
     return items.groupBy(t.alias("type_name")).agg(F.count(F.lit(1)).alias("count"))
 
 
+# A13 / A14: every path of the items in one walk, level by level
+def path_inventory(items: DataFrame, item_col: str = "item", fields: tuple[str, ...] | None = None) -> DataFrame:
+    """``path, type_name, count, min_length, max_length`` of all values at all depths. A path names
+    the keys down to the value, with ``[]`` for the elements of a list (``author[].given``); the
+    lengths are those of lists, else NULL. The items themselves have the empty path; ``fields`` are the
+    top-level keys to go into (all by default).
+
+    A level is exploded from the nested values of the one above, which are landed, so every value
+    is visited once and only lists and objects go on; the number of levels is the data's depth.
+    """
+    spark = items.sparkSession
+    level = items.select(F.lit("").alias("path"), F.col(item_col).alias("value"))
+    found = None
+    while True:
+        named = level.select("path", json_type_name(F.col("value")).alias("type_name"), "value")
+        length = F.when(F.col("type_name") == "list", F.size(F.try_variant_get("value", "$", "array<variant>")))
+        counts = land(named.groupBy("path", "type_name").agg(
+            F.count(F.lit(1)).alias("count"), F.min(length).alias("min_length"), F.max(length).alias("max_length")), "paths")
+        found = counts if found is None else found.unionByName(counts)
+        if counts.where(F.col("type_name").isin("list", "dict")).isEmpty():
+            return found
+        nested = named.where(F.col("type_name").isin("list", "dict"))
+        inner = nested.lateralJoin(spark.tvf.variant_explode(F.col("value").outer()).toDF("pos", "key", "inner_value"))
+        if fields is not None:
+            inner = inner.where((F.col("path") != "") | F.col("key").isin(*fields))
+        path = (F.when(F.col("type_name") == "list", F.concat("path", F.lit("[]")))
+                .when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key")))
+        level = land(inner.select(path.alias("path"), F.col("inner_value").alias("value")), "values")
+
+
+# A14
+def field_types(items: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """The types of several top-level fields from one pass: ``field, type_name, count``."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), json_type_name(get(F.col("item"), f)).alias("type_name"))
+                      for f in fields])
+    return items.select(F.inline(pairs)).groupBy("field", "type_name").agg(F.count(F.lit(1)).alias("count"))
+
+
 # A15
 def list_length_distribution(items: DataFrame, field: str) -> DataFrame:
     arr = get(F.col("item"), field, as_type="array<variant>")

@@ -216,6 +216,22 @@ def q_original_title_types(spark, d):
     return P.json_type_distribution(items(spark, d), "original-title")
 
 
+TITLE_FIELDS = ("title", "container-title", "short-container-title", "original-title")
+
+
+def q_title_field_types(spark, d):
+    return P.field_types(items(spark, d), TITLE_FIELDS)
+
+
+def q_title_and_author_paths(spark, d):
+    """All nested paths of the title fields and the authors, with types and list lengths."""
+    return P.path_inventory(items(spark, d), fields=(*TITLE_FIELDS, "author"))
+
+
+def q_conversation_paths(spark, d):
+    return P.path_inventory(items(spark, d, "conversations"))
+
+
 def q_title_length_distribution(spark, d):
     return P.list_length_distribution(items(spark, d, "documents"), "title")
 

@@ -493,6 +493,51 @@ FROM pages GROUP BY run"""
 ORACLE_SQL["envelope_fields"] = _PAGES + """
 SELECT run, 'ok' AS status, count(*) AS envelopes, sum(n)::BIGINT AS total_results, sum(n)::BIGINT AS items
 FROM pages WHERE page % 7 <> 3 GROUP BY run"""
+_TITLE_FIELD_COUNTS = """
+SELECT 'title' AS field, CASE WHEN o_orderkey % 13 = 0 THEN 'NoneType' ELSE 'list' END AS type_name FROM orders
+UNION ALL SELECT 'container-title', 'list' FROM orders UNION ALL SELECT 'short-container-title', 'list' FROM orders
+UNION ALL SELECT 'original-title', CASE o_orderkey % 5 WHEN 0 THEN 'list' WHEN 1 THEN 'str' WHEN 2 THEN 'list'
+    ELSE 'NoneType' END FROM orders"""
+ORACLE_SQL["title_field_types"] = f"""
+SELECT field, type_name, count(*) AS count FROM ({_TITLE_FIELD_COUNTS}) GROUP BY ALL"""
+# One row per value: its path, type and list length.
+_PATHS = """
+SELECT path, type_name, count(*) AS count, min(len)::INTEGER AS min_length, max(len)::INTEGER AS max_length
+FROM ({}) GROUP BY path, type_name"""
+ORACLE_SQL["title_and_author_paths"] = """
+WITH o AS (SELECT o_orderkey AS k FROM orders),
+l AS (
+    SELECT *, NOT (l_returnflag = 'R' AND l_linestatus = 'F') AND l_quantity >= 3 AS person,
+           l_returnflag = 'R' AND l_linestatus = 'F' AS named
+    FROM lineitem JOIN o ON k = l_orderkey)""" + _PATHS.format("""
+    SELECT '' AS path, 'dict' AS type_name, NULL AS len FROM o
+    UNION ALL SELECT 'title', 'list', CASE WHEN k % 19 = 0 THEN 0 ELSE 2 END FROM o WHERE k % 13 <> 0
+    UNION ALL SELECT 'title[]', 'str', NULL FROM o, range(2) WHERE k % 13 <> 0 AND k % 19 <> 0
+    UNION ALL SELECT 'container-title', 'list', 1 FROM o UNION ALL SELECT 'container-title[]', 'str', NULL FROM o
+    UNION ALL SELECT 'short-container-title', 'list', (k % 2 = 0)::INT FROM o
+    UNION ALL SELECT 'short-container-title[]', 'str', NULL FROM o WHERE k % 2 = 0
+    UNION ALL SELECT 'original-title', 'list', CASE k % 5 WHEN 0 THEN 2 ELSE 1 END FROM o WHERE k % 5 IN (0, 2)
+    UNION ALL SELECT 'original-title', 'str', NULL FROM o WHERE k % 5 = 1
+    UNION ALL SELECT 'original-title[]', 'str', NULL FROM o, range(2) r(i) WHERE k % 5 = 0 OR (k % 5 = 2 AND i = 0)
+    UNION ALL SELECT 'author', 'list', count(*) FROM l GROUP BY k
+    UNION ALL SELECT 'author[]', 'dict', NULL FROM l UNION ALL SELECT 'author[].sequence', 'str', NULL FROM l
+    UNION ALL SELECT 'author[].given', 'str', NULL FROM l WHERE person AND (l_tax = 0 OR l_discount <> 0)
+    UNION ALL SELECT 'author[].family', 'str', NULL FROM l WHERE person
+    UNION ALL SELECT 'author[].name', 'str', NULL FROM l WHERE named
+    UNION ALL SELECT 'author[].ORCID', 'str', NULL FROM l WHERE person AND l_partkey % 3 = 0
+    UNION ALL SELECT 'author[].affiliation', 'list', (l_suppkey % 2 = 0)::INT FROM l WHERE person
+    UNION ALL SELECT 'author[].affiliation[]', 'dict', NULL FROM l WHERE person AND l_suppkey % 2 = 0
+    UNION ALL SELECT 'author[].affiliation[].name', 'str', NULL FROM l WHERE person AND l_suppkey % 2 = 0""")
+ORACLE_SQL["conversation_paths"] = _PATHS.format("""
+    SELECT '' AS path, 'dict' AS type_name, NULL AS len FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL SELECT 'DOI', 'str', NULL FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id IS NOT NULL
+    UNION ALL SELECT unnest(['title', 'title[]']), unnest(['list', 'str']), unnest([1, NULL])
+        FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id IS NOT NULL
+    UNION ALL SELECT 'abstract', 'str', NULL FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL SELECT 'author', 'list', count(*) FROM conversations GROUP BY conv_id
+    UNION ALL SELECT unnest(['author[]', 'author[].sequence']), unnest(['dict', 'str']), NULL FROM conversations
+    UNION ALL SELECT unnest(CASE role WHEN 'user' THEN ['author[].given', 'author[].ORCID']
+        WHEN 'assistant' THEN ['author[].family'] WHEN 'system' THEN ['author[].name'] END), 'str', NULL FROM conversations""")
 ORACLE_SQL["cast_values"] = """
 WITH v AS (
     SELECT o_orderkey,
