@@ -50,6 +50,7 @@ from pubspark.sources import warehouse as W
 from pubspark.sources.lake import build_path, live_runs
 from pubspark.sources.layers import land, query_file
 from pubspark.sources.raw import land_envelopes, land_raw, read_envelope_fields, read_envelopes, read_landed_items
+from pubspark.sources.split_envelopes import read_split_envelopes
 from pubspark.sources.staging import (
     read_staging,
     read_staging_envelopes,
@@ -353,6 +354,14 @@ def q_envelope_fields(spark, d):
     return fields.join(items, "run").select("run", "status", "envelopes", "total_results", "items")
 
 
+def q_split_envelope_works(spark, d):
+    """One large envelope file per order year, read by byte ranges, and parsed to bronze."""
+    root = new_root(spark, "large")
+    W.write_year_envelopes(spark, d, f"{root}/in")
+    items = land(read_split_envelopes(spark, f"{root}/in", split_bytes=4 << 20), "raw-items")
+    return bronze_with_status(items).where("parse_ok").select("doi", "title", "publisher", "published_date")
+
+
 def q_cast_values(spark, d):
     """Date-time and count casts on complete, partial and impossible values."""
     v = W.cast_values(spark, d)

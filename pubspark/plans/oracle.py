@@ -611,3 +611,4 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS utc_is
        strftime(o_orderdate, '%Y%m%dT%H%M%S') AS run_stamp,
        CAST(o_orderdate AS DATE) > current_date AS in_future
 FROM orders"""
+ORACLE_SQL["split_envelope_works"] = ORACLE_SQL["bronze_by_path"]

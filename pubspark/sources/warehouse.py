@@ -179,6 +179,17 @@ def order_envelopes(spark: SparkSession, sf_dir: str, run: str = "year(o_orderda
     return pages.select("envelope", "run")
 
 
+def write_year_envelopes(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """One envelope file for each order year under ``path``, however large: the text of each file is
+    written piece by piece (head, items, end), each piece a row."""
+    works = order_works(spark, sf_dir, run="year(o_orderdate)", extra=("o_orderkey",))
+    years = works.groupBy("run").agg(F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+    items = works.join(years, "run").select("run", "o_orderkey", F.concat(
+        F.when(F.col("o_orderkey") == F.col("first"), '{"status": "ok", "message": {"items": [').otherwise(","), "raw_item",
+        F.when(F.col("o_orderkey") == F.col("last"), F.lit("]}}")).otherwise("")).alias("text"))
+    items.repartition("run").sortWithinPartitions("run", "o_orderkey").select("text", "run").write.partitionBy("run").text(path)
+
+
 def damaged_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`order_envelopes` as a faulty source would send them: every seventh page is cut off,
     and in the others every 97th order's item is a bare string instead of an object."""
