@@ -48,7 +48,7 @@ from pubspark.schemas import BRONZE_COLUMNS
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
 from pubspark.sources.lake import build_path, live_runs
-from pubspark.sources.layers import land, query_file
+from pubspark.sources.layers import fetch_bounded, land, query_file
 from pubspark.sources.raw import land_envelopes, land_raw, read_envelope_fields, read_envelopes, read_landed_items
 from pubspark.sources.split_envelopes import read_split_envelopes
 from pubspark.sources.staging import (
@@ -59,6 +59,7 @@ from pubspark.sources.staging import (
     utc_iso,
     write_staging,
 )
+from pubspark.streaming.landing import start_bronze_stream
 
 # Fixed reference date for 'future' checks so results do not depend on the day of the run.
 AS_OF = "2025-01-01"
@@ -469,6 +470,62 @@ def q_staging_envelopes(spark, d):
     return read_staging_envelopes(spark, root, staged.select(*fields).schema, multi_line=False)
 
 
+def q_staging_documents(spark, d):
+    """Staging documents with all staged fields (nested values as JSON) and their metadata, read back
+    and flattened to bronze."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    page = f"CAST(floor(o_orderkey / {W.PAGE_SIZE}) AS BIGINT) AS document"
+    raw = land(W.order_works(spark, d, extra=(page,)), "raw-items")
+    staged = parse_works(parse_items(raw, keep=("document",)), keep=("document",))
+    own = [c for c in staged.columns if c != "document"]
+    pages = staged.groupBy("document").agg(
+        F.count(F.lit(1)).alias("work_count"),
+        F.array_join(F.collect_list(F.to_json(F.struct(*own))), ",").alias("works"))  # at most a page
+    root = new_root(spark, "staged-documents")
+    head = F.to_json(F.struct(F.lit("metadata-api").alias("source"), F.concat(F.lit("page-"), "document").alias("raw_file"),
+                              F.lit("2025-01-01T00:00:00.000000+00:00").alias("staged_at_utc"), "work_count"))
+    pages.select(F.concat(F.lit('{"metadata": '), head, F.lit(', "works": ['), "works", F.lit("]}"))).write.text(root)
+    back = read_staging_envelopes(spark, root, staged.select(*own).schema, multi_line=False, metadata=True)
+    kept = ("staged_from", "staged_source", "staged_at_utc", "staged_work_count")
+    return to_bronze(back, keep=kept).select(*BRONZE_COMPARED, *kept)
+
+
+def q_quality_issues_from_authors(spark, d):
+    """Quality issues with the author rule taken from the written authors table."""
+    b = bronze(spark, d)
+    return silver_quality_issues(b, AS_OF, authors=land(silver_authors(b), "authors"))
+
+
+def q_fetched_top_publishers(spark, d):
+    """A bounded result brought to the driver as pandas and made a table again."""
+    top = A.top_publishers(silver_publications(bronze(spark, d)))
+    return spark.createDataFrame(fetch_bounded(top, 20), top.schema)
+
+
+def q_limited_titles(spark, d):
+    """Any five multi-valued titles (a limit without an order): how many came, and how many of them
+    are among all."""
+    every = land(items(spark, d), "items")
+    some = land(A.multi_valued_field_examples(every, limit=5), "some")
+    known = A.multi_valued_field_examples(every, limit=None).distinct().withColumn("known", F.lit(1))
+    return some.join(known, "original-title", "left").agg(F.count(F.lit(1)).alias("examples"), F.count("known").alias("known"))
+
+
+def q_streamed_works(spark, d):
+    """Envelope files brought by the landing stream in several micro-batches; a run is an order year
+    and a page's remainder by seven, so that one in seven has broken envelopes and is kept back. Works,
+    and items and envelopes in quarantine, per run."""
+    root = new_root(spark, "streamed")
+    run = f"concat(year(o_orderdate), '-', CAST(floor(o_orderkey / {W.PAGE_SIZE}) AS BIGINT) % 7)"
+    W.damaged_envelopes(spark, d, run).write.partitionBy("run").text(f"{root}/in")
+    start_bronze_stream(spark, f"{root}/in", root, checkpoint_location=f"{root}/stream", max_files_per_trigger=40,
+                        multi_line=False, run_from_partition=True).awaitTermination()
+    rows = (read_bronze(spark, root).select("run", F.lit("work").alias("kind"))
+            .unionByName(quarantine(spark, root).select("run", "kind")))
+    return rows.groupBy("run").agg(*[F.count_if(F.col("kind") == k).alias(n) for k, n in (
+        ("work", "works"), ("item", "quarantined_items"), ("envelope", "quarantined_envelopes"))])
+
+
 def q_run_stamps(spark, d):
     """Staging and run stamps of the order times, and the default clock's future check."""
     o = W.table(spark, d, "orders")

@@ -612,3 +612,16 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS utc_is
        CAST(o_orderdate AS DATE) > current_date AS in_future
 FROM orders"""
 ORACLE_SQL["split_envelope_works"] = ORACLE_SQL["bronze_by_path"]
+ORACLE_SQL["staging_documents"] = ORDERS + _AUTHOR_JSON + _BRONZE_SELECT.replace("SELECT doi,", """
+SELECT 'page-' || (o_orderkey // 200) AS staged_from, 'metadata-api' AS staged_source,
+       '2025-01-01T00:00:00.000000+00:00' AS staged_at_utc,
+       count(*) OVER (PARTITION BY o_orderkey // 200) AS staged_work_count, doi,""", 1)
+ORACLE_SQL["quality_issues_from_authors"] = ORACLE_SQL["silver_quality_issues"]
+ORACLE_SQL["fetched_top_publishers"] = ORACLE_SQL["top_publishers"]
+ORACLE_SQL["limited_titles"] = """
+SELECT least(count(*), 5) AS examples, least(count(*), 5) AS known FROM orders WHERE o_orderkey % 5 = 0"""
+ORACLE_SQL["streamed_works"] = _PAGES + """
+SELECT run || '-' || (page % 7) AS run, coalesce(sum(n - bad) FILTER (WHERE page % 7 <> 3), 0)::BIGINT AS works,
+       coalesce(sum(bad) FILTER (WHERE page % 7 <> 3), 0)::BIGINT AS quarantined_items,
+       count(*) FILTER (WHERE page % 7 = 3) AS quarantined_envelopes
+FROM pages GROUP BY ALL"""

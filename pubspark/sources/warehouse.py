@@ -190,10 +190,10 @@ def write_year_envelopes(spark: SparkSession, sf_dir: str, path: str) -> None:
     items.repartition("run").sortWithinPartitions("run", "o_orderkey").select("text", "run").write.partitionBy("run").text(path)
 
 
-def damaged_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_envelopes(spark: SparkSession, sf_dir: str, run: str = "year(o_orderdate)") -> DataFrame:
     """:func:`order_envelopes` as a faulty source would send them: every seventh page is cut off,
     and in the others every 97th order's item is a bare string instead of an object."""
-    works = order_works(spark, sf_dir, run="year(o_orderdate)",
+    works = order_works(spark, sf_dir, run=run,
                         extra=(f"CAST(floor(o_orderkey / {PAGE_SIZE}) AS BIGINT) AS page", "o_orderkey"))
     works = works.withColumn("raw_item", F.expr(
         "CASE WHEN o_orderkey % 97 = 0 THEN concat('\"not an item ', o_orderkey, '\"') ELSE raw_item END"))
