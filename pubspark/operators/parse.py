@@ -95,8 +95,14 @@ _NESTED_TO_BRONZE = tuple((name, f"{name}_json") for _, name in LIST_FIELDS) + t
     (name, f"{name}_json") for _, name in OBJECT_FIELDS)
 
 
-def to_bronze(staged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Staged works -> bronze: nested values as JSON text (JSON null -> SQL NULL), 46 columns."""
+#: Staged lists that silver takes apart; bronze may keep them as VARIANT beside their text.
+NESTED_LISTS = ("authors", "issn_type", "isbn_type", "alternative_ids")
+
+
+def to_bronze(staged: DataFrame, keep: tuple[str, ...] = (), nested: tuple[str, ...] = ()) -> DataFrame:
+    """Staged works -> bronze: nested values as JSON text (JSON null -> SQL NULL), 46 columns; the
+    ``nested`` ones also as VARIANT under their staged names, to be read without another parse."""
+    variants = [F.when(~F.is_variant_null(n), F.col(n)).alias(n) for n in nested]
     nested = dict(_NESTED_TO_BRONZE)
     renamed = {v: k for k, v in nested.items()}
     out = []
@@ -106,10 +112,11 @@ def to_bronze(staged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             out.append(F.when(v.isNotNull() & ~F.is_variant_null(v), F.to_json(v)).alias(c))
         else:
             out.append(F.col(c))
-    return staged.select(*out, *[F.col(k) for k in keep])
+    return staged.select(*out, *[F.col(k) for k in keep], *variants)
 
 
-def bronze_with_status(raw: DataFrame, text_col: str = "raw_item", keep: tuple[str, ...] = ()) -> DataFrame:
+def bronze_with_status(raw: DataFrame, text_col: str = "raw_item", keep: tuple[str, ...] = (),
+                       nested: tuple[str, ...] = ()) -> DataFrame:
     """Raw item text -> bronze in one narrow stage that parses each record once. Every input row
     gives a row; ``parse_ok`` tells whether its text was JSON, and ``bad_item`` keeps the text
     that was not (the quarantine)."""
@@ -118,7 +125,7 @@ def bronze_with_status(raw: DataFrame, text_col: str = "raw_item", keep: tuple[s
     ok = F.col("item").isNotNull()
     marked = items.select("item", *keep, ok.alias("parse_ok"), F.when(~ok, F.col(text_col)).alias("bad_item"))
     keep = (*keep, "parse_ok", "bad_item")
-    return to_bronze(parse_works(marked, keep=keep), keep=keep)
+    return to_bronze(parse_works(marked, keep=keep), keep=keep, nested=nested)
 
 
 def bronze_from_raw(raw: DataFrame, text_col: str = "raw_item", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -104,11 +104,19 @@ def _author_fields(author: Column) -> dict[str, Column]:
     }
 
 
+def nested_list(bronze: DataFrame, name: str) -> Column:
+    """A nested list of bronze as an array of VARIANT: from its VARIANT column where bronze has one,
+    else parsed from its JSON text."""
+    if name in bronze.columns:
+        return F.try_variant_get(F.col(name), "$", "array<variant>")
+    return PF.json_array_elements(F.col(f"{name}_json"))
+
+
 def exploded_authors(bronze: DataFrame, keep: tuple[str, ...] = ("doi",)) -> DataFrame:
     """One row per element of ``authors_json`` (inner: empty/NULL/malformed lists give no rows)."""
     return bronze.select(
         *[F.col(c) for c in keep],
-        F.explode(PF.json_array_elements(F.col("authors_json"))).alias("_author"),
+        F.explode(nested_list(bronze, "authors")).alias("_author"),
     )
 
 
@@ -122,19 +130,15 @@ def silver_authors(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def silver_identifiers(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """ISSN, ISBN and alternative ids as one long table, 1-based position per list.
 
-    One scan: the three lists become an array of (type, json, typed) structs, exploded once,
+    One scan: the three lists become an array of (type, list, typed) structs, exploded once,
     then each list is pos-exploded. NULL/blank values are dropped; NULL DOIs are kept.
     """
-    lists = F.array(
-        F.struct(F.lit(IDENT_ISSN).alias("t"), F.col("issn_type_json").alias("j"), F.lit(True).alias("typed")),
-        F.struct(F.lit(IDENT_ISBN).alias("t"), F.col("isbn_type_json").alias("j"), F.lit(True).alias("typed")),
-        F.struct(F.lit(IDENT_ALT).alias("t"), F.col("alternative_ids_json").alias("j"), F.lit(False).alias("typed")),
-    )
+    lists = F.array(*[
+        F.struct(F.lit(t).alias("t"), nested_list(bronze, name).alias("j"), F.lit(typed).alias("typed"))
+        for t, name, typed in ((IDENT_ISSN, "issn_type", True), (IDENT_ISBN, "isbn_type", True),
+                               (IDENT_ALT, "alternative_ids", False))])
     per_list = bronze.select("doi", *by, F.inline(lists))
-    elems = per_list.select(
-        "doi", *by, "t", "typed",
-        F.posexplode(PF.json_array_elements(F.col("j"))).alias("pos", "e"),
-    )
+    elems = per_list.select("doi", *by, "t", "typed", F.posexplode("j").alias("pos", "e"))
     value = F.when(F.col("typed"), F.try_variant_get("e", "$.value", "string")).otherwise(
         F.try_variant_get("e", "$", "string"))
     subtype = F.when(F.col("typed"), F.try_variant_get("e", "$.type", "string"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pubspark.operators.parse import bronze_with_status
+from pubspark.operators.parse import NESTED_LISTS, bronze_with_status
 from pubspark.operators.silver import build_silver, silver_publications, silver_quality_issues
 from pubspark.operators.validation import failed_checks, validation_report
 from pubspark.schemas import BRONZE_SCHEMA
@@ -61,7 +61,8 @@ def bronze_schema() -> T.StructType:
                                                 T.StructField("source_file", T.StringType()),
                                                 T.StructField("parse_ok", T.BooleanType()),
                                                 T.StructField("bad_item", T.StringType()),
-                                                T.StructField("run", T.StringType())])
+                                                T.StructField("run", T.StringType()),
+                                                *(T.StructField(n, T.VariantType()) for n in NESTED_LISTS)])
 
 
 _REPORT_SCHEMA = T.StructType([T.StructField("checked_at", T.TimestampType()), *(
@@ -109,7 +110,7 @@ def quarantine(spark: SparkSession, out_root: str) -> DataFrame:
 def write_bronze(items: DataFrame, out_root: str, build: str) -> None:
     """Parse items into bronze, one narrow stage. Items that do not parse are rows too
     (``parse_ok`` false, their text in ``bad_item``)."""
-    write_build(bronze_with_status(items, keep=("source_file", *_BY)), out_root, BRONZE, build)
+    write_build(bronze_with_status(items, keep=("source_file", *_BY), nested=NESTED_LISTS), out_root, BRONZE, build)
 
 
 def write_silver(bronze: DataFrame, out_root: str, build: str, as_of=None) -> None:
@@ -126,9 +127,9 @@ def write_silver(bronze: DataFrame, out_root: str, build: str, as_of=None) -> No
         write_build(tables[name], out_root, f"silver/{name}", build, rebalance=name in shuffled)
 
 
-def write_report(tables: dict[str, DataFrame], out_root: str, build: str) -> None:
-    """One report per run (ten rows each), all runs in one job."""
-    report = validation_report(*(tables[t] for t in SILVER_TABLES), by=_BY)
+def write_report(tables: dict[str, DataFrame], runs: DataFrame, out_root: str, build: str) -> None:
+    """One report for each of the runs (ten rows each), in one job."""
+    report = validation_report(*(tables[t] for t in SILVER_TABLES), by=_BY, groups=runs)
     write_build(report, out_root, REPORT, build, rebalance=True)
 
 
@@ -155,8 +156,9 @@ def run_silver(spark: SparkSession, out_root: str, as_of=None) -> str:
 def run_validation(spark: SparkSession, out_root: str) -> str:
     """Validate all runs of silver and publish the report."""
     log, build = read_log(spark, out_root), new_build()
-    write_report({t: read_silver(spark, out_root, t, None, log) for t in SILVER_TABLES}, out_root, build)
-    commit(entries_of(live_runs(spark, out_root, "silver/publications", log), build, [REPORT]), out_root)
+    runs = live_runs(spark, out_root, "silver/publications", log)
+    write_report({t: read_silver(spark, out_root, t, None, log) for t in SILVER_TABLES}, runs, out_root, build)
+    commit(entries_of(runs, build, [REPORT]), out_root)
     return build
 
 
@@ -194,7 +196,7 @@ def process(envelopes: DataFrame, out_root: str, as_of=None, day=None, partition
             write_silver(_sound(read_build(spark, out_root, BRONZE, build, bronze_schema())), out_root, build, as_of)
             schemas = silver_schemas(spark)
             write_report({t: read_build(spark, out_root, f"silver/{t}", build, schemas[t]) for t in SILVER_TABLES},
-                         out_root, build)
+                         sound, out_root, build)
         entries = entries.unionByName(entries_of(sound, build, derived))
     number = commit(entries, out_root)
     return {"build": build, "commit": number, "runs": sound, "kept_back": runs.join(broken, "run", "left_semi"),

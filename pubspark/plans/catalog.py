@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pubspark import functions as PF
 from pubspark.analytics_entry import run_reports
 from pubspark.operators import profiling as P
-from pubspark.operators.parse import bronze_with_status, parse_items, parse_works, to_bronze
+from pubspark.operators.parse import NESTED_LISTS, bronze_with_status, parse_items, parse_works, to_bronze
 from pubspark.operators.silver import (
     as_of_date,
     name_only_author_issues,
@@ -90,7 +90,7 @@ def items(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame
 
 def bronze(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
     """Bronze works, parsed once and landed; the reader's filter leaves the items that parsed."""
-    b = land(bronze_with_status(raw_items(spark, sf_dir, source)), "bronze")
+    b = land(bronze_with_status(raw_items(spark, sf_dir, source), nested=NESTED_LISTS), "bronze")
     return b.where("parse_ok").drop("parse_ok", "bad_item")
 
 

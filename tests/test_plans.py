@@ -121,3 +121,15 @@ def test_bronze_parses_each_record_once(spark):
 
     phys = plan_text(bronze_with_status(raw_df(spark, ITEMS)))
     assert phys.count("parseJson") + phys.count("try_parse_json") <= 1 + phys.count("parse_json([]")
+
+
+def test_silver_reads_nested_bronze_without_parsing(spark):
+    silver = catalog.silver(spark, SF)
+    for name in ("publication_authors", "identifiers", "quality_issues"):
+        plan = silver[name]._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "parse_json" not in plan and "parsejson" not in plan
+    # the JSON text gives the same rows
+    from pubspark.operators.parse import NESTED_LISTS
+    again = build_silver(silver["bronze"].drop(*NESTED_LISTS), catalog.AS_OF)
+    for name in ("publication_authors", "identifiers", "quality_issues"):
+        assert silver[name].exceptAll(again[name]).isEmpty() and again[name].exceptAll(silver[name]).isEmpty()
