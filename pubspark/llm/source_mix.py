@@ -49,7 +49,7 @@ MOST_TIMES = 3
 class Settings:
     block_words: int = 128
     shard_words: int = 1 << 20
-    group_words: int = 1 << 22
+    group_words: int = 1 << 20
     fan_out: int = 64
     seed: int = 7
 
