@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubspark.llm.chunk_cache import slices
-from pubspark.llm.common import as_batch, fresh_name, materialize, small_batches, texts
+from pubspark.llm.common import as_batch, fresh_name, materialize, released, small_batches, texts
 from pubspark.llm.components import connected_components
 
 SHINGLE = 5
@@ -121,7 +121,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield as_batch([b.column("doc_id"), b.column("own"), n, ids, sigs], schema)
 
     return docs.withColumn("own", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, own long, n long, set_id long, sig binary")
+        released(run), "doc_id long, own long, n long, set_id long, sig binary")
 
 
 def branch(rows: DataFrame, level: int, keep: tuple[str, ...]) -> DataFrame:
@@ -252,7 +252,7 @@ def involved(leaf_rows: DataFrame, classes: DataFrame, percent: int, slack: floa
     grouped = (leaf_rows.join(classes, "set_id").groupBy("leaf")  # leaves are small by construction
                .agg(F.collect_list(F.struct("set_id", "n", "sig", "component")).alias("rows"))
                .filter(F.size("rows") > 1))
-    parts = grouped.mapInArrow(run, "leaf long, members array<long>").dropDuplicates(["leaf"])
+    parts = grouped.mapInArrow(released(run), "leaf long, members array<long>").dropDuplicates(["leaf"])
     return parts.select("leaf", F.explode("members").alias("set_id"))
 
 
@@ -284,7 +284,7 @@ def full_sets(docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFram
                 ids = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw]
                 yield as_batch([ids, raw, list(map(signature, sets))], schema)
 
-    made = docs.join(keys, "doc_id", "left_semi").mapInArrow(run, "set_id long, shingles binary, sig binary")
+    made = docs.join(keys, "doc_id", "left_semi").mapInArrow(released(run), "set_id long, shingles binary, sig binary")
     return materialize(made.dropDuplicates(["set_id"]), "sets")
 
 
@@ -302,7 +302,7 @@ def confirmed(leaf_rows: DataFrame, sets: DataFrame, percent: int, slack: float)
 
     grouped = leaf_rows.join(sets, "set_id").groupBy("leaf").agg(
         F.collect_list(F.struct("set_id", "shingles", "sig")).alias("rows"))
-    return grouped.mapInArrow(run, "a long, b long").distinct()
+    return grouped.mapInArrow(released(run), "a long, b long").distinct()
 
 
 def spanning_links(rows: list[dict], percent: int, slack: float) -> list[tuple[int, int]]:
@@ -387,7 +387,7 @@ def keep_firsts(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, of the first document of each group; of rows
     that repeat both doc_id and text, one."""
     report = materialize(near_duplicates(docs, **settings), "near-duplicates")
-    own, key, found = (fresh_name(docs, n) for n in ("own_hash", "own_id", "copy_hash"))
+    own, key, found, found_id = (fresh_name(docs, n) for n in ("own_hash", "own_id", "copy_hash", "copy_hash_id"))
     marked = docs.withColumn(own, F.xxhash64("text")).withColumn(key, F.col("doc_id").cast("long"))
     gone = materialize(report.filter(~F.col("kept")).select(F.col("doc_id").alias(key), F.col("own").alias(own))
                        .distinct(), "gone")
@@ -396,8 +396,8 @@ def keep_firsts(docs: DataFrame, **settings) -> DataFrame:
     kept = marked.join(gone, [key, own], "left_anti")
     again = report.filter(F.col("kept")).groupBy("doc_id", "own").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     if not again.isEmpty():
-        again = again.select(F.col("doc_id").alias(found + "_id"), F.col("own").alias(found))
-        same = (F.col(own) == F.col(found)) & F.col(key).eqNullSafe(F.col(found + "_id"))
+        again = again.select(F.col("doc_id").alias(found_id), F.col("own").alias(found))
+        same = (F.col(own) == F.col(found)) & F.col(key).eqNullSafe(F.col(found_id))
         kept = kept.join(again, same, "left_anti").unionByName(
             kept.join(again, same, "left_semi").dropDuplicates([key, own]))
     return kept.drop(own, key)

@@ -9,12 +9,12 @@ class ChunkEncoder:
     """Ids of texts that are given as lists of chunks whose encodings simply join.
 
     ``encode_many`` maps distinct chunks to their ids as little-endian unsigned 32-bit bytes.
-    At most two generations of ``capacity`` chunks are remembered; chunks longer than
-    ``longest`` characters are encoded each time. Neither affects the result.
+    At most two generations of ``capacity`` chunks are remembered (about 200 bytes each); chunks
+    longer than ``longest`` characters are encoded each time. Neither affects the result.
     """
 
     def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]],
-                 capacity: int = 200_000, longest: int = 200):
+                 capacity: int = 500_000, longest: int = 200):
         self.encode_many, self.capacity, self.longest = encode_many, capacity, longest
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -22,21 +22,22 @@ class ChunkEncoder:
     def encode(self, docs: Sequence[list[str]]) -> list[bytes]:
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {}
-        young, old, passing = self.young, self.old, {}
-        new = []
-        for c in set().union(*docs).difference(young):
+        young, old = self.young, self.old
+        found = [list(map(young.get, d)) for d in docs]
+        open_docs = [k for k, ids in enumerate(found) if None in ids]
+        missing = {c for k in open_docs for c, ids in zip(docs[k], found[k], strict=True) if ids is None}
+        new, passing = [], {}
+        for c in missing:
             if c in old:
                 young[c] = old[c]
             else:
                 new.append(c)
         for c, ids in zip(new, self.encode_many(new), strict=True):
-            if len(c) <= self.longest:
-                young[c] = ids
-            else:
-                passing[c] = ids
-        if not passing:
-            return [b"".join(map(young.__getitem__, d)) for d in docs]
-        return [b"".join([passing[c] if c in passing else young[c] for c in d]) for d in docs]
+            (young if len(c) <= self.longest else passing)[c] = ids
+        for k in open_docs:
+            found[k] = [ids if ids is not None else passing[c] if c in passing else young[c]
+                        for c, ids in zip(docs[k], found[k], strict=True)]
+        return list(map(b"".join, found))
 
 
 def slices(items: list[str], most_chars: int = 1_000_000) -> Iterable[list[str]]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -45,6 +47,21 @@ def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which a worker gives the memory it no longer needs back to the system; workers
+    live on for other tasks and stages."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim is not None:
+                trim(0)
+    return task
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, prefixed until no column of ``df`` has it (column names ignore case)."""
     taken = {c.lower() for c in df.columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 
@@ -40,14 +41,14 @@ class LibraryEncoder:
     ``split`` cuts a text into chunks whose encodings join to the text's own.
     """
 
-    def __init__(self, path: str, split):
+    def __init__(self, path: str, split, capacity: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = split
-        self.chunks = ChunkEncoder(self._encode_chunks)
+        self.chunks = ChunkEncoder(self._encode_chunks, capacity)
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         out = []
@@ -58,15 +59,22 @@ class LibraryEncoder:
 
     def encode_all(self, docs: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
-        return self.chunks.encode([self.split(t) for t in docs])
+        # Millions of short strings and no cycles: the collector's passes would be in vain.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self.chunks.encode([self.split(t) for t in docs])
+        finally:
+            if collects:
+                gc.enable()
 
 
 _encoders: dict[tuple, LibraryEncoder] = {}
 
 
-def encoder(path: str, split) -> LibraryEncoder:
-    """One encoder per file and worker process."""
-    key = (path, split.__name__)
+def encoder(path: str, split, capacity: int = 500_000) -> LibraryEncoder:
+    """One encoder per file, capacity and worker process."""
+    key = (path, split.__name__, capacity)
     if key not in _encoders:
-        _encoders[key] = LibraryEncoder(path, split)
+        _encoders[key] = LibraryEncoder(path, split, capacity)
     return _encoders[key]

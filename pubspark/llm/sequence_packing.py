@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pubspark.llm.chunk_cache import slices
-from pubspark.llm.common import as_batch, materialize, texts
+from pubspark.llm.common import as_batch, materialize, released, small_batches, texts
 from pubspark.llm.library_tokens import encoder, split_words
 
 #: A set of pieces that share a sequence: runs of (length, how many), in order of placement.
@@ -41,11 +41,12 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
                     ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0) -> DataFrame:
-    """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32``."""
+def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0, chunks: int = 500_000) -> DataFrame:
+    """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32``. A worker remembers the ids
+    of about ``chunks`` words: more take memory, fewer time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer_path, split_words)
+        own = encoder(tokenizer_path, split_words, chunks)
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             ids = [i + end for part in slices(texts(b)) for i in own.encode_all(part)]
@@ -57,7 +58,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: i
                 yield as_batch(zip(*rows, strict=True), PIECES)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        released(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[tuple[Content, int]], dict[int, int]]:
@@ -154,10 +155,11 @@ def ranked(pieces: DataFrame, total: int, rows_per_run: int = 200_000) -> DataFr
             .withColumn("rank", F.col("rank") + F.col("base")).drop("salt", "base"))
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, chunks: int = 500_000) -> DataFrame:
     """Per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     spark = docs.sparkSession
-    pieces = materialize(cut_documents(docs, tokenizer_path, capacity), "pieces")
+    with small_batches(spark):
+        pieces = materialize(cut_documents(docs, tokenizer_path, capacity, chunks=chunks), "pieces")
     counts = {r["length"]: r["n"] for r in  # at most ``capacity`` rows
               pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = spark.createDataFrame(
