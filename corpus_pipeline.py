@@ -41,8 +41,9 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces and their places in sequences of at most 2048 tokens."""
-    return sequence_packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The documents' pieces and their places in sequences of at most 2048 tokens. Workers that other
+    stages have used remember fewer words."""
+    return sequence_packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), chunks=100_000)
 
 
 STAGES = [("quality_rules", quality), ("toxicity", toxicity), ("near_copies", near_copies),
