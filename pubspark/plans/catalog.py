@@ -39,11 +39,13 @@ from pubspark.plans.batch import (
     quarantine,
     read_bronze,
     read_report,
+    read_silver,
     run_bronze,
     run_silver,
     run_validation,
 )
 from pubspark.plans.current import merge_current, read_current
+from pubspark.plans.profiles import merged_profile, refresh_profiles
 from pubspark.schemas import BRONZE_COLUMNS
 from pubspark.session import ensure_checkpoint_dir
 from pubspark.sources import warehouse as W
@@ -439,6 +441,17 @@ def q_publications_merged_by_year(spark, d):
     return read_current(spark, root)
 
 
+def q_merged_profile(spark, d):
+    """Profile of the publications of all order years, merged from the runs' own profiles, and whether
+    its distinct counts come within a twentieth of the exact ones."""
+    root = layered_build(spark, d)
+    refresh_profiles(spark, root)
+    exact = P.column_profile(read_silver(spark, root, "publications", None).drop("run", "day")).select("column", "unique_values")
+    near = F.abs(F.col("about_unique") - F.col("unique_values")) <= 0.05 * F.col("unique_values")
+    return merged_profile(spark, root).join(exact, "column").select(
+        "column", "dtype", "rows", "nulls", "null_percent", near.alias("near_exact"))
+
+
 def _staged_orders(spark, d):
     raw = raw_items(spark, d).withColumn("source_file", F.lit("orders"))
     keep = ("record_hash", "source_file", "run")

@@ -625,3 +625,10 @@ SELECT run || '-' || (page % 7) AS run, coalesce(sum(n - bad) FILTER (WHERE page
        coalesce(sum(bad) FILTER (WHERE page % 7 <> 3), 0)::BIGINT AS quarantined_items,
        count(*) FILTER (WHERE page % 7 = 3) AS quarantined_envelopes
 FROM pages GROUP BY ALL"""
+# Publications are de-duplicated within each order year; the profile covers those of all years.
+_PUBS_BY_RUN = _with(_WORKS, _TYPED.replace("PARTITION BY doi", "PARTITION BY year(created_datetime), doi"))
+assert "year(created_datetime)" in _PUBS_BY_RUN
+ORACLE_SQL["merged_profile"] = _PUBS_BY_RUN + ", prof AS (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM pubs"""
+    for c, t in _PROFILED.items()) + """)
+SELECT "column", dtype, rows, nulls, round_even(nulls / rows * 100, 2) AS null_percent, TRUE AS near_exact FROM prof"""
