@@ -6,7 +6,8 @@ table of a few hundred rows), and the words themselves are compared, so a hit is
 hit of text position p on template position t votes for the diagonal p - t. Votes are
 summed per text, template and diagonal; diagonals at most ``MAX_GAP`` apart (words put in or left
 out) are merged; a merged span is verified when it holds ``MIN_PCT`` per cent of the template's
-triples, ``MIN_TRIPLES`` or all of them at least, in a stretch not over twice the template's length.
+triples, ``MIN_TRIPLES`` or all of them at least, in a stretch not over twice the template's length;
+neighbouring diagonals that make a longer stretch are several places and are verified one by one.
 
 Base places are unmerged diagonals that hold every triple of a base phrase: its words stand there
 consecutively.
@@ -108,13 +109,16 @@ def verified_spans(votes: DataFrame) -> DataFrame:
     the span's last word)."""
     by = Window.partitionBy("doc_id", "own", "template").orderBy("diagonal")
     new = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > MAX_GAP, F.lit(True))
+    run = Window.partitionBy("doc_id", "own", "template", "run")
+    # A run longer than two templates holds several: each of its diagonals stands by itself.
+    several = F.max("last").over(run) - F.min("first").over(run) + K > 2 * (F.col("triples") + K - 1)
     runs = (votes.withColumn("new", new.cast("int"))
             .withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-            .groupBy("doc_id", "own", "template", "label", "base", "triples", "run")
+            .withColumn("alone", F.when(several, F.col("diagonal")))
+            .groupBy("doc_id", "own", "template", "label", "base", "triples", "run", "alone")
             .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last")))
     kept = F.least("votes", "triples")
-    return (runs.filter((kept >= _needed(F.col("triples")))
-                        & (F.col("last") - F.col("first") + K <= 2 * (F.col("triples") + K - 1)))
+    return (runs.filter(kept >= _needed(F.col("triples")))
             .select("doc_id", "own", "label", "base", "first", (F.col("last") + K - 1).alias("last"),
                     (kept / F.col("triples")).alias("coverage")))
 
@@ -173,16 +177,18 @@ votes AS (SELECT r, template, label, base, triples, p - t AS diagonal, count(*)
 marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER by_diagonal <= {MAX_GAP} THEN 0 ELSE 1 END AS new
            FROM votes WHERE NOT base
            WINDOW by_diagonal AS (PARTITION BY r, template ORDER BY diagonal)),
-runs AS (SELECT r, label, triples, sum(votes) AS votes, min(first) AS first, max(last) AS last
-         FROM (SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal) AS run FROM marked)
-         GROUP BY r, template, label, triples, run),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal) AS run FROM marked),
+runs AS (SELECT r, label, triples, sum(votes) AS votes
+         FROM (SELECT *, CASE WHEN max(last) OVER w - min(first) OVER w + {K} > 2 * (triples + {K - 1})
+                         THEN diagonal END AS alone
+               FROM numbered WINDOW w AS (PARTITION BY r, template, run))
+         GROUP BY r, template, label, triples, run, alone),
 found AS (
   SELECT r, label, diagonal AS spot, true AS place, 1.0::DOUBLE AS coverage FROM votes
   WHERE base AND votes = triples
   UNION ALL
   SELECT r, label, NULL, false, least(votes, triples)::DOUBLE / triples FROM runs
-  WHERE least(votes, triples) >= greatest(ceil(triples * {MIN_PCT} / 100.0), least(triples, {MIN_TRIPLES}))
-    AND last - first + {K} <= 2 * (triples + {K - 1})),
+  WHERE least(votes, triples) >= greatest(ceil(triples * {MIN_PCT} / 100.0), least(triples, {MIN_TRIPLES}))),
 per_doc AS (
   SELECT r, count(spot) AS n_base, min(spot) AS first_word, max(spot) AS last_word,
          coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE place), '') AS base_labels,

@@ -125,3 +125,10 @@ def test_estimates_lose_few_pairs():
         return sum(comb(n, i) * 0.85 ** i * 0.15 ** (n - i) for i in range(n) if i / n < share)
 
     assert lost(C.COORDINATES // 2, 0.85 - 1.5 * slack) + lost(C.COORDINATES, 0.85 - slack) < 0.0001
+
+
+def test_clashing_names_with_a_repeated_row(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 5, "a", "b"), (1, text, 5, "a", "b"), (2, text, 6, "c", "d"), (3, "other words", 7, "e", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, copy_hash_id long, own_id string, copy_hash string")
+    assert sorted(tuple(r) for r in C.keep_firsts(df).collect()) == [rows[0], rows[3]]

@@ -33,6 +33,12 @@ def test_planted_texts_equal_the_sql(spark):
     assert [got[k][5] for k in (4, 5, 6, 7, 8)] == ["", "gpl-3", "", "", ""]
 
 
+def test_repeated_templates_keep_their_label(spark):
+    rows = [(n, " ".join(["cc by sa"] * n)) for n in range(1, 9)] + [(20, " ".join([MIT] * 4)), (21, "cc by sa cc by " * 5 + "cc by")]
+    got = {r[0]: r[1:] for r in check(edge_docs(spark, rows))}
+    assert all(got[n][5:] == ("cc-by-sa", 1.0) for n in range(1, 9)) and got[20][5] == "mit" and "cc-by-sa" in got[21][5]
+
+
 def test_documents_and_edges_equal_the_sql(spark):
     check(documents(spark))
     assert len(check(edge_docs(spark))) == len(DOCS)
