@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubspark.llm.chunk_cache import slices
-from pubspark.llm.common import as_batch, fresh_name, materialize, released, small_batches, texts
+from pubspark.llm.common import as_batch, discard, fresh_name, materialize, released, small_batches, texts
 from pubspark.llm.components import connected_components
 
 SHINGLE = 5
@@ -148,17 +148,20 @@ def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> tupl
     rows = (classes.withColumn("tree", F.explode(F.lit(list(trees))))
             .withColumn("node", F.xxhash64("tree", F.lit("root"))))
     keep: tuple[str, ...] = ("set_id", "component")  # and "sig" where a node branches again
-    done = None
+    done = above_kids = None
     for level in range(depth):
         kids = branch(rows, level, keep)
         sizes = (kids.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"),
                                           F.max("component").alias("high"))
                  .filter("low <> high").select("node", "size"))
-        kids = materialize(kids.join(sizes, "node"), f"nodes-{level}")
-        small = kids.filter(F.col("size") <= node_size).select(F.col("node").alias("leaf"), "set_id")
+        above, kids = above_kids, materialize(kids.join(sizes, "node"), f"nodes-{level}")
+        above_kids = kids
+        discard(above)
+        small = materialize(kids.filter(F.col("size") <= node_size).select(F.col("node").alias("leaf"), "set_id"), "leaves")
         done = small if done is None else done.unionByName(small)
         large = kids.filter(F.col("size") > node_size)
         if large.isEmpty():
+            discard(kids)
             return done, None
         rows = large if level else large.join(classes.select("set_id", "sig"), "set_id")
         keep = ("set_id", "component", "sig")
@@ -347,28 +350,36 @@ def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int,
         nonlocal links, parts, seen
         # by the short signatures first, so that the long ones are joined to few rows
         brief = known.select("set_id", "n", F.substr("sig", F.lit(1), F.lit(2 * BRIEF)).alias("sig"), "component")
-        rows = materialize(involved(rows, brief, percent, 1.5 * slack), "pairs-brief")
-        rows = involved(rows, known.select("set_id", "n", "sig", "component"), percent, slack)
+        close = materialize(involved(rows, brief, percent, 1.5 * slack), "pairs-brief")
+        rows = involved(close, known.select("set_id", "n", "sig", "component"), percent, slack)
         if seen is not None:
             rows = rows.join(seen.select("leaf").distinct(), "leaf", "left_anti")
         rows = materialize(rows, "pairs")
+        discard(close)
         seen = rows if seen is None else seen.unionByName(rows)
         sets = full_sets(docs, classes.select("set_id", "doc_id"), rows)
         own = materialize(confirmed(rows, sets, percent, slack), "confirmed")
         links = own if links is None else links.unionByName(own)
-        parts = connected_components(links)
+        before, parts = parts, connected_components(links)
+        discard(before)
+
+    def renewed(known: DataFrame) -> DataFrame:
+        """The components as they are now; the table of those before goes."""
+        now = components()
+        discard(known)
+        return now
 
     known = components()
     rows, large = leaves(known, range(FIRST_TREES), node_size, FIRST_DEPTH)
     compare(rows if large is None else rows.unionByName(deal_once(large, known, node_size)), known)
-    known = components()
+    known = renewed(known)
     if large is not None:
         compare(deal_heads(large, known, links, node_size), known)
-        known = components()
+        known = renewed(known)
     rows, large = leaves(known, range(FIRST_TREES, trees), node_size, depth)
     compare(rows if large is None else rows.unionByName(deal_heads(large, known, links, node_size)), known)
     if large is not None:  # what is not one component yet, all against all
-        known = components()
+        known = renewed(known)
         compare(deal_all(large, known), known)
     members = classes.join(parts.withColumnRenamed("id", "set_id"), "set_id").select("set_id", "component", "doc_id")
     low = members.groupBy("component").agg(F.min("doc_id").alias("low"))

@@ -31,7 +31,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._folder = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete what :func:`materialize` wrote for these tables, once nothing reads them any more: neither
+    a DataFrame still to be run nor the remake of a lost task. Also lets the driver notice that
+    finished jobs' shuffle files are free."""
+    for table in tables:
+        folder = getattr(table, "_folder", None)
+        if folder is not None:
+            sc = table.sparkSession.sparkContext
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            sc._jvm.System.gc()
 
 
 @contextmanager

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pubspark.llm.common import materialize
+from pubspark.llm.common import discard, materialize
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -33,6 +33,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (large.join(low, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
                  .unionByName(low.withColumnRenamed("m", "lo")).distinct())
-        edges = materialize(small, "links")
+        before, edges = edges, materialize(small, "links")
+        discard(before)
     roots = edges.select(F.col("lo").alias("id")).distinct().withColumn("component", F.col("id"))
-    return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(roots)
+    out = edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(roots)
+    out._folder = edges._folder  # for ``discard``
+    return out
