@@ -1,3 +1,4 @@
+import functools
 import os
 import sys
 import tempfile
@@ -25,3 +26,15 @@ def spark():
 @pytest.fixture()
 def scratch_dir():
     return tempfile.mkdtemp(prefix="pubspark-run-")
+
+
+@pytest.fixture(scope="session")
+def shared_landings(spark):
+    """What the registered queries land from the same tables is landed once for all tests."""
+    from pubspark.plans import catalog
+
+    patch = pytest.MonkeyPatch()
+    for name in ("raw_items", "bronze", "layered_bronze", "layered_build"):
+        patch.setattr(catalog, name, functools.cache(getattr(catalog, name)))
+    yield
+    patch.undo()

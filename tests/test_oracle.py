@@ -25,7 +25,7 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, con, name):
+def test_query_matches_oracle(spark, shared_landings, con, name):
     df = QUERIES[name](spark, SF)
     cur = con.execute(ORACLE_SQL[name])
     ocols = [d[0] for d in cur.description]

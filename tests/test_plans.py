@@ -59,7 +59,7 @@ def test_quality_issues_two_scans(spark, scratch_dir):
     assert phys.count("FileScan parquet") == 2
 
 
-def test_no_python_udfs_anywhere(spark):
+def test_no_python_udfs_anywhere(spark, shared_landings):
     for name in catalog.QUERIES:
         phys = plan_text(catalog.QUERIES[name](spark, SF))
         assert "PythonUDF" not in phys and "BatchEvalPython" not in phys and "ArrowEvalPython" not in phys
