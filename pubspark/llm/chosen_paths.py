@@ -143,14 +143,14 @@ def branch(rows: DataFrame, level: int, keep: tuple[str, ...]) -> DataFrame:
 def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
     """``leaf, set_id`` of the trees' leaves that hold classes of two components or more, and
     ``node, set_id`` of the nodes still large after ``depth`` levels, if any; ``classes`` has
-    ``set_id, component, sig``. Most classes are alone after one level, so
-    only those of nodes that branch again carry their signature along."""
+    ``set_id, component, sig``. Most classes are alone after one level; those of nodes that branch
+    again have their signatures written once, and each level's rows look them up instead of
+    carrying them."""
     rows = (classes.withColumn("tree", F.explode(F.lit(list(trees))))
             .withColumn("node", F.xxhash64("tree", F.lit("root"))))
-    keep: tuple[str, ...] = ("set_id", "component")  # and "sig" where a node branches again
-    done = above_kids = None
+    done = above_kids = sigs = None
     for level in range(depth):
-        kids = branch(rows, level, keep)
+        kids = branch(rows, level, ("set_id", "component"))
         sizes = (kids.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"),
                                           F.max("component").alias("high"))
                  .filter("low <> high").select("node", "size"))
@@ -161,10 +161,13 @@ def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> tupl
         done = small if done is None else done.unionByName(small)
         large = kids.filter(F.col("size") > node_size)
         if large.isEmpty():
-            discard(kids)
+            discard(kids, sigs)
             return done, None
-        rows = large if level else large.join(classes.select("set_id", "sig"), "set_id")
-        keep = ("set_id", "component", "sig")
+        if sigs is None:
+            sigs = materialize(classes.select("set_id", "sig").join(large.select("set_id").distinct(), "set_id", "left_semi"),
+                               "branching")
+        rows = large.join(sigs, "set_id")
+    discard(sigs)
     return done, large.select("node", "set_id")
 
 
