@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pubspark.llm import (
-    byte_pair, chosen_paths, license_diagonals, personal_data, quality_rules, record_files, sequence_packing,
+    byte_pair, chosen_paths, license_diagonals, pair_sql, personal_data, quality_rules, record_files, sequence_packing,
     source_mix, spelling_variants, subspace_join, tag_paths, toxic_passages, vector_codes)
 from pubspark.llm.common import read_table
 
@@ -73,7 +73,8 @@ LLM_QUERIES = {f.__name__: f for f in (
     op1_subspace_join, op2_license_diagonals, op3_personal_data, op4_toxic_passages, op5_quality_rules, op6_tag_paths,
     op7_byte_pair, op8_chosen_paths, op9_sequence_packing, op10_record_files, op11_spelling_variants, op12_source_mix, op13_vector_codes)}
 
-LLM_ORACLE_SQL = {"op2_license_diagonals": license_diagonals.scan_sql(),
+LLM_ORACLE_SQL = {"op1_subspace_join": pair_sql.near_vectors_sql(), "op8_chosen_paths": pair_sql.near_duplicates_sql(),
+                  "op2_license_diagonals": license_diagonals.scan_sql(),
                   "op5_quality_rules": quality_rules.report_sql(),
                   "op11_spelling_variants": spelling_variants.variants_sql(),
                   "op13_vector_codes": vector_codes.codes_sql()}
