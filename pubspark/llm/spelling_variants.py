@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pubspark.llm.common import materialize
+from pubspark.llm.common import materialize, released, small_batches
 
 RUNS = re.compile("[A-Za-zÀ-ÿ]+")
 DELETE_EVERY = 31
@@ -81,7 +81,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def corpus_words(docs: DataFrame, least_count: int = LEAST_COUNT) -> DataFrame:
     """``word, n`` of all words with at least ``least_count`` occurrences."""
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(_count_words, "word string, n long")
+            .mapInArrow(released(_count_words), "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count))
 
 
@@ -192,7 +192,8 @@ def spelling_variants(docs: DataFrame, parts: int = PARTS, form_times: int = FOR
     ``form`` is the near word of largest ``n`` (ties: smallest in code-point order) if that is at
     least ``form_times`` the word's ``n``; ``root`` the last form reached from the word.
     """
-    words = materialize(corpus_words(docs), "words")
+    with small_batches(docs.sparkSession):
+        words = materialize(corpus_words(docs), "words")
     def way(word: str, near: str) -> Column:
         return F.struct(F.col(word).alias("word"), F.col(near).alias("near"), F.col(f"{near}_n").alias("near_n"))
 
