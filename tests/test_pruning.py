@@ -40,3 +40,13 @@ def test_report_on_pruned_tables(spark):
     assert sorted(map(str, whole.collect())) == sorted(map(str, some.collect()))
     missing = validation_report(*(pruned[t] for t in tables), checked_at=F.lit(None)).where("status = 'fail'")
     assert missing.count() == 1
+
+
+def test_envelope_files_are_compressed_and_bounded(spark, scratch_dir):
+    path, n = os.path.join(scratch_dir, "in"), catalog.ENVELOPES_PER_FILE
+    rows = spark.range(n + 5, numPartitions=1).select(F.format_string('{"message": {"items": [%d]}}', "id").alias("envelope"),
+                                                      F.lit("r").alias("run"))
+    catalog.write_envelopes(rows, path)
+    files = [f for f in os.listdir(f"{path}/run=r") if f.endswith(".txt.gz")]
+    assert len(files) == 2
+    assert spark.read.text(path).count() == n + 5
