@@ -50,3 +50,23 @@ def test_envelope_files_are_compressed_and_bounded(spark, scratch_dir):
     files = [f for f in os.listdir(f"{path}/run=r") if f.endswith(".txt.gz")]
     assert len(files) == 2
     assert spark.read.text(path).count() == n + 5
+
+
+def test_a_streamed_run_comes_in_few_files(spark, monkeypatch):
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stream(spark, path, *args, **kwargs):
+        seen.append(path)
+        raise Stop
+
+    monkeypatch.setattr(catalog, "start_bronze_stream", stream)
+    try:
+        catalog.q_streamed_works(spark, SF)
+    except Stop:
+        pass
+    files = [len([f for f in os.listdir(f"{seen[0]}/{d}") if f.startswith("part-")])
+             for d in os.listdir(seen[0]) if d.startswith("run=")]
+    assert files and max(files) == 1
