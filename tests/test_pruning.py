@@ -4,10 +4,12 @@ import os
 
 from pyspark.sql import functions as F
 
+from pubspark.operators import profiling
+from pubspark.operators.parse import parse_items
 from pubspark.operators.silver import build_silver, silver_publications
 from pubspark.operators.validation import validation_report
 from pubspark.plans import catalog
-from tests.helpers import bronze_of
+from tests.helpers import bronze_of, raw_df
 
 SF = "/root/testdata/sf0.001"
 ITEMS = [{"DOI": f"10.1/{i % 7}", "title": [f"t{i}"], "type": "book" if i % 2 else "article", "author": [{"name": "n"}],
@@ -70,3 +72,20 @@ def test_a_streamed_run_comes_in_few_files(spark, monkeypatch):
     files = [len([f for f in os.listdir(f"{seen[0]}/{d}") if f.startswith("part-")])
              for d in os.listdir(seen[0]) if d.startswith("run=")]
     assert files and max(files) == 1
+
+
+def test_path_inventory_takes_only_the_wanted_fields(spark, monkeypatch):
+    plans = []
+
+    def land(df, name):
+        if name == "values":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, name)
+
+    kept = profiling.land
+    monkeypatch.setattr(profiling, "land", land)
+    items = parse_items(raw_df(spark, [*ITEMS, {"title": None, "author": {"a": [1]}}, ["title"], "x"])).where("item IS NOT NULL")
+    got = profiling.path_inventory(items, fields=("title", "author")).where("path <> ''")
+    assert "variant_explode" not in plans[0]
+    every = profiling.path_inventory(items).where("path LIKE 'title%' OR path LIKE 'author%'")
+    assert got.count() and sorted(map(str, got.collect())) == sorted(map(str, every.collect()))
