@@ -2,13 +2,17 @@ r"""MinHash near-de-duplication by chosen-path set-similarity join.
 
 A text's set: its distinct 5-word shingles (words ``[^\x20\x09-\x0D]+``, A-Z lower-cased; fewer
 words: the whole sequence as one; none: empty), as 64-bit hashes. Texts with equal sets
-are one class, linked from the start. Classes carry ``COORDINATES`` minwise values.
+are one class, linked from the start. Classes carry ``COORDINATES`` minwise values of 16 bits; the
+first ``WIDE`` of them also have 16 more bits, kept behind the others. Each tree's root branches by its
+own two of these, so that unrelated classes hardly meet however many there are.
 
 *Trees.* In each of ``trees`` independent trees the classes start at the root. A node of more
-than ``node_size`` classes branches: one or two coordinates, picked by the node's own hash, send
-each class to the child named by its minwise value there. Similar sets stay together with the
+than ``node_size`` classes branches: one or two coordinates, below the root picked by the node's own hash,
+send each class to the child named by its minwise value there. Similar sets stay together with the
 probability of their similarity per chosen coordinate, unrelated ones part. Nodes of one class
-are dropped, small ones become leaves. A node still large after ``depth`` levels is compared with its
+are dropped, small ones become leaves. So does a large one that is one component but for at most
+``PART`` classes: these meet every part of the component (``deal_all``), which takes rows in proportion to
+the node, and it branches no further. A node still large after ``depth`` levels is compared with its
 head first, the class with the most links so far; what is then not one component is dealt into parts of
 ``PART`` classes, and every two parts meet (``deal_all``), so that no pair of the node is left out and
 no node meets in one task. That work grows with the square of such a node's classes.
@@ -52,6 +56,8 @@ from pubspark.llm.components import connected_components
 SHINGLE = 5
 #: Minwise values of a signature, all of which the trees branch by, and those of the first estimate.
 COORDINATES, BRIEF = 96, 48
+#: Coordinates with 32 bits, for the roots.
+WIDE = 32
 FIRST_TREES, FIRST_DEPTH = 2, 6
 #: Classes of a part of a large node whose parts all meet.
 PART = 128
@@ -98,11 +104,12 @@ def shingle_set(text: str) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """For each coordinate the low 16 bits of the smallest hashed shingle."""
+    """For each coordinate the low 16 bits of the smallest hashed shingle, then for the first ``WIDE``
+    ones the 16 bits above."""
     low = np.full(COORDINATES, np.iinfo(np.uint64).max)
     for i in range(0, len(shingles), 4096):
         np.minimum(low, (shingles[i:i + 4096, None] * _FACTORS + _OFFSETS).min(axis=0), out=low)
-    return low.astype("<u2").tobytes()
+    return low.astype("<u2").tobytes() + (low[:WIDE] >> np.uint64(16)).astype("<u2").tobytes()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -125,27 +132,43 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def branch(rows: DataFrame, level: int, keep: tuple[str, ...]) -> DataFrame:
-    """``node`` and ``keep`` of the nodes' children; rows have ``node``, ``sig`` and ``keep``."""
+    """``node`` and ``keep`` of the nodes' children; rows have ``node``, ``sig`` and ``keep``, those of
+    the roots (level 0) also ``tree``."""
     second = int(1000 * SECOND_CHILD[min(level, len(SECOND_CHILD) - 1)])
     node = F.col("node")
 
     def child(at: Column) -> Column:
-        return F.xxhash64(node, at, F.substr(F.col("sig"), 2 * at + 1, F.lit(2)))
+        # the 16 bits above, empty beyond the wide coordinates
+        above = F.substr(F.col("sig"), 2 * at + 2 * COORDINATES + 1, F.lit(2))
+        return F.xxhash64(node, at, F.substr(F.col("sig"), 2 * at + 1, F.lit(2)), above)
 
-    first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES)).cast("int")
-    other = F.pmod(first + 1 + F.pmod(F.xxhash64(node, F.lit(2)), F.lit(COORDINATES - 1)).cast("int"),
-                   F.lit(COORDINATES)).cast("int")
+    if level == 0:
+        first, other = (F.pmod(2 * F.col("tree") + i, F.lit(WIDE)).cast("int") for i in (0, 1))
+    else:
+        first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES)).cast("int")
+        other = F.pmod(first + 1 + F.pmod(F.xxhash64(node, F.lit(2)), F.lit(COORDINATES - 1)).cast("int"),
+                       F.lit(COORDINATES)).cast("int")
     two = F.pmod(F.xxhash64(node, F.lit(3)), F.lit(1000)) < second
     children = F.when(two, F.array(child(first), child(other))).otherwise(F.array(child(first)))
     return rows.select(F.explode(children).alias("node"), *keep)
 
 
-def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
+def nearly_one(nodes: DataFrame) -> DataFrame:
+    """``node`` of those that are one component but for fewer other classes, at most ``PART``; ``nodes``
+    has ``node, component``."""
+    counts = nodes.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
+    rest = F.sum("n") - F.max("n")
+    return (counts.groupBy("node").agg(rest.alias("rest"), F.max("n").alias("main"))
+            .filter((F.col("rest") <= PART) & (F.col("rest") < F.col("main"))).select("node"))
+
+
+def leaves(classes: DataFrame, trees: range, node_size: int, depth: int,
+           joined: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """``leaf, set_id`` of the trees' leaves that hold classes of two components or more, and
     ``node, set_id`` of the nodes still large after ``depth`` levels, if any; ``classes`` has
-    ``set_id, component, sig``. Most classes are alone after one level; those of nodes that branch
-    again have their signatures written once, and each level's rows look them up instead of
-    carrying them."""
+    ``set_id, component, sig``, and ``joined`` tells that there are components of more than one class. Most
+    classes are alone after one level; those of nodes that branch again have their signatures
+    written once, and each level's rows look them up instead of carrying them."""
     rows = (classes.withColumn("tree", F.explode(F.lit(list(trees))))
             .withColumn("node", F.xxhash64("tree", F.lit("root"))))
     done = above_kids = sigs = None
@@ -157,9 +180,14 @@ def leaves(classes: DataFrame, trees: range, node_size: int, depth: int) -> tupl
         above, kids = above_kids, materialize(kids.join(sizes, "node"), f"nodes-{level}")
         above_kids = kids
         discard(above)
-        small = materialize(kids.filter(F.col("size") <= node_size).select(F.col("node").alias("leaf"), "set_id"), "leaves")
-        done = small if done is None else done.unionByName(small)
+        small = kids.filter(F.col("size") <= node_size).select(F.col("node").alias("leaf"), "set_id")
         large = kids.filter(F.col("size") > node_size)
+        if joined:
+            even = materialize(nearly_one(large), "nearly-one")
+            small = small.unionByName(deal_all(large.join(even, "node").select("node", "set_id", "component")))
+            large = large.join(even, "node", "left_anti")
+        small = materialize(small, "leaves")
+        done = small if done is None else done.unionByName(small)
         if large.isEmpty():
             discard(kids, sigs)
             return done, None
@@ -202,13 +230,14 @@ def deal_heads(nodes: DataFrame, classes: DataFrame, links: DataFrame, node_size
     return dealt.select("leaf", "set_id").unionByName(heads)
 
 
-def deal_all(nodes: DataFrame, classes: DataFrame, size: int = PART) -> DataFrame:
+def deal_all(nodes: DataFrame, classes: DataFrame | None = None, size: int = PART) -> DataFrame:
     """Leaves of large nodes in which every two classes of different components meet. The node's
     most frequent component is the main one, all other classes the rest; both are dealt
     into parts of about ``size`` classes, and every two parts of the rest, and every part of the
     rest and of the main one, make a leaf. Pairs are compared inside the leaves, never shuffled; the
-    rows made are classes times parts. ``classes`` has ``set_id, component``."""
-    known = nodes.join(classes.select("set_id", "component"), "set_id")
+    rows made are classes times parts. ``classes`` has ``set_id, component``; without it ``nodes``
+    has the component."""
+    known = nodes if classes is None else nodes.join(classes.select("set_id", "component"), "set_id")
     counts = known.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
     sizes = (counts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("main"))
              .filter(F.col("size") > F.col("main.n"))
@@ -288,7 +317,7 @@ def full_sets(docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFram
                 sets = [shingle_set(t) for t in some]
                 raw = [s.tobytes() for s in sets]
                 ids = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw]
-                yield as_batch([ids, raw, list(map(signature, sets))], schema)
+                yield as_batch([ids, raw, [signature(s)[:2 * COORDINATES] for s in sets]], schema)
 
     made = docs.join(keys, "doc_id", "left_semi").mapInArrow(released(run), "set_id long, shingles binary, sig binary")
     return materialize(made.dropDuplicates(["set_id"]), "sets")
@@ -341,6 +370,8 @@ def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int,
         sigs.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("set_id")
         .agg(F.min(F.struct("doc_id", "n", "sig")).alias("x"), F.count(F.lit(1)).alias("copies"))
         .select("set_id", "copies", "x.*"), "classes")
+    before, sigs = sigs, materialize(sigs.drop("sig"), "rows")  # the classes have the signatures
+    discard(before)
     links, parts, seen = None, None, None
 
     def components() -> DataFrame:
@@ -354,7 +385,8 @@ def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int,
         # by the short signatures first, so that the long ones are joined to few rows
         brief = known.select("set_id", "n", F.substr("sig", F.lit(1), F.lit(2 * BRIEF)).alias("sig"), "component")
         close = materialize(involved(rows, brief, percent, 1.5 * slack), "pairs-brief")
-        rows = involved(close, known.select("set_id", "n", "sig", "component"), percent, slack)
+        low = F.substr("sig", F.lit(1), F.lit(2 * COORDINATES)).alias("sig")
+        rows = involved(close, known.select("set_id", "n", low, "component"), percent, slack)
         if seen is not None:
             rows = rows.join(seen.select("leaf").distinct(), "leaf", "left_anti")
         rows = materialize(rows, "pairs")
@@ -379,7 +411,7 @@ def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int,
     if large is not None:
         compare(deal_heads(large, known, links, node_size), known)
         known = renewed(known)
-    rows, large = leaves(known, range(FIRST_TREES, trees), node_size, depth)
+    rows, large = leaves(known, range(FIRST_TREES, trees), node_size, depth, joined=True)
     compare(rows if large is None else rows.unionByName(deal_heads(large, known, links, node_size)), known)
     if large is not None:  # what is not one component yet, all against all
         known = renewed(known)

@@ -132,3 +132,23 @@ def test_clashing_names_with_a_repeated_row(spark):
     rows = [(1, text, 5, "a", "b"), (1, text, 5, "a", "b"), (2, text, 6, "c", "d"), (3, "other words", 7, "e", "f")]
     df = spark.createDataFrame(rows, "doc_id long, text string, copy_hash_id long, own_id string, copy_hash string")
     assert sorted(tuple(r) for r in C.keep_firsts(df).collect()) == [rows[0], rows[3]]
+
+
+def test_roots_tell_classes_apart_that_share_16_bits(spark):
+    r = random.Random(2)
+    rows = [(i, i, bytes(2 * C.COORDINATES) + r.randbytes(2 * C.WIDE)) for i in range(200)]
+    classes = spark.createDataFrame(rows, "set_id long, component long, sig binary")
+    found, large = C.leaves(classes, range(4), 16, 4)
+    assert found.count() < 20 and large is None  # few pairs share all 32
+
+
+def test_nodes_of_nearly_one_component_branch_no_further(spark):
+    rows = [(i, max(0, i - 295), bytes(2 * C.COORDINATES + 2 * C.WIDE)) for i in range(300)]  # all alike
+    classes = spark.createDataFrame(rows, "set_id long, component long, sig binary")
+    found, large = C.leaves(classes, range(1), 16, 6, joined=True)
+    met = defaultdict(set)
+    for row in found.groupBy("leaf").agg({"set_id": "collect_list"}).collect():
+        for i in row[1]:
+            met[i].update(row[1])
+    assert large is None and all(met[i] == set(range(300)) for i in range(296, 300))
+    assert found.count() < 2 * 2 * 300  # two children at most
