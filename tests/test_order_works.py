@@ -21,3 +21,14 @@ def test_authors_are_made_after_the_shuffle_of_lines(spark, scratch_dir):
     assert found["1"]["reference-count"] == 4 and "author" not in found["2"] and "reference-count" not in found["2"]
     line = W.lines_per_order(spark, scratch_dir).schema["lines"].dataType.elementType
     assert line.names == LINES.replace("l_orderkey long, ", "").replace(",", "").split()[::2]
+
+
+def test_authors_are_made_in_generated_code(spark, scratch_dir):
+    spark.range(0).selectExpr("id o_orderkey", "id o_custkey", "'' o_orderstatus", "0D o_totalprice", "now() o_orderdate",
+                              "'' o_orderpriority").write.parquet(f"{scratch_dir}/orders.parquet")
+    spark.createDataFrame([], LINES).write.parquet(f"{scratch_dir}/lineitem.parquet")
+    plan = W.order_works(spark, scratch_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan  # a lambda, which is interpreted
+    numbers = spark.createDataFrame([(n,) for n in (None, -12345, -5, 0, 7, 999, 9999, 10000, 123456)], "n long")
+    for padded, plain in numbers.selectExpr(W._four_digits("n"), "format_string('%04d', n)").collect():
+        assert padded == plain
