@@ -23,21 +23,17 @@ class ChunkEncoder:
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        found = [list(map(young.get, d)) for d in docs]
-        open_docs = [k for k, ids in enumerate(found) if None in ids]
-        missing = {c for k in open_docs for c, ids in zip(docs[k], found[k], strict=True) if ids is None}
+        # Two passes over the chunks, both without Python code per chunk: most are known.
         new, passing = [], {}
-        for c in missing:
+        for c in set().union(*docs).difference(young):
             if c in old:
                 young[c] = old[c]
             else:
                 new.append(c)
         for c, ids in zip(new, self.encode_many(new), strict=True):
             (young if len(c) <= self.longest else passing)[c] = ids
-        for k in open_docs:
-            found[k] = [ids if ids is not None else passing[c] if c in passing else young[c]
-                        for c, ids in zip(docs[k], found[k], strict=True)]
-        return list(map(b"".join, found))
+        ids_of = (lambda c: passing[c] if c in passing else young[c]) if passing else young.__getitem__
+        return [b"".join(map(ids_of, d)) for d in docs]
 
 
 def slices(items: list[str], most_chars: int = 1_000_000) -> Iterable[list[str]]:

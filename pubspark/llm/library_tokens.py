@@ -5,17 +5,18 @@ from __future__ import annotations
 import gc
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 from pubspark.llm.chunk_cache import ChunkEncoder
 
+# Both begin with the character looked for, to which a search can skip, and look behind from there.
 #: A space here does not surely begin a new piece: white space on both sides of it.
-_UNSAFE = re.compile(r"\s \s|\s \Z")
+_UNSAFE = re.compile(r" (?<=\s )(?=\s|\Z)")
 
 
 #: A sign between a letter and a space is a piece of its own.
-_SIGN = re.compile(r"(?<=[A-Za-z])([.,])(?= )")
+_SIGN = re.compile(r"[.,](?<=[A-Za-z][.,])(?= )")
 
 
 def split_words(text: str) -> list[str]:
@@ -23,7 +24,7 @@ def split_words(text: str) -> list[str]:
     and single closing signs. ASCII texts are lower-cased first, so that words at the head
     of a sentence are no chunks of their own."""
     text = text.replace("\n", " ")
-    return _SIGN.sub(r" \1", text.lower() if text.isascii() else text).split(" ")
+    return _SIGN.sub(r" \g<0>", text.lower() if text.isascii() else text).split(" ")
 
 
 def split_spaced(text: str) -> list[str]:
@@ -32,7 +33,15 @@ def split_spaced(text: str) -> list[str]:
     chunk."""
     if "\0" in text or _UNSAFE.search(text):
         return [text]
-    return _SIGN.sub("\0\\1", text).replace(" ", "\0 ").split("\0")
+    return _SIGN.sub("\0\\g<0>", text).replace(" ", "\0 ").split("\0")
+
+
+def little_endian(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit bytes."""
+    raw = array("I", ids)
+    if sys.byteorder == "big":
+        raw.byteswap()
+    return raw.tobytes()
 
 
 class LibraryEncoder:
@@ -54,7 +63,7 @@ class LibraryEncoder:
         out = []
         for i in range(0, len(chunks), 10_000):
             found = self.tokenizer.encode_batch_fast(chunks[i:i + 10_000], add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in found]
+            out += [little_endian(e.ids) for e in found]
         return out
 
     def encode_all(self, docs: list[str]) -> list[bytes]:
