@@ -7,10 +7,11 @@ first ``WIDE`` of them also have 16 more bits, kept behind the others. Each tree
 own two of these, so that unrelated classes hardly meet however many there are.
 
 *Trees.* In each of ``trees`` independent trees the classes start at the root. A node of more
-than ``node_size`` classes branches: one or two coordinates, below the root picked by the node's own hash,
-send each class to the child named by its minwise value there. Similar sets stay together with the
+than ``node_size`` classes, or of more than ``FEW`` whose sets have over ``LEAF_SHINGLES`` shingles in all, branches:
+one or two coordinates, below the root picked by the node's own hash, send each class to the child named by its minwise value there. Similar sets stay together with the
 probability of their similarity per chosen coordinate, unrelated ones part. Nodes of one class
-are dropped, small ones become leaves. So does a large one that is one component but for at most
+are dropped, small ones become leaves: a group of texts alike, most of whose children would hold nearly all of it
+again at every level, is mostly compared in full at once. So does a large one that is one component but for at most
 ``PART`` classes: these meet every part of the component (``deal_all``), which takes rows in proportion to
 the node, and it branches no further. A node still large after ``depth`` levels is compared with its
 head first, the class with the most links so far; what is then not one component is dealt into parts of
@@ -18,8 +19,8 @@ head first, the class with the most links so far; what is then not one component
 no node meets in one task. That work grows with the square of such a node's classes.
 
 *Leaves* are compared exhaustively: size bound and minwise estimate (from half the values, then all)
-first, then full sets, where pairs already connected inside the leaf are passed over. Between
-these steps a leaf is cut into the parts that candidate pairs connect, and equal parts of different
+first, then full sets, each class with all others by one count over the holders of its shingles; classes already
+connected to the most typical one are passed over. Between these steps a leaf is cut into the parts that candidate pairs connect, and equal parts of different
 leaves become one. A leaf yields a spanning set of its
 links, at most one less than its classes. The first ``FIRST_TREES`` trees' links (their large nodes
 only meet in part) are made into components; in the other trees, nodes inside one component are dropped too, and leaves only test
@@ -59,6 +60,9 @@ COORDINATES, BRIEF = 96, 48
 #: Coordinates with 32 bits, for the roots.
 WIDE = 32
 FIRST_TREES, FIRST_DEPTH = 2, 6
+#: Classes that make a leaf whatever the size of their sets, and the shingles of the sets of larger leaves, which
+#: come into one task's memory together.
+FEW, LEAF_SHINGLES = 48, 1 << 20
 #: Classes of a part of a large node whose parts all meet.
 PART = 128
 #: Chance of a second child by level; deeper levels hold groups of similar sets and need less.
@@ -166,22 +170,25 @@ def leaves(classes: DataFrame, trees: range, node_size: int, depth: int,
            joined: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """``leaf, set_id`` of the trees' leaves that hold classes of two components or more, and
     ``node, set_id`` of the nodes still large after ``depth`` levels, if any; ``classes`` has
-    ``set_id, component, sig``, and ``joined`` tells that there are components of more than one class. Most
+    ``set_id, component, sig`` and, for the bound on a leaf's shingles, ``n``; ``joined`` tells that there are
+    components of more than one class. Most
     classes are alone after one level; those of nodes that branch again have their signatures
     written once, and each level's rows look them up instead of carrying them."""
-    rows = (classes.withColumn("tree", F.explode(F.lit(list(trees))))
+    size = F.col("n") if "n" in classes.columns else F.lit(1)
+    rows = (classes.withColumn("tree", F.explode(F.lit(list(trees)))).withColumn("n", size)
             .withColumn("node", F.xxhash64("tree", F.lit("root"))))
+    fits = (F.col("size") <= node_size) & ((F.col("size") <= FEW) | (F.col("shingles") <= LEAF_SHINGLES))
     done = above_kids = sigs = None
     for level in range(depth):
-        kids = branch(rows, level, ("set_id", "component"))
-        sizes = (kids.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"),
-                                          F.max("component").alias("high"))
-                 .filter("low <> high").select("node", "size"))
+        kids = branch(rows, level, ("set_id", "component", "n"))
+        sizes = (kids.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"),
+                                          F.min("component").alias("low"), F.max("component").alias("high"))
+                 .filter("low <> high").select("node", fits.alias("fits")))
         above, kids = above_kids, materialize(kids.join(sizes, "node"), f"nodes-{level}")
         above_kids = kids
         discard(above)
-        small = kids.filter(F.col("size") <= node_size).select(F.col("node").alias("leaf"), "set_id")
-        large = kids.filter(F.col("size") > node_size)
+        small = kids.filter("fits").select(F.col("node").alias("leaf"), "set_id")
+        large = kids.filter(~F.col("fits"))
         if joined:
             even = materialize(nearly_one(large), "nearly-one")
             small = small.unionByName(deal_all(large.join(even, "node").select("node", "set_id", "component")))
@@ -260,15 +267,24 @@ def deal_all(nodes: DataFrame, classes: DataFrame | None = None, size: int = PAR
     return rest.unionByName(main)
 
 
-def candidate_pairs(n: np.ndarray, sig: np.ndarray, group: np.ndarray, percent: int, slack: float) -> tuple[np.ndarray, ...]:
-    """Positions ``i < j`` in different groups that the sizes and the minwise estimate allow,
-    the most alike first."""
-    share = np.concatenate([(sig[k:k + 32, None, :] == sig[None, :, :]).mean(axis=2) for k in range(0, len(sig), 32)])
-    low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
-    may = (100 * low >= percent * high) & (share >= percent / 100 - slack) & (group[:, None] != group[None, :])
-    i, j = np.nonzero(np.triu(may, 1))
-    order = np.argsort(-share[i, j], kind="stable")
-    return i[order], j[order]
+def candidate_pairs(n: np.ndarray, sig: np.ndarray, group: np.ndarray, percent: int,
+                    slack: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Positions ``i`` with those ``j > i``, in different groups, that the sizes and the minwise estimate
+    allow; some rows are examined at a time."""
+    values = np.ascontiguousarray(sig.T)
+    for k in range(0, len(n), 32):
+        if len(n) <= 64:
+            same = (sig[k:k + 32, None, :] == sig[None, k:, :]).sum(axis=2)
+        else:
+            same = np.zeros((min(32, len(n) - k), len(n) - k), np.uint8)
+            for v in values:
+                same += v[k:k + 32, None] == v[None, k:]
+        low, high = np.minimum(n[k:k + 32, None], n[None, k:]), np.maximum(n[k:k + 32, None], n[None, k:])
+        may = ((100 * low >= percent * high) & (same >= (percent / 100 - slack) * len(values))
+               & (group[k:k + 32, None] != group[None, k:]))
+        may = np.triu(may, 1)
+        for i in np.flatnonzero(may.any(axis=1)).tolist():
+            yield k + i, k + np.flatnonzero(may[i])
 
 
 def involved(leaf_rows: DataFrame, classes: DataFrame, percent: int, slack: float) -> DataFrame:
@@ -296,34 +312,34 @@ def connected_parts(rows: list[dict], percent: int, slack: float) -> list[list[i
     sig = np.frombuffer(b"".join(r["sig"] for r in rows), "<u2").reshape(len(rows), -1)
     n, component = (np.array([r[c] for r in rows]) for c in ("n", "component"))
     group = np.arange(len(rows))
-    for i, j in zip(*candidate_pairs(n, sig, component, percent, slack), strict=True):
-        if group[i] != group[j]:
-            group[group == group[j]] = group[i]
+    for i, near in candidate_pairs(n, sig, component, percent, slack):
+        met = np.unique(group[np.append(near, i)])
+        if len(met) > 1:
+            group[np.isin(group, met)] = met[0]
     ids = np.array([r["set_id"] for r in rows])
     return [sorted(ids[group == g].tolist()) for g in np.unique(group) if (group == g).sum() > 1]
 
 
 def full_sets(docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``set_id, shingles, sig`` of the wanted classes, from the text of each one's first document."""
+    """``set_id, shingles`` of the wanted classes, from the text of each one's first document."""
     keys = firsts.join(wanted.select("set_id").distinct(), "set_id").select("doc_id").distinct()
     keys = materialize(keys, "wanted")
     # beyond the bound both sides are shuffled
     keys = F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys
-    schema = pa.schema([("set_id", pa.int64()), ("shingles", pa.binary()), ("sig", pa.binary())])
+    schema = pa.schema([("set_id", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for some in slices(texts(b)):
-                sets = [shingle_set(t) for t in some]
-                raw = [s.tobytes() for s in sets]
+                raw = [shingle_set(t).tobytes() for t in some]
                 ids = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in raw]
-                yield as_batch([ids, raw, [signature(s)[:2 * COORDINATES] for s in sets]], schema)
+                yield as_batch([ids, raw], schema)
 
-    made = docs.join(keys, "doc_id", "left_semi").mapInArrow(released(run), "set_id long, shingles binary, sig binary")
+    made = docs.join(keys, "doc_id", "left_semi").mapInArrow(released(run), "set_id long, shingles binary")
     return materialize(made.dropDuplicates(["set_id"]), "sets")
 
 
-def confirmed(leaf_rows: DataFrame, sets: DataFrame, percent: int, slack: float) -> DataFrame:
+def confirmed(leaf_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links of full sets that span each leaf's connected classes."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -331,30 +347,45 @@ def confirmed(leaf_rows: DataFrame, sets: DataFrame, percent: int, slack: float)
         for b in batches:
             out: list[tuple[int, int]] = []
             for rows in b.column("rows"):
-                out += spanning_links(rows.as_py(), percent, slack)
+                out += spanning_links(rows.as_py(), percent)
             if out:
                 yield as_batch(zip(*out, strict=True), schema)
 
     grouped = leaf_rows.join(sets, "set_id").groupBy("leaf").agg(
-        F.collect_list(F.struct("set_id", "shingles", "sig")).alias("rows"))
+        F.collect_list(F.struct("set_id", "shingles")).alias("rows"))
     return grouped.mapInArrow(released(run), "a long, b long").distinct()
 
 
-def spanning_links(rows: list[dict], percent: int, slack: float) -> list[tuple[int, int]]:
-    sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
-    sig = np.frombuffer(b"".join(r["sig"] for r in rows), "<u2").reshape(len(rows), -1)
-    group = np.arange(len(rows))
+def spanning_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
+    """Links that span the connected classes of a leaf. Each class is compared with all others by counting the
+    holders of its shingles, unless it is connected to the most typical class: of two classes that end
+    apart, one at least is never connected to that one."""
+    ids, sets = [r["set_id"] for r in rows], [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+    size = np.array(list(map(len, sets)))
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, shingle, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holders, ends = owner[np.argsort(shingle, kind="stable")], np.cumsum(times)
+    begin = np.cumsum(size) - size
+    order = np.argsort(-np.bincount(owner, times[shingle]) / size, kind="stable").tolist()
+    group = np.arange(len(sets))
     out = []
-    for i, j in zip(*candidate_pairs(np.array(list(map(len, sets))), sig, group, percent, slack), strict=True):
-        if group[i] != group[j]:
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                group[group == group[j]] = group[i]
-                out.append((rows[i]["set_id"], rows[j]["set_id"]))
+    for i in order:
+        if i != order[0] and group[i] == group[order[0]]:
+            continue
+        both = np.zeros(len(sets), np.int64)
+        for k in range(begin[i], begin[i] + size[i], 1024):
+            own = shingle[k:min(k + 1024, begin[i] + size[i])]
+            at = np.arange(times[own].sum()) + np.repeat(ends[own] - np.cumsum(times[own]), times[own])
+            both += np.bincount(holders[at], minlength=len(sets))
+        linked = np.flatnonzero(100 * both >= percent * (size + size[i] - both))
+        met, first = np.unique(group[linked], return_index=True)  # its own group among them
+        out += [(ids[i], ids[j]) for j in linked[first[met != group[i]]].tolist()]
+        if len(met) > 1:
+            group[np.isin(group, met)] = met[0]
     return out
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, trees: int = 10, node_size: int = 48, depth: int = 14,
+def near_duplicates(docs: DataFrame, percent: int = 85, trees: int = 10, node_size: int = 2048, depth: int = 14,
                     slack: float = 0.16) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``, and ``own``, a hash of
     the text."""
@@ -393,7 +424,7 @@ def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int,
         discard(close)
         seen = rows if seen is None else seen.unionByName(rows)
         sets = full_sets(docs, classes.select("set_id", "doc_id"), rows)
-        own = materialize(confirmed(rows, sets, percent, slack), "confirmed")
+        own = materialize(confirmed(rows, sets, percent), "confirmed")
         links = own if links is None else links.unionByName(own)
         before, parts = parts, connected_components(links)
         discard(before)
@@ -404,15 +435,16 @@ def _near_duplicates(docs: DataFrame, percent: int, trees: int, node_size: int,
         discard(known)
         return now
 
+    few = min(node_size, FEW)  # classes of a leaf of dealt nodes, whose sets may be large
     known = components()
     rows, large = leaves(known, range(FIRST_TREES), node_size, FIRST_DEPTH)
-    compare(rows if large is None else rows.unionByName(deal_once(large, known, node_size)), known)
+    compare(rows if large is None else rows.unionByName(deal_once(large, known, few)), known)
     known = renewed(known)
     if large is not None:
-        compare(deal_heads(large, known, links, node_size), known)
+        compare(deal_heads(large, known, links, few), known)
         known = renewed(known)
     rows, large = leaves(known, range(FIRST_TREES, trees), node_size, depth, joined=True)
-    compare(rows if large is None else rows.unionByName(deal_heads(large, known, links, node_size)), known)
+    compare(rows if large is None else rows.unionByName(deal_heads(large, known, links, few)), known)
     if large is not None:  # what is not one component yet, all against all
         known = renewed(known)
         compare(deal_all(large, known), known)

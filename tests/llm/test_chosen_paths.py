@@ -152,3 +152,57 @@ def test_nodes_of_nearly_one_component_branch_no_further(spark):
             met[i].update(row[1])
     assert large is None and all(met[i] == set(range(300)) for i in range(296, 300))
     assert found.count() < 2 * 2 * 300  # two children at most
+
+
+def test_groups_of_texts_alike_are_not_branched_level_by_level(spark):
+    # a large group below the threshold to one another: no component lets its nodes stop
+    r = random.Random(3)
+    base = r.randbytes(2 * C.COORDINATES + 2 * C.WIDE)
+    rows = []
+    for i in range(900):
+        changed = bytearray(base)
+        for k in r.sample(range(C.COORDINATES), C.COORDINATES // 4):
+            changed[2 * k:2 * k + 2] = r.randbytes(2)
+        rows.append((i, i, 150, bytes(changed)))
+    settings = {k: v.default for k, v in inspect.signature(C.near_duplicates).parameters.items()}
+    classes = spark.createDataFrame(rows, "set_id long, component long, n long, sig binary")
+    found, large = C.leaves(classes, range(2, 4), settings["node_size"], settings["depth"])
+    assert large is None and found.count() <= 2 * 2 * len(rows)
+    met = found.groupBy("leaf").count().agg({"count": "max"}).first()[0]
+    assert met > 300
+
+
+def test_large_sets_do_not_meet_in_one_leaf(spark):
+    rows = [(i, i, C.LEAF_SHINGLES // 64, i.to_bytes(2) * (C.COORDINATES + C.WIDE)) for i in range(100)]
+    rows += [(100 + i, 100 + i, C.LEAF_SHINGLES // 64, bytes(2 * C.COORDINATES + 2 * C.WIDE)) for i in range(100)]
+    classes = spark.createDataFrame(rows, "set_id long, component long, n long, sig binary")
+    found, large = C.leaves(classes, range(1), 2048, 2)
+    assert found.count() == 0 and large.select("set_id").distinct().count() == 101
+
+
+def test_links_of_a_leaf_span_what_all_pairs_would(spark):
+    r = random.Random(9)
+    bases = [[f"{b}w{k}" for k in range(90)] for b in range(4)]
+    texts = [""]
+    for i in range(400):
+        w = bases[i % 4][:r.choice((90, 84, 70))]
+        for _ in range(r.choice((0, 1, 2, 3, 5))):
+            w[r.randrange(len(w))] = f"v{r.randrange(40)}"
+        texts.append(" ".join(w))
+    sets = {i: C.shingle_set(t) for i, t in enumerate(texts) if t}
+    links = C.spanning_links([{"set_id": i, "shingles": s.tobytes()} for i, s in sets.items()], 85)
+    up = list(range(len(texts)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, j in links:
+        both = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+        assert 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both) and find(i) != find(j)
+        up[find(i)] = find(j)
+    low = {}
+    for i in sets:
+        low[find(i)] = min(low.get(find(i), i), i)
+    assert [low[find(i)] for i in sets] == [c for _, _, c, _ in sorted(brute([(i, texts[i]) for i in sets]))]
