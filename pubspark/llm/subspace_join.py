@@ -8,10 +8,12 @@ dimensions. By the pigeonhole principle, linked vectors differ within the budget
 Each block is range-joined by that budget. Its space is cut into Voronoi cells around
 ``cells`` pivots (vectors' blocks from a hash sample of about ``sample_rows`` rows; the result
 does not depend on the choice). A vector is at home in its nearest pivot's cell and probes each
-earlier cell that can hold a point within the radius, by the cell's measured radius and by the
-distance to the bisecting plane. Homes are dealt into runs of about ``run_rows`` vectors, probes go to
-every run, and a run's own pairs and its pairs with other runs of its cell are met once. A task
-holds one run at a time and streams the probes past it.
+cell that can hold a point within the radius, by the cell's measured radius and by the
+distance to the bisecting plane.
+
+Vectors are written once, in files (runs) of at most ``run_rows``. A task has a part of them, a few
+runs, at home by block and cell, and reads later parts past it; every two parts meet in one task.
+So nothing but links is shuffled, and disk grows with the table, not with the pairs compared.
 
 Candidates are verified exactly by cosine in double precision from the vectors as given. A link
 counts in the first block whose budget it meets, so never twice. Tasks return link counts
@@ -30,14 +32,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubspark.llm.common import as_batch, materialize
+from pubspark.llm.common import as_batch, materialize, released, shared_folder
 from pubspark.llm.components import connected_components
+from pubspark.llm.record_files import file_system
 
 #: Relative and absolute slack of distance bounds against rounding; verification is exact.
 EASE, EDGE = 1 + 1e-9, 1e-9
+#: The same for squared distances of blocks of unit vectors in single precision.
+ROUGH = 1e-5
+#: Runs in a part, and the most parts that one task reads past another; the sizes of what is compared at once.
+PART_RUNS, PASSING_PARTS = 8, 8
+BATCH_ROWS, SLICE, PORTION = 8192, 4_000_000, 200_000
 
 
 @dataclass(frozen=True)
@@ -58,13 +67,12 @@ def rotation(dims: int, seed: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Blocks:
-    """The cut of rotated unit vectors into blocks, their budgets, pivots and cell radii."""
+    """The cut of rotated unit vectors into blocks, their budgets and pivots."""
 
     rotate: np.ndarray
     bounds: tuple[tuple[int, int], ...]
     budgets: tuple[float, ...]
     pivots: tuple[np.ndarray, ...] = ()
-    radii: tuple[np.ndarray, ...] = ()
 
     def rotated(self, vectors: np.ndarray) -> np.ndarray:
         return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ self.rotate
@@ -96,8 +104,8 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def choose_pivots(classes: DataFrame, blocks: Blocks, dims: int, settings: Settings) -> Blocks:
-    """Pivots from a hash sample, thinned so that none lies close to another; radii over all rows."""
+def choose_pivots(classes: DataFrame, blocks: Blocks, settings: Settings) -> Blocks:
+    """Pivots from a hash sample, thinned so that none lies close to another."""
     n = classes.count()
     share = min(1.0, settings.sample_rows / max(n, 1))
     sample = classes.filter(F.pmod(F.xxhash64("set_id", F.lit("pivot")), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
@@ -117,198 +125,216 @@ def choose_pivots(classes: DataFrame, blocks: Blocks, dims: int, settings: Setti
             chosen.append(k)
             far = np.minimum(far, ((own - own[k]) ** 2).sum(1))
         pivots.append(own[chosen])
-    ready = Blocks(blocks.rotate, blocks.bounds, blocks.budgets, tuple(pivots))
-    schema = pa.schema([("block", pa.int32()), ("cell", pa.int32()), ("radius", pa.float64()), ("n", pa.int64())])
+    return Blocks(blocks.rotate, blocks.bounds, blocks.budgets, tuple(pivots))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            y = ready.rotated(matrix(batch.column("vector"), dims).astype(np.float64))
-            out = []
-            for k in range(len(ready.bounds)):
-                d = ready.distances(y, k)
-                home = d.argmin(1)
-                near = d[np.arange(len(d)), home]
-                for c in np.unique(home):
-                    out.append((k, int(c), float(near[home == c].max()), int((home == c).sum())))
-            yield as_batch(zip(*out, strict=True), schema)
-
-    # a row per block and cell, however many vectors there are
-    found = (classes.select("vector").mapInArrow(run, "block int, cell int, radius double, n long")
-             .groupBy("block", "cell").agg(F.max("radius").alias("radius"), F.sum("n").alias("n")).collect())
-    radii = [np.full(len(p), -1.0) for p in ready.pivots]
-    for r in found:
-        radii[r["block"]][r["cell"]] = r["radius"] * EASE + EDGE
-    runs = {(r["block"], r["cell"]): -(-r["n"] // settings.run_rows) for r in found}
-    return Blocks(ready.rotate, ready.bounds, ready.budgets, ready.pivots, tuple(radii)), runs
-
-
-def route(classes: DataFrame, blocks: Blocks, runs: dict[tuple[int, int], int], dims: int) -> DataFrame:
-    """``block, cell, run, role, set_id, copies, vector``: each class at home (role 0) in one run
-    of its cell per block, and as a probe (role 1) in all runs that it must be compared with."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gap = [np.sqrt(((p[:, None, :] - p[None, :, :]) ** 2).sum(2)) for p in blocks.pivots]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("set_id").to_numpy()
-            y = blocks.rotated(matrix(batch.column("vector"), dims).astype(np.float64))
-            for k in range(len(blocks.bounds)):
-                d = blocks.distances(y, k)
-                home = d.argmin(1)
-                near = d[np.arange(len(d)), home]
-                reach = np.sqrt(blocks.budgets[k])
-                # within reach of the cell's ball, and of the far side of the bisecting plane
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    plane = (d ** 2 - near[:, None] ** 2) / (2 * gap[k][home])
-                probe = (d <= blocks.radii[k][None, :] + reach) & ~(plane > reach * EASE + EDGE)
-                probe &= np.arange(d.shape[1])[None, :] < home[:, None]
-                rows = [(i, int(c), r, 0 if r == mine else 1)
-                        for i, c in enumerate(home)
-                        for mine in (int(ids[i] % runs[k, int(c)]),)
-                        for r in range(mine + 1)]
-                rows += [(i, int(c), r, 1) for i, c in zip(*np.nonzero(probe), strict=True)
-                         for r in range(runs.get((k, int(c)), 0))]
-                take = pa.array([r[0] for r in rows], pa.int64())
-                part = batch.take(take)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k] * len(rows), pa.int32()), *(pa.array([r[j] for r in rows], pa.int32()) for j in (1, 2, 3)),
-                     part.column("set_id"), part.column("copies"), part.column("vector")],
-                    names=["block", "cell", "run", "role", "set_id", "copies", "vector"])
-
-    kind = classes.schema["vector"].dataType.simpleString()
-    return classes.select("set_id", "copies", "vector").mapInArrow(
-        run, f"block int, cell int, run int, role int, set_id long, copies long, vector {kind}")
-
-
-class Run:
-    """The home vectors of one run, and what is found for them and their probes."""
-
-    def __init__(self, block: int, blocks: Blocks, cosine: float):
-        self.block, self.blocks, self.cosine = block, blocks, cosine
-        self.parts: list[tuple] = []
-        self.home: tuple | None = None
-        self.counts: dict[int, int] = {}
-        self.group: dict[int, int] = {}
-        self.links: list[tuple[int, int]] = []
-
-    def _find(self, x: int) -> int:
-        while (up := self.group.setdefault(x, x)) != x:
-            self.group[x] = self.group[up]
-            x = self.group[x]
-        return x
-
-    def prepared(self, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> tuple:
-        v = vectors.astype(np.float64)
-        y = self.blocks.rotated(v)
-        a, b = self.blocks.bounds[self.block]
-        return ids, copies, v, np.sqrt((v * v).sum(1)), y, y[:, a:b], (y[:, a:b] ** 2).sum(1)
-
-    def add_home(self, part: tuple) -> None:
-        self.parts.append(part)
-
-    def close_home(self) -> None:
-        self.home = tuple(np.concatenate(x) for x in zip(*self.parts, strict=True)) if self.parts else None
-        self.parts = []
-        if self.home:
-            self.meet(self.home, inside=True)
-
-    def meet(self, other: tuple, inside: bool = False) -> None:
-        """Count the links of the home vectors with ``other``, in slices of bounded size."""
-        if self.home is None:
-            return
-        ids, copies, v, norm, y, x, square = self.home
-        budget = self.blocks.budgets[self.block]
-        step = max(1, 4_000_000 // len(ids))
-        for s in range(0, len(other[0]), step):
-            oids, ocopies, ov, onorm, oy, ox, osquare = (c[s:s + step] for c in other)
-            d = square[:, None] + osquare[None, :] - 2 * x @ ox.T
-            i, j = np.nonzero(d <= budget * EASE + EDGE)
-            if inside:
-                i, j = i[i < j + s], j[i < j + s]
-            for at in range(0, len(i), 200_000):
-                self._verify(i[at:at + 200_000], j[at:at + 200_000], self.home, (oids, ocopies, ov, onorm, oy))
-
-    def _verify(self, i: np.ndarray, j: np.ndarray, home: tuple, other: tuple) -> None:
-        cosine = (home[2][i] * other[2][j]).sum(1) / (home[3][i] * other[3][j])
-        sure = cosine >= self.cosine
-        i, j = i[sure], j[sure]
-        if not len(i):
-            return
-        gap = (home[4][i] - other[4][j]) ** 2
-        first = np.ones(len(i), bool)  # no earlier block's budget is met
-        for k in range(self.block):
-            a, b = self.blocks.bounds[k]
-            first &= ~(gap[:, a:b].sum(1) <= self.blocks.budgets[k])
-        a, b = self.blocks.bounds[self.block]
-        first &= gap[:, a:b].sum(1) <= self.blocks.budgets[self.block]
-        for p, q, np_, nq in zip(home[0][i[first]].tolist(), other[0][j[first]].tolist(),
-                                 home[1][i[first]].tolist(), other[1][j[first]].tolist(), strict=True):
-            self.counts[p] = self.counts.get(p, 0) + nq
-            self.counts[q] = self.counts.get(q, 0) + np_
-            up, uq = self._find(p), self._find(q)
-            if up != uq:
-                self.group[up] = uq
-                self.links.append((p, q))
-
-
-def joined_runs(routed: DataFrame, blocks: Blocks, dims: int, cosine: float) -> DataFrame:
-    """``a, b, n``: for b = a the links (with copies) counted for class a in one run; otherwise
-    one of the links that span a run."""
+
+def read_run(uri: str, dims: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``set_id, copies, vector`` of a run's file, in batches."""
+    source, name = file_system(uri)
+    with source.open_input_file(name) as f:
+        for batch in pq.ParquetFile(f).iter_batches(BATCH_ROWS, columns=["set_id", "copies", "vector"]):
+            if batch.num_rows:
+                yield (batch.column("set_id").to_numpy(), batch.column("copies").to_numpy(),
+                       matrix(batch.column("vector"), dims).astype(np.float64))
+
+
+@dataclass(frozen=True)
+class Part:
+    """Vectors as given, their lengths, and rotated unit vectors."""
+
+    ids: np.ndarray
+    copies: np.ndarray
+    vectors: np.ndarray
+    lengths: np.ndarray
+    rotated: np.ndarray
+
+    @classmethod
+    def of(cls, blocks: Blocks, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> Part:
+        return cls(ids, copies, vectors, np.sqrt((vectors * vectors).sum(1)), blocks.rotated(vectors))
+
+
+class Home:
+    """The vectors at home in a task by block and cell, and what is found for them and those that pass."""
+
+    def __init__(self, part: Part, blocks: Blocks, cosine: float):
+        self.part, self.blocks, self.cosine = part, blocks, cosine
+        n = len(part.ids)
+        self.counts = np.zeros(n, np.int64)
+        self.group = np.arange(n)  # the least vector known to be linked with each, by way of others
+        self.cells: list[tuple[list, np.ndarray, np.ndarray]] = []
+        for k, (a, b) in enumerate(blocks.bounds):
+            d = blocks.distances(part.rotated, k)
+            home = d.argmin(1)
+            near = d[np.arange(n), home]
+            radii = np.full(d.shape[1], -np.inf)  # of a cell without vectors: nothing comes near it
+            members = []
+            for c in np.unique(home):
+                own = np.flatnonzero(home == c)
+                radii[c] = near[own].max() * EASE + EDGE
+                x = part.rotated[own, a:b]
+                members.append((int(c), own, np.c_[x, np.ones(len(x)), (x * x).sum(1)].astype(np.float32)))
+            pivots = blocks.pivots[k]
+            gap = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(2))
+            self.cells.append((members, radii, gap))
+
+    def near(self, other: Part, k: int, inside: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (home, other) that may be within the budget of block ``k``; each at most once."""
+        members, radii, gap = self.cells[k]
+        a, b = self.blocks.bounds[k]
+        budget = self.blocks.budgets[k]
+        reach = np.sqrt(budget)
+        d = self.blocks.distances(other.rotated, k)
+        home = d.argmin(1)
+        near = d[np.arange(len(d)), home]
+        # within reach of the cell's ball, and of the far side of the bisecting plane
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = (d ** 2 - near[:, None] ** 2) / (2 * gap[home])
+        probe = (d <= radii[None, :] + reach) & ~(plane > reach * EASE + EDGE)
+        x = other.rotated[:, a:b]
+        y = np.c_[-2 * x, (x * x).sum(1), np.ones(len(x))].astype(np.float32)
+        for c, own, z in members:
+            probes = np.flatnonzero(probe[:, c])
+            step = max(1, SLICE // len(own))
+            for s in range(0, len(probes), step):
+                some = probes[s:s + step]
+                i, j = np.divmod(np.flatnonzero(z @ y[some].T <= budget + ROUGH), len(some))
+                i, j = own[i], some[j]
+                if inside:
+                    i, j = i[i < j], j[i < j]
+                yield i, j
+
+    def meet(self, other: Part, inside: bool = False) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Count the links with ``other`` (``inside``: the home vectors themselves); ``a, b, n`` as
+        in :func:`joined_parts` of the other's counts and of links that span what is found."""
+        n = len(self.part.ids)
+        counts = self.counts if inside else np.zeros(len(other.ids), np.int64)
+        group = self.group if inside else np.r_[self.group, n + np.arange(len(other.ids))]
+        ids = self.part.ids if inside else np.r_[self.part.ids, other.ids]
+        found = []
+        for k in range(len(self.blocks.bounds)):
+            for i, j in gathered(self.near(other, k, inside)):
+                i, j = self._linked(i, j, other, k)
+                if not len(i):
+                    continue
+                np.add.at(self.counts, i, other.copies[j])
+                np.add.at(counts, j, self.part.copies[i])
+                found += spanning(group, ids, i, j if inside else n + j)
+        self.group = group[:n]
+        if not inside and counts.any():
+            some = np.flatnonzero(counts)
+            found.append((other.ids[some], other.ids[some], counts[some]))
+        return found
+
+    def _linked(self, i: np.ndarray, j: np.ndarray, other: Part, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of these pairs the links that count in this block: the first whose budget they meet."""
+        home = self.part
+        cosine = (home.vectors[i] * other.vectors[j]).sum(1) / (home.lengths[i] * other.lengths[j])
+        i, j = i[cosine >= self.cosine], j[cosine >= self.cosine]
+        gap = (home.rotated[i] - other.rotated[j]) ** 2
+        first = np.ones(len(i), bool)
+        for k, (a, b) in enumerate(self.blocks.bounds[:block + 1]):
+            met = gap[:, a:b].sum(1) <= self.blocks.budgets[k]
+            first &= met if k == block else ~met
+        return i[first], j[first]
+
+
+def gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs in portions of about ``PORTION``."""
+    held, size = [], 0
+    for i, j in pairs:
+        for s in range(0, len(i), PORTION):
+            held.append((i[s:s + PORTION], j[s:s + PORTION]))
+            size += len(held[-1][0])
+            if size >= PORTION:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held, size = [], 0
+    if size:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def spanning(group: np.ndarray, ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Those of the links (i, j) that join groups; ``group`` (the least index of each) is brought up to date."""
+    out = []
+    while True:
+        a, b = group[i], group[j]
+        apart = a != b
+        if not apart.any():
+            return out
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        high, at = np.unique(np.maximum(a, b), return_index=True)
+        up = np.arange(len(group))
+        up[high] = np.minimum(a, b)[at]
+        while not np.array_equal(further := up[up], up):
+            up = further
+        group[:] = up[group]
+        out.append((ids[i[at]], ids[j[at]], np.zeros(len(at), np.int64)))
+
+
+def parts_of(runs: list[tuple[str, int]], rows: int) -> list[list[str]]:
+    """Runs (file, rows) in order, in parts of about ``rows`` rows."""
+    parts, size = [], rows
+    for uri, n in runs:
+        if size >= rows:
+            parts.append([])
+            size = 0
+        parts[-1].append(uri)
+        size += n
+    return parts
+
+
+def joined_parts(spark: SparkSession, runs: list[tuple[str, int]], blocks: Blocks, dims: int, settings: Settings) -> DataFrame:
+    """``a, b, n``: for b = a the links (with copies) counted for class a in one task; otherwise one of
+    the links that span a task's. A task has one part at home and reads some of the later parts past it,
+    so that every two parts meet in one task. Vectors are only read from where they were written."""
+    parts = parts_of(runs, PART_RUNS * settings.run_rows)
+    n = len(parts)
+    span = max(1, min(PASSING_PARTS, n * n // 512))
+    tasks = [(home, first, min(first + span, n)) for home in range(n) for first in range(home, n, span)]
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, own, probing = None, None, False
-
-        def results() -> Iterator[pa.RecordBatch]:
-            if own is not None:
-                if not probing:
-                    own.close_home()
-                out = [(a, a, n) for a, n in own.counts.items()] + [(a, b, 0) for a, b in own.links]
-                if out:
-                    yield as_batch(zip(*out, strict=True), schema)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("block", "cell", "run", "role")], 1)
-            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
-            for s, e in zip(starts, np.r_[starts[1:], len(keys)], strict=True):
-                new = tuple(keys[s, :3].tolist())
-                if new != key:
-                    yield from results()
-                    key, own, probing = new, Run(new[0], blocks, cosine), False
-                part = batch.slice(s, e - s)
-                rows = own.prepared(part.column("set_id").to_numpy(), part.column("copies").to_numpy(),
-                                    matrix(part.column("vector"), dims))
-                if keys[s, 3] == 0:
-                    own.add_home(rows)
-                else:
-                    if not probing:
-                        own.close_home()
-                        probing = True
-                    own.meet(rows)
-        yield from results()
-
-    dealt = routed.repartition("block", "cell", "run").sortWithinPartitions("block", "cell", "run", "role")
-    return dealt.mapInArrow(run, "a long, b long, n long")
+        for k in [k for batch in batches for k in batch.column("id").to_pylist()]:
+            at, first, last = tasks[k]
+            rows = [r for uri in parts[at] for r in read_run(uri, dims)]
+            home = Home(Part.of(blocks, *(np.concatenate(c) for c in zip(*rows, strict=True))), blocks, settings.cosine)
+            if first == at:
+                for found in home.meet(home.part, inside=True):
+                    yield as_batch(found, schema)
+            for uri in [uri for part in parts[max(first, at + 1):last] for uri in part]:
+                for batch in read_run(uri, dims):
+                    for found in home.meet(Part.of(blocks, *batch)):
+                        yield as_batch(found, schema)
+            some = np.flatnonzero(home.counts)
+            yield as_batch((home.part.ids[some], home.part.ids[some], home.counts[some]), schema)
+
+    return spark.range(0, len(tasks), 1, len(tasks)).mapInArrow(released(run), "a long, b long, n long")
+
+
+def write_classes(classes: DataFrame, settings: Settings) -> DataFrame:
+    """Classes in files of one length of vectors and at most a run each."""
+    path = shared_folder(classes.sparkSession, "vector-classes")
+    sized = classes.withColumn("dims", F.size("vector"))
+    sized.write.partitionBy("dims").option("maxRecordsPerFile", settings.run_rows).parquet(path)
+    return classes.sparkSession.read.schema(sized.schema).parquet(path)
 
 
 def near_vectors(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per row: ``vec_id, n_links, component_id, kept``."""
+    spark = table.sparkSession
     rows = table.select(F.col("vec_id").cast("long"), F.col("embedding").alias("vector"))
     rows = rows.withColumn("usable", valid("vector") & F.col("vec_id").isNotNull())
-    rows = materialize(rows.withColumn("set_id", F.when(F.col("usable"), F.xxhash64("vector", F.lit("class")))
-                                       .otherwise(F.lit(None)).cast("long")), "vectors")
+    rows = rows.withColumn("set_id", F.when(F.col("usable"), F.xxhash64("vector", F.lit("class")))
+                           .otherwise(F.lit(None)).cast("long"))
     good = rows.filter("usable")
-    classes = materialize(good.groupBy("set_id", "vector").agg(F.count(F.lit(1)).alias("copies"),
-                                                               F.min("vec_id").alias("low")), "vector-classes")
+    classes = write_classes(good.groupBy("set_id", "vector").agg(F.count(F.lit(1)).alias("copies"),
+                                                                 F.min("vec_id").alias("low")), settings)
+    # a row per run; a file holds a bounded number of vectors
+    files = classes.groupBy("dims", F.col("_metadata.file_path").alias("uri")).agg(F.count(F.lit(1)).alias("n")).collect()
     links, counts = None, None
-    for dims in [r[0] for r in classes.select(F.size("vector")).distinct().collect()]:  # one, as a rule
-        own = classes.filter(F.size("vector") == dims)
-        blocks, runs = choose_pivots(own, cut(dims, settings), dims, settings)
-        found = materialize(joined_runs(route(own, blocks, runs, dims), blocks, dims, settings.cosine), "vector-links")
+    for dims in sorted({f["dims"] for f in files}):  # one, as a rule
+        blocks = choose_pivots(classes.filter(F.col("dims") == dims), cut(dims, settings), settings)
+        runs = sorted((f["uri"], f["n"]) for f in files if f["dims"] == dims)
+        found = materialize(joined_parts(spark, runs, blocks, dims, settings), "vector-links")
         n = found.filter("a = b").groupBy(F.col("a").alias("set_id")).agg(F.sum("n").alias("linked"))
         pairs = found.filter("a <> b").select("a", "b")
         links = pairs if links is None else links.unionByName(pairs)

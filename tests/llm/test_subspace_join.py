@@ -56,3 +56,27 @@ def test_no_usable_vectors(spark):
     ddl = "vec_id long, embedding array<float>"
     assert S.near_vectors(spark.createDataFrame([], ddl)).count() == 0
     check(spark.createDataFrame([(1, None), (2, [0.0])], ddl))
+
+
+def test_parts_meet_and_vectors_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(S, "PART_RUNS", 1)
+    monkeypatch.setattr(S, "PASSING_PARTS", 2)
+    kept, plans = S.materialize, {}
+
+    def spied(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(S, "materialize", spied)
+    r = np.random.default_rng(5)
+    centres = r.standard_normal((6, 12))
+    rows = [(i, (centres[i % 6] + r.standard_normal(12) * 0.2 * (i % 3)).tolist()) for i in range(120)]
+    check(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), S.Settings(width=4, cells=4, run_rows=5))
+    assert "Exchange" not in plans["vector-links"]
+
+
+def test_spanning_links():
+    group = np.arange(6)
+    found = S.spanning(group, np.arange(6) * 10, np.array([0, 1, 2, 4, 0]), np.array([1, 2, 0, 5, 1]))
+    assert group.tolist() == [0, 0, 0, 3, 4, 4]
+    assert sum(len(a) for a, _, _ in found) == 3
