@@ -188,3 +188,42 @@ def test_stream_keeps_a_broken_run_back_and_other_files_of_it(spark, scratch_dir
     assert bring("two", two[:-9]) == ["10.1/a", "10.1/b"]  # broken: the run keeps what it had
     assert [r.kind for r in quarantine(spark, out).collect()] == ["envelope"]
     assert bring("three", two) == ["10.1/a", "10.1/b"]  # still held back by the second file
+
+
+def test_streamed_files_are_added_to_their_runs(spark, scratch_dir, monkeypatch):
+    from pubspark.plans import batch as B
+    from pubspark.plans.current import merge_current, read_current
+
+    inp, out = f"{scratch_dir}/landing", f"{scratch_dir}/out"
+    again = []
+    whole = B._with_other_files
+    monkeypatch.setattr(B, "_with_other_files", lambda *a: again.append(a) or whole(*a))
+
+    def bring(name, dois, run="20260101T000000"):
+        os.makedirs(inp, exist_ok=True)
+        with open(f"{inp}/{name}_raw_{run}.json", "w", encoding="utf-8") as f:
+            json.dump({"message": {"items": [{"DOI": d, "title": [name]} for d in dois]}}, f)
+        start_bronze_stream(spark, inp, out, checkpoint_location=f"{scratch_dir}/c").awaitTermination(180)
+
+    def held(**kwargs):
+        return sorted((r.doi, r.title) for r in read_bronze(spark, out, **kwargs).collect())
+
+    bring("one", ["10.1/a", "10.1/b"])
+    bring("other", ["10.1/z"], "20260102T000000")
+    bring("two", ["10.1/c"])
+    first = [("10.1/a", "one"), ("10.1/b", "one"), ("10.1/c", "two")]
+    assert not again and held() == [*first, ("10.1/z", "other")]
+    assert held(run="20260101T000000") == first and held(run="latest") == [("10.1/z", "other")]
+    assert merge_current(spark, out, buckets=2) is not None and merge_current(spark, out, buckets=2) is None
+    bring("three", ["10.1/a"])
+    assert merge_current(spark, out, buckets=2) is not None and merge_current(spark, out, buckets=2) is None
+    assert sorted(r.doi for r in read_current(spark, out).collect()) == ["10.1/a", "10.1/b", "10.1/c", "10.1/z"]
+    assert not again
+    # a file that was landed before replaces itself, and only itself
+    with open(f"{inp}/two_raw_20260101T000000.json", "w", encoding="utf-8") as f:
+        json.dump({"message": {"items": [{"DOI": "10.1/d", "title": ["new"]}]}}, f)
+    start_bronze_stream(spark, inp, out, checkpoint_location=f"{scratch_dir}/c2").awaitTermination(180)
+    assert len(again) == 1
+    assert held() == [("10.1/a", "one"), ("10.1/a", "three"), ("10.1/b", "one"), ("10.1/d", "new"), ("10.1/z", "other")]
+    run_bronze(spark, out)
+    assert len(held()) == 5
