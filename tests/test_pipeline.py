@@ -227,3 +227,16 @@ def test_streamed_files_are_added_to_their_runs(spark, scratch_dir, monkeypatch)
     assert held() == [("10.1/a", "one"), ("10.1/a", "three"), ("10.1/b", "one"), ("10.1/d", "new"), ("10.1/z", "other")]
     run_bronze(spark, out)
     assert len(held()) == 5
+
+
+def test_streamed_envelopes_without_a_run_are_left_out(spark, scratch_dir):
+    from pubspark.plans.batch import process
+    from pubspark.sources.raw import read_envelopes
+
+    os.makedirs(f"{scratch_dir}/in", exist_ok=True)
+    for name, items in (("a", ITEMS_1), ("b", ITEMS_2)):
+        with open(f"{scratch_dir}/in/raw_{name}.json", "w", encoding="utf-8") as f:
+            json.dump({"message": {"items": items}}, f)
+    env = read_envelopes(spark, f"{scratch_dir}/in").selectExpr("* EXCEPT (run)", "IF(run = 'a', run, NULL) AS run")
+    process(env, f"{scratch_dir}/out", keep_other_files=True, silver=False)
+    assert {r.run for r in read_bronze(spark, f"{scratch_dir}/out").collect()} == {"a"}
